@@ -29,8 +29,13 @@ def _pick(values, idx) -> str:
     return f"{_lst(values)}[({idx}) % {len(values)} + 1]"
 
 
-VIEWS = f"""
-products AS (
+def views(as_of=AS_OF, s: str = "") -> str:
+    """The retail views as CTEs, seen at ``as_of`` (purchases and events after
+    it are invisible); ``s`` suffixes every view name for a second snapshot."""
+    ts = f"TIMESTAMP '{as_of:%Y-%m-%d %H:%M:%S}'"
+    d = f"DATE '{as_of:%Y-%m-%d}'"
+    return f"""
+products{s} AS (
   SELECT p_partkey AS product_id, p_name AS product_name, p_type AS category,
          split_part(p_name, ' ', 2) AS subcategory, p_brand AS brand,
          split_part(p_name, ' ', 1) AS color, CAST(p_size AS VARCHAR) AS size,
@@ -41,7 +46,7 @@ products AS (
          p_name || ' by ' || p_brand AS description,
          p_partkey % 4 <> 0 AS in_stock
   FROM part),
-customers AS (
+customers{s} AS (
   SELECT c_custkey AS customer_id,
          split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS last_name,
          lower(split_part(c_name, '#', 1)) || '.' || split_part(c_name, '#', 2) || '@example.com' AS email,
@@ -58,7 +63,7 @@ customers AS (
          lpad(CAST((c_custkey * 7919) % 10000 AS VARCHAR), 4, '0') AS credit_card_last4,
          '****-****-****-' || lpad(CAST((c_custkey * 7919) % 10000 AS VARCHAR), 4, '0') AS credit_card_masked
   FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey),
-purchases AS (
+purchases{s} AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS transaction_id,
          o_custkey AS customer_id, l_partkey AS product_id, p_type AS category, p_brand AS brand,
          CAST(trunc(l_quantity) AS INTEGER) AS quantity,
@@ -68,8 +73,9 @@ purchases AS (
          {_pick(STORE_TYPES, 'l_linenumber')} AS store_type
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        LEFT JOIN part ON l_partkey = p_partkey
-  WHERE o_orderdate >= TIMESTAMP '{_START}'),
-click_raw AS (
+  WHERE o_orderdate >= TIMESTAMP '{_START}'
+    AND o_orderdate + INTERVAL {ORDER_DATE_SHIFT_DAYS} DAY <= {ts}),
+click_raw{s} AS (
   SELECT e.event_id, e.ts, e.user_id,
          CASE e.event_type
            WHEN 'view' THEN CASE WHEN e.event_id % 2 = 0 THEN 'page_view' ELSE 'product_view' END
@@ -79,8 +85,9 @@ click_raw AS (
            WHEN 'error' THEN CASE WHEN e.event_id % 2 = 0 THEN 'remove_from_cart' ELSE 'error' END
            ELSE e.event_type END AS event_type,
          e.event_id % {CLICK_PRODUCTS} AS pk, p.p_type, p.p_brand
-  FROM events e LEFT JOIN part p ON e.event_id % {CLICK_PRODUCTS} = p.p_partkey),
-clickstream AS (
+  FROM events e LEFT JOIN part p ON e.event_id % {CLICK_PRODUCTS} = p.p_partkey
+  WHERE e.ts <= {ts}),
+clickstream{s} AS (
   SELECT event_id,
          'SES-' || CAST(user_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d') AS session_id,
          user_id AS customer_id, event_type, ts AS event_timestamp,
@@ -94,8 +101,8 @@ clickstream AS (
          {_pick(REFERRERS, 'event_id')} AS referrer,
          CASE WHEN event_type IN ('page_view', 'product_view') THEN CAST(event_id % 298 + 3 AS INTEGER)
               ELSE 0 END AS duration_seconds
-  FROM click_raw),
-sales_orders AS (
+  FROM click_raw{s}),
+sales_orders{s} AS (
   SELECT p_type AS category, r_name AS region,
          CASE o_orderstatus WHEN 'F' THEN 'Completed' WHEN 'O' THEN 'Pending' WHEN 'P' THEN 'Cancelled' END AS status,
          CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS revenue,
@@ -105,78 +112,84 @@ sales_orders AS (
        JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey
        JOIN part ON l_partkey = p_partkey),
-clickstream_enriched AS (
+clickstream_enriched{s} AS (
   SELECT c.*, p.product_name, p.subcategory, p.price, p.material,
          CASE c.event_type WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 2 WHEN 'search' THEN 3
               WHEN 'add_to_wishlist' THEN 4 WHEN 'add_to_cart' THEN 5 WHEN 'checkout_start' THEN 6
               WHEN 'remove_from_cart' THEN -1 ELSE 1 END AS event_weight,
          CAST(c.event_timestamp AS DATE) AS event_date,
          CAST(hour(c.event_timestamp) AS INTEGER) AS event_hour
-  FROM clickstream c LEFT JOIN products p ON c.product_id = p.product_id),
-purchase_enriched AS (
+  FROM clickstream{s} c LEFT JOIN products{s} p ON c.product_id = p.product_id),
+purchase_enriched{s} AS (
   SELECT pu.*, p.product_name, p.subcategory, p.material, strftime(pu.purchase_date, '%Y-%m') AS purchase_month
-  FROM purchases pu LEFT JOIN products p ON pu.product_id = p.product_id),
-purchase_agg AS (
+  FROM purchases{s} pu LEFT JOIN products{s} p ON pu.product_id = p.product_id),
+purchase_agg{s} AS (
   SELECT customer_id, COUNT(*) AS total_orders,
          CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) AS total_spend,
          CAST(SUM(CAST(total_amount AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*) AS avg_order_value,
          MAX(purchase_date) AS last_purchase_date, MIN(purchase_date) AS first_purchase_date,
          COUNT(DISTINCT category) AS distinct_categories_purchased
-  FROM purchases GROUP BY customer_id),
-click_agg AS (
+  FROM purchases{s} GROUP BY customer_id),
+click_agg{s} AS (
   SELECT customer_id, COUNT(*) AS total_events, MAX(event_timestamp) AS last_activity,
          COUNT(DISTINCT session_id) AS total_sessions,
          CAST(SUM(CASE WHEN event_type = 'add_to_cart' THEN 1 ELSE 0 END) AS BIGINT) AS total_cart_adds,
          CAST(SUM(CASE WHEN event_type = 'search' THEN 1 ELSE 0 END) AS BIGINT) AS total_searches
-  FROM clickstream GROUP BY customer_id),
-customer_360 AS (
+  FROM clickstream{s} GROUP BY customer_id),
+customer_360{s} AS (
   SELECT c.*, pa.total_orders, pa.total_spend, pa.avg_order_value, pa.last_purchase_date,
          pa.first_purchase_date, pa.distinct_categories_purchased,
          ca.total_events, ca.last_activity, ca.total_sessions, ca.total_cart_adds, ca.total_searches,
-         CAST(date_diff('day', CAST(pa.last_purchase_date AS DATE), {ASOF_D}) AS INTEGER) AS days_since_last_purchase,
-         CAST(date_diff('day', CAST(ca.last_activity AS DATE), {ASOF_D}) AS INTEGER) AS days_since_last_activity
-  FROM customers c LEFT JOIN purchase_agg pa USING (customer_id) LEFT JOIN click_agg ca USING (customer_id)),
-customer_segments_all AS (
+         CAST(date_diff('day', CAST(pa.last_purchase_date AS DATE), {d}) AS INTEGER) AS days_since_last_purchase,
+         CAST(date_diff('day', CAST(ca.last_activity AS DATE), {d}) AS INTEGER) AS days_since_last_activity
+  FROM customers{s} c LEFT JOIN purchase_agg{s} pa USING (customer_id) LEFT JOIN click_agg{s} ca USING (customer_id)),
+customer_segments_all{s} AS (
   SELECT *,
     CASE WHEN loyalty_tier IN ('Gold', 'Platinum') AND days_since_last_purchase <= 30 THEN 'High-Value Active'
          WHEN loyalty_tier IN ('Gold', 'Platinum') AND days_since_last_purchase > 30 THEN 'High-Value At-Risk'
          WHEN days_since_last_purchase > 60 OR days_since_last_activity > 30 THEN 'Dormant'
-         WHEN date_diff('day', signup_date, {ASOF_D}) <= 90 THEN 'New'
+         WHEN date_diff('day', signup_date, {d}) <= 90 THEN 'New'
          WHEN days_since_last_purchase > 30 AND days_since_last_purchase <= 60 THEN 'At-Risk'
          ELSE 'Active' END AS segment,
     LEAST(CAST(100 AS DOUBLE),
           CAST(COALESCE(days_since_last_purchase, 90) AS DOUBLE) * 1.0
           + CAST(COALESCE(days_since_last_activity, 30) AS DOUBLE) * 0.5
           - CAST(COALESCE(total_orders, 0) AS DOUBLE) * 2.0) AS churn_risk_score
-  FROM customer_360),
-customer_segments AS (
+  FROM customer_360{s}),
+customer_segments{s} AS (
   SELECT customer_id, first_name, last_name, email, loyalty_tier, loyalty_points, lifetime_value,
          total_orders, total_spend, avg_order_value, last_purchase_date, days_since_last_purchase,
          total_events, last_activity, days_since_last_activity, segment, churn_risk_score,
          CASE WHEN churn_risk_score >= 70 THEN 'High' WHEN churn_risk_score >= 40 THEN 'Medium' ELSE 'Low' END
            AS churn_risk_level,
          preferred_categories
-  FROM customer_segments_all),
-category_interest AS (
+  FROM customer_segments_all{s}),
+category_interest{s} AS (
   SELECT *, CAST(row_number() OVER (PARTITION BY customer_id ORDER BY interest_score DESC, category ASC NULLS FIRST) AS INTEGER)
            AS interest_rank
   FROM (
     SELECT customer_id, category,
            SUM(CAST(event_weight AS DOUBLE) *
-               CASE WHEN event_timestamp >= CAST(CAST({ASOF_TS} AS DATE) - 2 AS TIMESTAMP) THEN 3.0
-                    WHEN event_timestamp >= CAST(CAST({ASOF_TS} AS DATE) - 7 AS TIMESTAMP) THEN 2.0
+               CASE WHEN event_timestamp >= CAST(CAST({ts} AS DATE) - 2 AS TIMESTAMP) THEN 3.0
+                    WHEN event_timestamp >= CAST(CAST({ts} AS DATE) - 7 AS TIMESTAMP) THEN 2.0
                     ELSE 1.0 END) AS interest_score,
            COUNT(*) AS event_count, MAX(event_timestamp) AS last_interaction,
            COUNT(DISTINCT product_id) AS unique_products_viewed
-    FROM clickstream_enriched GROUP BY customer_id, category) x)
+    FROM clickstream_enriched{s} GROUP BY customer_id, category) x)
 """
 
+
+VIEWS = views()
+
 # Query bodies (appended after ``WITH <views>``).
 BODIES: dict[str, str] = {}
 
 
 def sql(name: str) -> str:
-    return "WITH " + VIEWS.strip() + "\n" + BODIES[name]
+    body = BODIES[name]
+    if callable(body):
+        body = body()
+    return "WITH " + VIEWS.strip() + "\n" + body
 
 
 def all_sql() -> dict[str, str]:

@@ -127,3 +127,159 @@ def q_time_features(spark, d):
     ts = parse_ts(text)
     return c.select("event_id", ts.alias("event_timestamp"),
                     F.to_date(ts).alias("event_date"), F.hour(ts).alias("event_hour"))
+
+
+# ---- analyst SQL ------------------------------------------------------------
+
+from tillroll.plans import analyst  # noqa: E402
+
+
+@query("recent_interest")
+def q_recent_interest(spark, d):
+    return analyst.recent_interest(enriched_clicks(Retail(spark, d)), AS_OF)
+
+
+@query("trending_categories")
+def q_trending_categories(spark, d):
+    return analyst.trending_categories(enriched_clicks(Retail(spark, d)), AS_OF)
+
+
+@query("high_churn_customers")
+def q_high_churn_customers(spark, d):
+    return analyst.high_churn_customers(
+        gold.with_segments(c360(Retail(spark, d)), AS_OF))
+
+
+@query("ltv_by_customer")
+def q_ltv_by_customer(spark, d):
+    r = Retail(spark, d)
+    return analyst.ltv_by_customer(silver.purchase_enriched(r.purchases, r.products))
+
+
+@query("top_decile_customers")
+def q_top_decile_customers(spark, d):
+    return analyst.top_decile_customers(c360(Retail(spark, d)))
+
+
+@query("top_lapsed_browsers")
+def q_top_lapsed_browsers(spark, d):
+    r = Retail(spark, d)
+    return analyst.top_lapsed_browsers(c360(r), enriched_clicks(r), AS_OF)
+
+
+# ---- state tables, keyed writes, serving ------------------------------------
+
+from tillroll.config import PREV_DAY, PREV_WEEK, SEARCH_QUERY  # noqa: E402
+from tillroll.operators import upsert as ups  # noqa: E402
+from tillroll.plans import serving, state  # noqa: E402
+
+
+def loyalty_at(spark, d, as_of) -> DataFrame:
+    r = Retail(spark, d, as_of)
+    c = silver.customer_360(r.customers, r.purchases, r.clickstream, as_of)
+    return state.loyalty_status(gold.customer_segments(c, as_of), as_of)
+
+
+def offers_at(spark, d, as_of) -> DataFrame:
+    r = Retail(spark, d, as_of)
+    i = gold.category_interest(silver.clickstream_enriched(r.clickstream, r.products), as_of)
+    return state.personalized_offers(i, r.products, as_of)
+
+
+def offers_book(spark, d) -> DataFrame:
+    """Offer table after two weekly runs (last week's, then today's)."""
+    return ups.insert_if_absent(offers_at(spark, d, PREV_WEEK), offers_at(spark, d, AS_OF), ["offer_id"])
+
+
+def sessions(spark, d) -> DataFrame:
+    return state.active_sessions(enriched_clicks(Retail(spark, d)))
+
+
+@query("loyalty_status")
+def q_loyalty_status(spark, d):
+    return loyalty_at(spark, d, AS_OF)
+
+
+@query("personalized_offers")
+def q_personalized_offers(spark, d):
+    return offers_at(spark, d, AS_OF)
+
+
+@query("active_sessions")
+def q_active_sessions(spark, d):
+    return sessions(spark, d)
+
+
+@query("upsert_loyalty")
+def q_upsert_loyalty(spark, d):
+    return ups.keyed_upsert(loyalty_at(spark, d, PREV_WEEK), loyalty_at(spark, d, AS_OF),
+                            ["customer_id"], state.LOYALTY_UPDATE_COLUMNS)
+
+
+@query("insert_if_absent")
+def q_insert_if_absent(spark, d):
+    return offers_book(spark, d)
+
+
+def _recent(spark, d, as_of):
+    r = Retail(spark, d, as_of)
+    return analyst.recent_interest(silver.clickstream_enriched(r.clickstream, r.products), as_of)
+
+
+@query("snapshot_diff")
+def q_snapshot_diff(spark, d):
+    return ups.snapshot_diff(_recent(spark, d, PREV_DAY), _recent(spark, d, AS_OF),
+                             ["customer_id", "category"])
+
+
+@query("state_constraints")
+def q_state_constraints(spark, d):
+    r = Retail(spark, d)
+    a = ups.state_violations(r.purchases, "purchases", ["transaction_id"],
+                             ["customer_id", "product_id", "purchase_date"])
+    b = ups.state_violations(loyalty_at(spark, d, AS_OF), "loyalty_status", ["customer_id"],
+                             ["loyalty_tier", "points_balance"])
+    return a.unionByName(b)
+
+
+@query("top3_interests")
+def q_top3_interests(spark, d):
+    return interest(Retail(spark, d)).filter(F.col("interest_rank") <= 3)
+
+
+@query("customer_context")
+def q_customer_context(spark, d):
+    from tillroll.plans.search import customer_context
+    r = Retail(spark, d)
+    return customer_context(c360(r), interest(r))
+
+
+@query("profile_lookup")
+def q_profile_lookup(spark, d):
+    keys = Retail(spark, d).clickstream.select("customer_id")
+    return serving.profile_lookup(loyalty_at(spark, d, AS_OF), keys)
+
+
+@query("active_offers_topk")
+def q_active_offers_topk(spark, d):
+    return serving.active_offers_topk(offers_book(spark, d), k=10)
+
+
+@query("recent_sessions_topk")
+def q_recent_sessions_topk(spark, d):
+    return serving.recent_sessions_topk(sessions(spark, d), k=5)
+
+
+@query("customer_search")
+def q_customer_search(spark, d):
+    return serving.customer_search(loyalty_at(spark, d, AS_OF), SEARCH_QUERY, 20)
+
+
+@query("top_customers")
+def q_top_customers(spark, d):
+    return serving.customer_search(loyalty_at(spark, d, AS_OF), "", 20)
+
+
+@query("dashboard_stats")
+def q_dashboard_stats(spark, d):
+    return serving.dashboard_stats(loyalty_at(spark, d, AS_OF), offers_book(spark, d))

@@ -6,7 +6,7 @@ written on the stored columns so they reach the parquet scan.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +24,7 @@ from tillroll.config import (
     TEST_CATEGORIES,
 )
 from tillroll.functions.rules import tier_from_balance
+from tillroll.functions.time import ts_lit
 from tillroll.functions.text import json_array, mask_card, product_url, search_url
 from tillroll.sources.tables import Tables
 
@@ -89,10 +90,14 @@ def _history_start_orderdate() -> str:
     return start.isoformat()
 
 
-def purchases(t: Tables) -> DataFrame:
-    # The 12-month window is written on o_orderdate itself (a constant bound),
-    # so it is pushed into the orders scan and prunes lineitem via the join.
+def purchases(t: Tables, as_of: datetime | None = None) -> DataFrame:
+    # The 12-month window (and the as_of horizon) are written on o_orderdate
+    # itself as constant bounds, so they are pushed into the orders scan and
+    # prune lineitem through the join.
     o = t.orders.filter(F.col("o_orderdate") >= F.lit(_history_start_orderdate()).cast("timestamp_ntz"))
+    if as_of is not None:
+        horizon = as_of - timedelta(days=ORDER_DATE_SHIFT_DAYS)
+        o = o.filter(F.col("o_orderdate") <= ts_lit(horizon))
     li, p = t.lineitem, t.part
     j = (li.join(o, li.l_orderkey == o.o_orderkey)
            .join(p, li.l_partkey == p.p_partkey, "left"))
@@ -123,12 +128,13 @@ def _click_event_type() -> F.Column:
     )
 
 
-def clickstream(t: Tables) -> DataFrame:
+def clickstream(t: Tables, as_of: datetime | None = None) -> DataFrame:
     # Only CLICK_PRODUCTS rows of part are ever referenced (p_partkey is the
     # key, so this side is proven <= 200 rows): broadcast it.
     p = (t.part.filter(F.col("p_partkey") < CLICK_PRODUCTS)
          .select("p_partkey", "p_type", "p_brand"))
-    e = t.events.withColumn("event_type", _click_event_type())
+    e = t.events if as_of is None else t.events.filter(F.col("ts") <= ts_lit(as_of))
+    e = e.withColumn("event_type", _click_event_type())
     e = e.withColumn("_pk", F.col("event_id") % CLICK_PRODUCTS)
     j = e.join(F.broadcast(p), e._pk == p.p_partkey, "left")
     is_search = F.col("event_type") == "search"
@@ -185,8 +191,10 @@ def conversations(t: Tables) -> DataFrame:
 class Retail:
     """The retail model over one scale-factor directory."""
 
-    def __init__(self, spark, sf_dir: str):
+    def __init__(self, spark, sf_dir: str, as_of: datetime | None = None):
+        """``as_of`` hides purchases and events after that time (a snapshot)."""
         self.t = Tables(spark, sf_dir)
+        self.as_of = as_of
 
     @property
     def products(self):
@@ -198,11 +206,11 @@ class Retail:
 
     @property
     def purchases(self):
-        return purchases(self.t)
+        return purchases(self.t, self.as_of)
 
     @property
     def clickstream(self):
-        return clickstream(self.t)
+        return clickstream(self.t, self.as_of)
 
     @property
     def sales_orders(self):
