@@ -48,4 +48,4 @@ def product_line(name="product_name", subcategory="subcategory", brand="brand",
     """``- name (sub) by brand in color material - $9.99, Rating: 4.5/5``."""
     return F.format_string("- %s (%s) by %s in %s %s - $%.2f, Rating: %s/5",
                            _c(name), _c(subcategory), _c(brand), _c(color), _c(material),
-                           _c(price).cast("decimal(20,2)"), _c(rating).cast("string"))
+                           _c(price).cast("decimal(20,2)").cast("double"), _c(rating).cast("string"))

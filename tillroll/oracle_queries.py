@@ -293,3 +293,99 @@ SELECT COUNT(*) AS total_customers,
        CAST(ROUND(AVG(points_balance)) AS INTEGER) AS avg_points,
        (SELECT COUNT(*) FROM offers_book WHERE status = 'active') AS active_offers
 FROM loyalty_status""")
+
+# ---- search, conversations, assistant ----------------------------------------
+
+from tillroll.config import ASSISTANT_PROMPT, ASSISTANT_RESULTS, NO_PRODUCTS_TEXT, SEARCH_RESULTS  # noqa: E402
+
+SEARCHABLE_CTE = """
+searchable AS (
+  SELECT product_id, product_name, category, subcategory, brand, color, material, price, rating,
+         description, tags,
+         product_name || '. ' || category || ' - ' || subcategory || '. ' || 'Made of ' || material
+           || '. ' || description AS search_text
+  FROM products)"""
+
+register("products_searchable", "," + SEARCHABLE_CTE + "\nSELECT * FROM searchable")
+
+
+def _vec_sql(k, same_label):
+    cond = "AND q.label = d.label" if same_label else ""
+    return f"""
+SELECT query_id, rank, vec_id, label, score FROM (
+  SELECT q.vec_id AS query_id, d.vec_id, d.label,
+         ROUND(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 6) AS score,
+         CAST(row_number() OVER (PARTITION BY q.vec_id ORDER BY
+              ROUND(list_cosine_similarity(CAST(q.embedding AS DOUBLE[]), CAST(d.embedding AS DOUBLE[])), 6) DESC,
+              d.vec_id) AS INTEGER) AS rank
+  FROM embeddings q JOIN embeddings d ON TRUE {cond})
+WHERE rank <= {k}"""
+
+
+register("vector_topk", _vec_sql(SEARCH_RESULTS, False))
+register("vector_topk_filtered", _vec_sql(SEARCH_RESULTS, True))
+
+LAST_MSG_CTE = """
+last_msg AS (
+  SELECT conv_id, COALESCE(max_by(text, turn) FILTER (WHERE role = 'user'), '') AS user_message
+  FROM conversations GROUP BY conv_id)"""
+
+
+def _hits_cte(k):
+    return f"""
+qtext AS (SELECT conv_id AS query_id, user_message AS text FROM last_msg),
+dtok AS (SELECT product_id AS did, unnest(regexp_split_to_array(lower(search_text), '[^\\p{{L}}\\p{{N}}]+')) AS token
+         FROM searchable WHERE search_text IS NOT NULL),
+dtf AS (SELECT did, token, COUNT(*) AS tf FROM dtok WHERE token <> '' GROUP BY did, token),
+ndocs AS (SELECT COUNT(*) AS n FROM searchable WHERE search_text IS NOT NULL),
+idf AS (SELECT token, ln(CAST(n + 1 AS DOUBLE) / CAST(COUNT(*) + 1 AS DOUBLE)) + 1.0 AS idf
+        FROM dtf, ndocs GROUP BY token, n),
+dw AS (SELECT did, token, tf * idf AS w FROM dtf JOIN idf USING (token)),
+dn AS (SELECT did, sqrt(SUM(w * w)) AS norm FROM dw GROUP BY did),
+qtok AS (SELECT query_id AS qid, unnest(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+')) AS token FROM qtext),
+qtf AS (SELECT qid, token, COUNT(*) AS tf FROM qtok WHERE token <> '' GROUP BY qid, token),
+qw AS (SELECT qid, token, tf * idf AS w FROM qtf JOIN idf USING (token)),
+qn AS (SELECT qid, sqrt(SUM(w * w)) AS norm FROM qw GROUP BY qid),
+pair AS (SELECT qid, did, ROUND(SUM(q.w * d.w) / (MAX(qn.norm) * MAX(dn.norm)), 6) AS score
+         FROM qw q JOIN dw d USING (token) JOIN qn USING (qid) JOIN dn USING (did) GROUP BY qid, did),
+hits AS (
+  SELECT * FROM (
+    SELECT qid AS query_id, did AS product_id, score,
+           CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, did) AS INTEGER) AS rank
+    FROM pair WHERE score > 0)
+  WHERE rank <= {k})"""
+
+
+register("text_topk", "," + SEARCHABLE_CTE + "," + LAST_MSG_CTE + "," + _hits_cte(SEARCH_RESULTS)
+         + "\nSELECT query_id, rank, product_id, score FROM hits")
+register("last_user_message", "," + LAST_MSG_CTE + "\nSELECT * FROM last_msg")
+
+_NO = NO_PRODUCTS_TEXT.replace("'", "''")
+CONTEXT_CTE = f"""
+ctx AS (
+  SELECT q.query_id,
+         COALESCE(string_agg('- ' || s.product_name || ' (' || s.subcategory || ') by ' || s.brand || ' in '
+                             || s.color || ' ' || s.material || ' - $'
+                             || printf('%.2f', CAST(s.price AS DECIMAL(20,2))) || ', Rating: '
+                             || CAST(s.rating AS VARCHAR) || '/5', chr(10) ORDER BY h.rank), '{_NO}')
+           AS product_context
+  FROM qtext q LEFT JOIN hits h ON q.query_id = h.query_id
+       LEFT JOIN searchable s ON s.product_id = h.product_id
+  GROUP BY q.query_id)"""
+
+register("product_context", "," + SEARCHABLE_CTE + "," + LAST_MSG_CTE + "," + _hits_cte(ASSISTANT_RESULTS)
+         + "," + CONTEXT_CTE + "\nSELECT query_id, product_context FROM ctx")
+
+_HEAD, _TAIL = (p.replace("'", "''") for p in ASSISTANT_PROMPT.split("{product_context}"))
+register("assistant_prompts", "," + SEARCHABLE_CTE + "," + LAST_MSG_CTE + "," + _hits_cte(ASSISTANT_RESULTS)
+         + "," + CONTEXT_CTE + f"""
+SELECT m.conv_id, m.user_message, c.product_context,
+       '{_HEAD}' || c.product_context || '{_TAIL}' AS system_prompt
+FROM last_msg m JOIN ctx c ON c.query_id = m.conv_id""")
+
+register("preferred_category_counts", """
+SELECT category, COUNT(*) AS customers
+FROM (SELECT unnest(CAST(json(preferred_categories) AS VARCHAR[])) AS category FROM customers)
+GROUP BY category""")
+register("page_urls", "SELECT event_id, event_type, page_url, search_term FROM clickstream")
+register("mask_cards", "SELECT customer_id, credit_card_last4, credit_card_masked FROM customers")

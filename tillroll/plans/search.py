@@ -15,3 +15,34 @@ def customer_context(c360: DataFrame, interest: DataFrame, max_rank: int = 3) ->
                "left")
     return j.select("c.customer_id", "c.preferred_categories", "c.loyalty_tier",
                     "i.category", "i.interest_score")
+
+
+from tillroll.functions.text import search_text  # noqa: E402
+from tillroll.operators.similarity import text_topk, vector_topk  # noqa: E402
+
+SEARCHABLE_COLUMNS = ["product_id", "product_name", "category", "subcategory", "brand", "color",
+                      "material", "price", "rating", "description", "tags"]
+
+
+def products_searchable(products: DataFrame) -> DataFrame:
+    """Product columns plus ``search_text`` (NULL if any part is NULL)."""
+    return products.select(*SEARCHABLE_COLUMNS, search_text().alias("search_text"))
+
+
+def product_text_search(queries: DataFrame, searchable: DataFrame, k: int = 5,
+                        filters: dict | None = None) -> DataFrame:
+    """Top-k products per query text: (query_id, rank, score, product columns).
+    ``queries`` has (query_id, text)."""
+    hits = text_topk(queries, searchable, k, query_id="query_id", query_text="text",
+                     doc_id="product_id", doc_text="search_text", filters=filters)
+    return (hits.join(searchable.withColumnRenamed("product_id", "doc_id"), "doc_id")
+            .withColumnRenamed("doc_id", "product_id"))
+
+
+def similar_vectors(queries: DataFrame, vectors: DataFrame, k: int = 5, filters: dict | None = None,
+                    same: list[str] = ()) -> DataFrame:
+    """Top-k vectors per query vector with the neighbour's metadata."""
+    hits = vector_topk(queries, vectors, k, filters=filters, same=same)
+    meta = vectors.select(F.col("vec_id").alias("doc_id"), "label")
+    return hits.join(meta, "doc_id").select(
+        F.col("query_id"), F.col("rank"), F.col("doc_id").alias("vec_id"), "label", "score")

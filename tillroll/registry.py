@@ -283,3 +283,80 @@ def q_top_customers(spark, d):
 @query("dashboard_stats")
 def q_dashboard_stats(spark, d):
     return serving.dashboard_stats(loyalty_at(spark, d, AS_OF), offers_book(spark, d))
+
+
+# ---- search, conversations, assistant --------------------------------------
+
+from tillroll.config import ASSISTANT_RESULTS, SEARCH_RESULTS  # noqa: E402
+from tillroll.plans import assistant, search  # noqa: E402
+
+
+def searchable(spark, d) -> DataFrame:
+    return search.products_searchable(Retail(spark, d).products)
+
+
+def chat_queries(spark, d) -> DataFrame:
+    m = assistant.last_user_message(Retail(spark, d).conversations)
+    return m.select(F.col("conv_id").alias("query_id"), F.col("user_message").alias("text"))
+
+
+@query("products_searchable")
+def q_products_searchable(spark, d):
+    return searchable(spark, d)
+
+
+@query("vector_topk")
+def q_vector_topk(spark, d):
+    v = Retail(spark, d).vectors
+    return search.similar_vectors(v, v, k=SEARCH_RESULTS)
+
+
+@query("vector_topk_filtered")
+def q_vector_topk_filtered(spark, d):
+    v = Retail(spark, d).vectors
+    return search.similar_vectors(v, v, k=SEARCH_RESULTS, same=["label"])
+
+
+@query("text_topk")
+def q_text_topk(spark, d):
+    hits = search.product_text_search(chat_queries(spark, d), searchable(spark, d), SEARCH_RESULTS)
+    return hits.select("query_id", "rank", "product_id", "score")
+
+
+@query("last_user_message")
+def q_last_user_message(spark, d):
+    return assistant.last_user_message(Retail(spark, d).conversations)
+
+
+@query("product_context")
+def q_product_context(spark, d):
+    q = chat_queries(spark, d)
+    hits = search.product_text_search(q, searchable(spark, d), ASSISTANT_RESULTS)
+    return assistant.product_context(hits, q)
+
+
+@query("assistant_prompts")
+def q_assistant_prompts(spark, d):
+    return assistant.assistant_prompts(Retail(spark, d).conversations, searchable(spark, d))
+
+
+# ---- scalar helpers over whole tables ---------------------------------------
+
+from tillroll.functions.text import parse_json_array  # noqa: E402
+
+
+@query("preferred_category_counts")
+def q_preferred_category_counts(spark, d):
+    c = Retail(spark, d).customers
+    return (c.select(F.explode(parse_json_array("preferred_categories")).alias("category"))
+            .groupBy("category").agg(F.count(F.lit(1)).alias("customers")))
+
+
+@query("page_urls")
+def q_page_urls(spark, d):
+    return Retail(spark, d).clickstream.select("event_id", "event_type", "page_url", "search_term")
+
+
+@query("mask_cards")
+def q_mask_cards(spark, d):
+    return Retail(spark, d).customers.select("customer_id", "credit_card_last4", "credit_card_masked")
