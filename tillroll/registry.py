@@ -360,3 +360,87 @@ def q_page_urls(spark, d):
 @query("mask_cards")
 def q_mask_cards(spark, d):
     return Retail(spark, d).customers.select("customer_id", "credit_card_last4", "credit_card_masked")
+
+
+# ---- CSV landing zone and streams -------------------------------------------
+
+from tillroll.session import work_dir  # noqa: E402
+from tillroll.sources import csv as csvio  # noqa: E402
+from tillroll.sources.schemas import SOURCES  # noqa: E402
+from tillroll.streaming import jobs  # noqa: E402
+
+
+def _bronze(name):
+    def run(spark, d):
+        base = work_dir(spark, f"bronze-{name}")
+        src = getattr(Retail(spark, d), name)
+        csvio.write_csv(src, f"{base}/landing")
+        return jobs.bronze(spark, f"{base}/landing", SOURCES[name], f"{base}/table", f"{base}/_ckpt")
+    return run
+
+
+for _src in SOURCES:
+    QUERIES[f"bronze_{_src}"] = _bronze(_src)
+
+
+@query("csv_roundtrip")
+def q_csv_roundtrip(spark, d):
+    """Customers (JSON arrays with quotes, zero-padded codes) → CSV → back."""
+    base = work_dir(spark, "csv-roundtrip")
+    csvio.write_csv(Retail(spark, d).customers, base)
+    return csvio.read_csv(spark, base, SOURCES["customers"])
+
+
+def _land_clicks_in_two_arrivals(spark, d, landing):
+    """Older events first, the last week later — the second file set must be
+    picked up alone."""
+    c = Retail(spark, d).clickstream
+    cut = F.lit(PREV_WEEK.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    yield lambda: csvio.write_csv(c.filter(F.col("event_timestamp") < cut), landing, mode="append")
+    yield lambda: csvio.write_csv(c.filter(F.col("event_timestamp") >= cut), landing, mode="append")
+
+
+@query("stream_ingest")
+def q_stream_ingest(spark, d):
+    base = work_dir(spark, "stream-ingest")
+    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
+        land()
+        jobs.bronze(spark, f"{base}/landing", SOURCES["clickstream"], f"{base}/table", f"{base}/_ckpt")
+    # a re-run with nothing new must add nothing
+    return jobs.bronze(spark, f"{base}/landing", SOURCES["clickstream"], f"{base}/table", f"{base}/_ckpt")
+
+
+@query("stream_enrich")
+def q_stream_enrich(spark, d):
+    base = work_dir(spark, "stream-enrich")
+    products = Retail(spark, d).products
+    out = None
+    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
+        land()
+        out = jobs.enrich(spark, f"{base}/landing", products, f"{base}/table", f"{base}/_ckpt")
+    return out.select(*enriched_clicks(Retail(spark, d)).columns)
+
+
+@query("stream_recent_interest")
+def q_stream_recent_interest(spark, d):
+    base = work_dir(spark, "stream-interest")
+    products = Retail(spark, d).products
+    last = -1
+    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
+        land()
+        b = jobs.recent_interest(spark, f"{base}/landing", products, f"{base}/state", f"{base}/_ckpt")
+        last = b if b is not None and b >= 0 else last
+    return jobs.interest_at(spark, f"{base}/state", last, AS_OF)
+
+
+@query("stream_active_sessions")
+def q_stream_active_sessions(spark, d):
+    base = work_dir(spark, "stream-sessions")
+    products = Retail(spark, d).products
+    last = -1
+    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
+        land()
+        b = jobs.active_sessions(spark, f"{base}/landing", products, f"{base}/state",
+                                 f"{base}/history", f"{base}/_ckpt")
+        last = b if b is not None and b >= 0 else last
+    return spark.read.parquet(jobs.version_path(f"{base}/state", last))
