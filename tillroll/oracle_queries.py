@@ -407,3 +407,4 @@ FROM clickstream_enriched
 WHERE event_timestamp >= {ASOF_TS} - INTERVAL 48 HOURS AND event_timestamp < {ASOF_TS}
 GROUP BY customer_id, category""")
 register("stream_active_sessions", "," + SESSIONS_CTE + "\nSELECT * FROM sessions")
+register("medallion_run", "SELECT * FROM customer_segments")

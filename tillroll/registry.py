@@ -444,3 +444,50 @@ def q_stream_active_sessions(spark, d):
                                  f"{base}/history", f"{base}/_ckpt")
         last = b if b is not None and b >= 0 else last
     return spark.read.parquet(jobs.version_path(f"{base}/state", last))
+
+
+# ---- whole chain and generator ----------------------------------------------
+
+from tillroll.plans import generate, medallion  # noqa: E402
+
+
+@query("medallion_run")
+def q_medallion_run(spark, d):
+    base = work_dir(spark, "medallion")
+    r = Retail(spark, d)
+    landing = {}
+    for name in SOURCES:
+        landing[name] = f"{base}/raw/{name}"
+        csvio.write_csv(getattr(r, name), landing[name])
+    paths = medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF)
+    return spark.read.parquet(paths["customer_segments"])
+
+
+def _gen_products(spark, d):
+    return generate.generate_products(Retail(spark, d).t.part.select(F.col("p_partkey").alias("id")))
+
+
+def _gen_customers(spark, d):
+    return generate.generate_customers(Retail(spark, d).t.customer.select(F.col("c_custkey").alias("id")))
+
+
+@query("gen_products")
+def q_gen_products(spark, d):
+    return _gen_products(spark, d)
+
+
+@query("gen_customers")
+def q_gen_customers(spark, d):
+    return _gen_customers(spark, d)
+
+
+@query("gen_purchases")
+def q_gen_purchases(spark, d):
+    ids = Retail(spark, d).t.orders.select(F.col("o_orderkey").alias("id"))
+    return generate.generate_purchases(ids, _gen_customers(spark, d), _gen_products(spark, d))
+
+
+@query("gen_clickstream")
+def q_gen_clickstream(spark, d):
+    ids = Retail(spark, d).t.events.select(F.col("event_id").alias("id"))
+    return generate.generate_clickstream(ids, _gen_customers(spark, d), _gen_products(spark, d))
