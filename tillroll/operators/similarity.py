@@ -178,6 +178,7 @@ def text_topk(queries: DataFrame, docs: DataFrame, k: int = 5, *, query_id: str
             F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
             .select(key, F.col("tw.token").alias("tokens"), F.col("tw.w").alias("weights"), "norm"))
 
+    # Block counts come from the raw inputs (cheap), not the vectorised frames.
     return blocked_topk(vecs(qw, "qid"), vecs(dw, "did"), k, _sparse_cell(k),
                         q_block=block.get("q_block", 1000), d_block=block.get("d_block", 5000),
-                        n_docs=n_docs)
+                        n_queries=queries.count(), n_docs=n_docs)

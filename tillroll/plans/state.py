@@ -91,32 +91,53 @@ def personalized_offers(interest: DataFrame, products: DataFrame,
     )
 
 
-def active_sessions(enriched: DataFrame) -> DataFrame:
-    """Live session state per session_id.
-
-    Two-level aggregate, both levels partial-aggregated map-side: first per
-    (session, category) — a product belongs to one category, so distinct
-    products add up exactly — then per session.  Latest event = max by
-    (timestamp, event_id)."""
-    w = event_weight("event_type")
+def session_partials(enriched: DataFrame) -> DataFrame:
+    """Mergeable session state per (session_id, category): weight sum, set of
+    products, cart adds/removes, first time, latest (time, event_id, device).
+    Partial-aggregated map-side, so a hot session shrinks before the shuffle."""
     et = F.col("event_type")
     latest = F.struct("event_timestamp", "event_id")
-    per_cat = enriched.groupBy("session_id", "category").agg(
+    return enriched.groupBy("session_id", "category").agg(
         F.max("customer_id").alias("customer_id"),
-        F.sum(w).alias("_score"),
-        F.countDistinct("product_id").alias("_products"),
-        F.count_if(et == "add_to_cart").alias("_adds"),
-        F.count_if(et == "remove_from_cart").alias("_removes"),
-        F.min("event_timestamp").alias("_start"),
-        F.max_by(F.struct(latest.alias("k"), F.col("device_type").alias("device")), latest).alias("_last"),
+        F.sum(event_weight("event_type")).cast("long").alias("score"),
+        F.collect_set("product_id").alias("products"),
+        F.count_if(et == "add_to_cart").alias("adds"),
+        F.count_if(et == "remove_from_cart").alias("removes"),
+        F.min("event_timestamp").alias("started"),
+        F.max_by(F.struct(latest.alias("k"), F.col("device_type").alias("device")), latest).alias("last"),
     )
-    return per_cat.groupBy("session_id").agg(
+
+
+def merge_session_partials(partials: DataFrame) -> DataFrame:
+    """Combine several partial rows of the same (session, category)."""
+    return partials.groupBy("session_id", "category").agg(
         F.max("customer_id").alias("customer_id"),
-        F.max_by("category", F.col("_last.k")).alias("current_category"),
-        F.max("_score").cast("double").alias("top_interest_score"),
-        F.sum("_products").cast("int").alias("products_viewed"),
-        F.greatest(F.lit(0), F.sum("_adds") - F.sum("_removes")).cast("int").alias("cart_items"),
-        F.max_by(F.col("_last.device"), F.col("_last.k")).alias("device_type"),
-        F.min("_start").alias("started_at"),
-        F.max(F.col("_last.k.event_timestamp")).alias("last_activity"),
+        F.sum("score").cast("long").alias("score"),
+        F.array_distinct(F.flatten(F.collect_list("products"))).alias("products"),
+        F.sum("adds").cast("long").alias("adds"),
+        F.sum("removes").cast("long").alias("removes"),
+        F.min("started").alias("started"),
+        F.max_by("last", F.col("last.k")).alias("last"),
     )
+
+
+def sessions_from_partials(partials: DataFrame) -> DataFrame:
+    """Session rows: current category / device of the latest event (ties:
+    event_id), top category score, distinct products, cart items =
+    max(0, adds − removes), first and last activity."""
+    return partials.groupBy("session_id").agg(
+        F.max("customer_id").alias("customer_id"),
+        F.max_by("category", F.col("last.k")).alias("current_category"),
+        F.max("score").cast("double").alias("top_interest_score"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("products")))).cast("int").alias("products_viewed"),
+        F.greatest(F.lit(0), F.sum("adds") - F.sum("removes")).cast("int").alias("cart_items"),
+        F.max_by(F.col("last.device"), F.col("last.k")).alias("device_type"),
+        F.min("started").alias("started_at"),
+        F.max(F.col("last.k.event_timestamp")).alias("last_activity"),
+    )
+
+
+def active_sessions(enriched: DataFrame) -> DataFrame:
+    """Live session state per session_id: a two-level aggregate (per session
+    and category, then per session), both partial-aggregated map-side."""
+    return sessions_from_partials(session_partials(enriched))

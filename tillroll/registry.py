@@ -440,10 +440,9 @@ def q_stream_active_sessions(spark, d):
     last = -1
     for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
         land()
-        b = jobs.active_sessions(spark, f"{base}/landing", products, f"{base}/state",
-                                 f"{base}/history", f"{base}/_ckpt")
+        b = jobs.active_sessions(spark, f"{base}/landing", products, f"{base}/state", f"{base}/_ckpt")
         last = b if b is not None and b >= 0 else last
-    return spark.read.parquet(jobs.version_path(f"{base}/state", last))
+    return jobs.session_state(spark, f"{base}/state", last)
 
 
 # ---- whole chain and generator ----------------------------------------------

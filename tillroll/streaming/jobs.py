@@ -84,27 +84,44 @@ def interest_at(spark: SparkSession, root: str, batch_id: int, as_of: datetime =
 
 
 def active_sessions(spark: SparkSession, landing: str, products: DataFrame, root: str,
-                    history: str, checkpoint: str) -> int:
-    """Live session state.  Each micro-batch (1) stores its events under
-    ``history/batch=<id>`` (overwrite: idempotent), (2) finds the sessions it
-    touched, (3) recomputes those sessions exactly from their full history
-    (a left-semi join, so only touched sessions are read back and
-    shuffled), (4) upserts them into the versioned session table."""
+                    checkpoint: str) -> int:
+    """Live session state kept as mergeable partials per (session, category).
+
+    Each micro-batch pre-aggregates its events per (session, category)
+    (map-side combine, so a hot session costs a few rows), merges them with
+    the stored partials of the same keys only, and writes state version
+    ``v=batchId`` from ``v=batchId−1`` (idempotent on replay).  No event
+    history is re-read.  Sessions are derived from the partials on read
+    (``session_state``).  Returns the last committed batch id."""
     clicks = read_csv_stream(spark, landing, CLICKSTREAM)
     enriched = silver.clickstream_enriched(clicks, products)
+    keys = ["session_id", "category"]
 
-    def recompute(batch: DataFrame, batch_id: int) -> DataFrame:
+    def run(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        batch.write.mode("overwrite").parquet(f"{history}/batch={int(batch_id):010d}")
-        past = s.read.parquet(history).filter(F.col("batch") <= batch_id).drop("batch")
-        touched = batch.select("session_id").distinct()
-        return state.active_sessions(past.join(touched, "session_id", "left_semi"))
+        fresh = state.session_partials(batch)
+        if batch_id > 0:
+            prev = read_version(s, root, batch_id - 1)
+            touched = fresh.select(*keys)
+            on = (prev.session_id == touched.session_id) & prev.category.eqNullSafe(touched.category)
+            kept = prev.join(touched, on, "left_anti")
+            hit = prev.join(touched, on, "left_semi")
+            merged = state.merge_session_partials(hit.unionByName(fresh))
+            new = kept.unionByName(merged)
+        else:
+            new = fresh
+        new.write.mode("overwrite").parquet(version_path(root, batch_id))
 
     q = (enriched.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(versioned_upsert(root, ["session_id"], prepare=recompute))
-         .trigger(availableNow=True).start())
+         .foreachBatch(run).trigger(availableNow=True).start())
     q.awaitTermination()
     return q.lastProgress["batchId"] if q.lastProgress else -1
 
 
-__all__ = ["bronze", "enrich", "recent_interest", "interest_at", "active_sessions", "version_path"]
+def session_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """Session rows from the partial state of version ``batch_id``."""
+    return state.sessions_from_partials(read_version(spark, root, batch_id))
+
+
+__all__ = ["bronze", "enrich", "recent_interest", "interest_at", "active_sessions", "session_state",
+           "version_path"]
