@@ -60,3 +60,16 @@ def test_stream_ingest_is_incremental(spark):
     got = jobs.bronze(spark, land, CLICKSTREAM, out, ck)
     assert got.count() == c.count()
     assert got.select("event_id").distinct().count() == c.count()
+
+
+def test_csv_corrupt_lines_are_kept(spark):
+    base = work_dir(spark, "t-corrupt")
+    c = Retail(spark, SF_SMALL).customers.limit(3)
+    csvio.write_csv(c, f"{base}/good")
+    bad = spark.createDataFrame([("not-a-number", "x")], "a string, b string")
+    bad.write.mode("overwrite").option("header", "true").csv(f"{base}/bad")
+    good = csvio.read_csv(spark, f"{base}/good", CUSTOMERS, keep_corrupt=True).cache()
+    assert good.filter(F.col(csvio.CORRUPT_COLUMN).isNotNull()).count() == 0
+    junk = csvio.read_csv(spark, f"{base}/bad", CUSTOMERS, keep_corrupt=True).cache()
+    row = junk.first()
+    assert row.customer_id is None and row[csvio.CORRUPT_COLUMN] is not None

@@ -142,3 +142,11 @@ def test_text_topk_equals_brute_force(spark):
         if scored:
             exp[qi] = [(di, -s) for s, di in sorted(scored)[:2]]
     assert res == exp
+
+
+def test_apply_changes_rebuilds_new_snapshot(spark):
+    old = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "k long, v string")
+    new = spark.createDataFrame([(1, "a"), (2, "B"), (4, "d")], "k long, v string")
+    diff = upsert.snapshot_diff(old, new, ["k"])
+    got = sorted(map(tuple, upsert.apply_changes(old, diff, ["k"]).collect()))
+    assert got == sorted(map(tuple, new.collect()))

@@ -87,3 +87,14 @@ def state_violations(df: DataFrame, table: str, keys: list[str],
     nulls = counts.selectExpr(f"stack({len(names)}, {stack}) AS (constraint_name, violations)").select(
         F.lit(table).alias("table_name"), "constraint_name", F.col("violations").cast("long"))
     return dup.unionByName(nulls)
+
+
+def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str],
+                  change_col: str = "change") -> DataFrame:
+    """Apply a change feed (``snapshot_diff`` output) to a keyed table, the
+    way an index sync consumes it: deletes remove the key, inserts and
+    updates replace the whole row.  One anti-join plus a union."""
+    cols = target.columns
+    touched = changes.select(*keys)
+    upserts = changes.filter(F.col(change_col) != "delete").select(*cols)
+    return target.join(touched, keys, "left_anti").unionByName(upserts)

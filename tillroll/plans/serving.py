@@ -63,15 +63,23 @@ def customer_search(status: DataFrame, q: str = "", limit: int = 20) -> DataFram
 
 def dashboard_stats(status: DataFrame, offers: DataFrame) -> DataFrame:
     """One row: customer counts, average LTV (2 decimals), average points
-    (rounded), and the number of active offers.  Two global aggregates,
-    each partial-aggregated per partition, joined on a constant key."""
-    s = status.agg(
-        F.count(F.lit(1)).alias("total_customers"),
-        F.count_if(F.col("segment") == "High-Value Active").alias("high_value_active"),
-        F.count_if(F.col("churn_risk_level") == "High").alias("high_churn_risk"),
-        F.round(F.avg(F.col("lifetime_value").cast("decimal(18,4)")), 2).cast("decimal(10,2)").alias("avg_ltv"),
-        F.round(F.avg("points_balance")).cast("int").alias("avg_points"),
-    ).withColumn("_k", F.lit(1))
-    o = (offers.agg(F.count_if(F.col("status") == "active").alias("active_offers"))
-         .withColumn("_k", F.lit(1)))
-    return s.join(o, "_k").drop("_k")
+    (rounded), and the number of active offers.
+
+    Both tables feed ONE global aggregate over a tagged union (offer rows
+    carry NULL customer fields, which AVG ignores), so there is no join;
+    each partition pre-aggregates to one row before the final merge."""
+    s = status.select(F.lit(True).alias("_cust"), "segment", "churn_risk_level",
+                      F.col("lifetime_value").cast("decimal(18,4)").alias("_ltv"),
+                      F.col("points_balance").alias("_pts"), F.lit(None).cast("string").alias("_offer"))
+    o = offers.select(F.lit(False).alias("_cust"), F.lit(None).cast("string").alias("segment"),
+                      F.lit(None).cast("string").alias("churn_risk_level"),
+                      F.lit(None).cast("decimal(18,4)").alias("_ltv"), F.lit(None).cast("int").alias("_pts"),
+                      F.col("status").alias("_offer"))
+    return s.unionByName(o).agg(
+        F.count_if(F.col("_cust")).alias("total_customers"),
+        F.count_if(F.col("_cust") & (F.col("segment") == "High-Value Active")).alias("high_value_active"),
+        F.count_if(F.col("_cust") & (F.col("churn_risk_level") == "High")).alias("high_churn_risk"),
+        F.round(F.avg("_ltv"), 2).cast("decimal(10,2)").alias("avg_ltv"),
+        F.round(F.avg("_pts")).cast("int").alias("avg_points"),
+        F.count_if(F.col("_offer") == "active").alias("active_offers"),
+    )

@@ -490,3 +490,11 @@ def q_gen_purchases(spark, d):
 def q_gen_clickstream(spark, d):
     ids = Retail(spark, d).t.events.select(F.col("event_id").alias("id"))
     return generate.generate_clickstream(ids, _gen_customers(spark, d), _gen_products(spark, d))
+
+
+@query("index_sync")
+def q_index_sync(spark, d):
+    """Yesterday's table + the change feed to today = today's table."""
+    old, new = _recent(spark, d, PREV_DAY), _recent(spark, d, AS_OF)
+    keys = ["customer_id", "category"]
+    return ups.apply_changes(old, ups.snapshot_diff(old, new, keys), keys)

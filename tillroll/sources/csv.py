@@ -8,7 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
+
+CORRUPT_COLUMN = "_corrupt_record"
 
 CSV_OPTIONS = {
     "header": "true",
@@ -25,15 +27,30 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).options(**CSV_OPTIONS).csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+def with_corrupt_column(schema: StructType) -> StructType:
+    """Schema plus a text column that keeps malformed lines (PERMISSIVE mode
+    fills it and sets the typed fields of that line to NULL).  Spark only
+    lets a query filter on this column alone after the frame is cached or
+    written, which is how a quarantine table is produced."""
+    return StructType(list(schema.fields) + [StructField(CORRUPT_COLUMN, StringType(), True)])
+
+
+def _reader(r, schema: StructType, keep_corrupt: bool):
+    r = r.schema(with_corrupt_column(schema) if keep_corrupt else schema).options(**CSV_OPTIONS)
+    if keep_corrupt:
+        r = r.option("columnNameOfCorruptRecord", CORRUPT_COLUMN)
+    return r
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, keep_corrupt: bool = False) -> DataFrame:
+    return _reader(spark.read, schema, keep_corrupt).csv(path)
 
 
 def read_csv_stream(spark: SparkSession, path: str, schema: StructType,
-                    max_files_per_trigger: int | None = None) -> DataFrame:
+                    max_files_per_trigger: int | None = None, keep_corrupt: bool = False) -> DataFrame:
     """File-source stream over a landing directory: each new file is read once
     (tracked in the query checkpoint)."""
-    r = spark.readStream.schema(schema).options(**CSV_OPTIONS)
+    r = _reader(spark.readStream, schema, keep_corrupt)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
     return r.csv(path)
