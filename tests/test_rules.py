@@ -111,3 +111,35 @@ def test_category_interest_ties_by_category(spark):
     out = {r.category: r.interest_rank for r in gold.category_interest(df, AS_OF).collect()}
     assert out == {"A": 1, "B": 2}
 
+
+
+def test_negative_interest_scores(spark):
+    rows = [(1, "A", "remove_from_cart", datetime(2024, 1, 30), 5),
+            (1, "A", "remove_from_cart", datetime(2024, 1, 10), 6),
+            (1, "B", "page_view", datetime(2024, 1, 10), 7)]
+    df = spark.createDataFrame(rows, "customer_id long, category string, event_type string, "
+                                     "event_timestamp timestamp_ntz, product_id long")
+    out = {r.category: (r.interest_score, r.interest_rank) for r in gold.category_interest(df, AS_OF).collect()}
+    assert out == {"A": (-4.0, 2), "B": (1.0, 1)}   # −1·3 + −1·1
+
+
+def test_conversation_without_user_message_and_no_match(spark):
+    from tillroll.config import NO_PRODUCTS_TEXT
+    from tillroll.plans import assistant
+    conv = spark.createDataFrame(
+        [(1, 0, "system", "hi"), (1, 1, "assistant", "hello"),
+         (2, 0, "user", "red shoe"), (2, 1, "assistant", "ok"), (2, 2, "user", "blue hat please"),
+         (3, 0, "user", "zzz qqq")],
+        "conv_id long, turn long, role string, text string")
+    msgs = {r.conv_id: r.user_message for r in assistant.last_user_message(conv).collect()}
+    assert msgs == {1: "", 2: "blue hat please", 3: "zzz qqq"}
+    products = spark.createDataFrame(
+        [(10, "blue hat", "Hats", "hat", "Acme", "blue", "wool", 9.995, 4.5, "blue hat by Acme", "[]")],
+        "product_id long, product_name string, category string, subcategory string, brand string, color string, "
+        "material string, price double, rating double, description string, tags string")
+    from tillroll.plans.search import products_searchable
+    out = {r.conv_id: r for r in assistant.assistant_prompts(conv, products_searchable(products)).collect()}
+    assert out[1].product_context == NO_PRODUCTS_TEXT
+    assert out[3].product_context == NO_PRODUCTS_TEXT
+    assert out[2].product_context == "- blue hat (hat) by Acme in blue wool - $10.00, Rating: 4.5/5"
+    assert NO_PRODUCTS_TEXT in out[1].system_prompt and "Style Assistant" in out[1].system_prompt

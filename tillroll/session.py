@@ -37,12 +37,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster; set one only if unset."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
-    if not root:
+    sc = None
+    try:  # classic sessions; a Spark Connect session has no SparkContext
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        sc = None
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
+    if not root:  # local tests only: nothing configured
         root = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
