@@ -6,7 +6,7 @@ returned as DOUBLE after ROUND(…, 2)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -75,23 +75,86 @@ def widget(datasets: dict[str, DataFrame], name: str) -> DataFrame:
     return datasets[ds].select(*fields)
 
 
+# grouping_id() of each grouping set over (category, region, month, status):
+# a bit is set for every column NOT grouped, first column = highest bit.
+_GID = {"category": 0b0111, "region": 0b1011, "month": 0b1101, "status": 0b1110, "all": 0b1111}
+
+
+def dashboard_rollup(orders: DataFrame) -> DataFrame:
+    """All dashboard aggregates in ONE pass over the fact table: grouping
+    sets (category), (region), (month), (status), () with exact DECIMAL
+    revenue sums, counts, and completed-only measures as conditional sums.
+    Spark plans one Expand + partial aggregate before a single shuffle."""
+    done = F.col("status") == "Completed"
+    return (orders.withColumn("month", F.trunc(F.to_date("order_date"), "month"))
+            .groupingSets([["category"], ["region"], ["month"], ["status"], []],
+                          "category", "region", "month", "status")
+            .agg(F.grouping_id().alias("gid"),
+                 F.sum("revenue").alias("rev"), F.count(F.lit(1)).alias("n"),
+                 F.sum(F.when(done, F.col("revenue"))).alias("rev_done"),
+                 F.count_if(done).alias("n_done"),
+                 F.sum(F.when(done, F.col("quantity"))).alias("units_done")))
+
+
+def _rollup_fields() -> dict[str, tuple[str, Column | None, dict[str, Column]]]:
+    """dataset → (grouping set, row condition, field → expression over the rollup)."""
+    def rev(c):
+        return F.round(F.col(c), 2).cast("double")
+
+    has_done = F.col("n_done") > 0
+    avg = F.when(has_done, F.round(F.col("rev_done") / F.col("n_done"), 2)).cast("double")
+    return {
+        "revenue_by_category": ("category", None, {"category": F.col("category"), "total_revenue": rev("rev"),
+                                                   "order_count": F.col("n")}),
+        "revenue_by_region": ("region", None, {"region": F.col("region"), "total_revenue": rev("rev"),
+                                               "order_count": F.col("n")}),
+        "monthly_trend": ("month", has_done, {"month": F.col("month"), "total_revenue": rev("rev_done"),
+                                              "order_count": F.col("n_done")}),
+        "order_status_summary": ("status", None, {"status": F.col("status"), "order_count": F.col("n"),
+                                                  "total_revenue": rev("rev")}),
+        "kpi_totals": ("all", None, {"total_orders": F.col("n_done"), "total_revenue": rev("rev_done"),
+                                     "avg_order_value": avg, "total_units": F.col("units_done")}),
+    }
+
+
+def datasets_from_rollup(r: DataFrame) -> dict[str, DataFrame]:
+    """The five datasets as row subsets of the rollup (equal to the direct
+    queries: months without completed orders are absent, as in a filtered
+    GROUP BY)."""
+    out = {}
+    for name, (g, cond, fields) in _rollup_fields().items():
+        rows = r.filter(F.col("gid") == _GID[g])
+        if cond is not None:
+            rows = rows.filter(cond)
+        out[name] = rows.select(*[e.alias(f) for f, e in fields.items()])
+    return out
+
+
 def dashboard_widgets(orders: DataFrame) -> DataFrame:
     """All widgets in one long frame: (widget, label, measure, value).
 
-    The fact table is aggregated once per dataset; the widget rows are tiny
-    (≤ a few hundred), so the union costs nothing."""
-    ds = {k: f(orders) for k, f in DATASETS.items()}
-    parts = []
-    for name, (d, fields) in WIDGETS.items():
-        frame = widget(ds, name)
-        dims = [f for f in fields if f not in ("total_revenue", "order_count", "total_orders",
-                                               "avg_order_value")]
-        measures = [f for f in fields if f not in dims]
-        label = F.col(dims[0]).cast("string") if dims else F.lit(None).cast("string")
-        for m in measures:
-            parts.append(frame.select(F.lit(name).alias("widget"), label.alias("label"),
-                                      F.lit(m).alias("measure"), F.col(m).cast("double").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    One pass over the fact table (``dashboard_rollup``); each rollup row then
+    emits the widget rows it feeds through a single ``explode`` — one plan
+    branch, so the fact table is joined, aggregated and shuffled once."""
+    fields_of = _rollup_fields()
+    measures_all = ("total_revenue", "order_count", "total_orders", "avg_order_value")
+    entries = None
+    by_gid: dict[int, list] = {}
+    conds: dict[int, Column | None] = {}
+    for name, (ds, fields) in WIDGETS.items():
+        g, cond, exprs = fields_of[ds]
+        dims = [f for f in fields if f not in measures_all]
+        label = exprs[dims[0]].cast("string") if dims else F.lit(None).cast("string")
+        for m in [f for f in fields if f not in dims]:
+            by_gid.setdefault(_GID[g], []).append(
+                F.struct(F.lit(name).alias("widget"), label.alias("label"), F.lit(m).alias("measure"),
+                         exprs[m].cast("double").alias("value")))
+        conds[_GID[g]] = cond
+    for gid, items in by_gid.items():
+        ok = F.col("gid") == gid
+        if conds[gid] is not None:
+            ok = ok & conds[gid]
+        entries = F.when(ok, F.array(*items)) if entries is None else entries.when(ok, F.array(*items))
+    return (dashboard_rollup(orders)
+            .select(F.explode(entries).alias("w"))
+            .select("w.widget", "w.label", "w.measure", "w.value"))
