@@ -70,23 +70,23 @@ def state_violations(df: DataFrame, table: str, keys: list[str],
     """Audit a state table against its declared constraints.
 
     One row per constraint: (table_name, constraint_name, violations).
-    Primary key: rows beyond the first per key (pre-aggregated per key, so a
-    hot key costs one row per map task) plus NULL keys; NOT NULL: NULL count
-    per column (one scan)."""
+    One pass: per key, the row count and NULL counts (partial-aggregated
+    map-side, so a hot key costs one row per map task), then one global sum:
+    duplicates = Σ (rows per key − 1), NULL keys, NULLs per NOT NULL column."""
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    dup = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c"))
-           .agg(F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("violations"))
-           .select(F.lit(table).alias("table_name"),
-                   F.lit("primary key (" + ", ".join(keys) + ") unique").alias("constraint_name"),
-                   "violations"))
-    checks = [F.count_if(null_key).alias("pk_null")] + [
-        F.count_if(F.col(c).isNull()).alias(f"nn_{i}") for i, c in enumerate(not_null)]
-    counts = df.agg(*checks)
-    names = ["primary key (" + ", ".join(keys) + ") not null"] + [f"{c} not null" for c in not_null]
-    stack = ", ".join(f"'{n}', {col}" for n, col in zip(names, ["pk_null"] + [f"nn_{i}" for i in range(len(not_null))]))
-    nulls = counts.selectExpr(f"stack({len(names)}, {stack}) AS (constraint_name, violations)").select(
+    per_key = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_c"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_nn{i}") for i, c in enumerate(not_null)])
+    totals = per_key.agg(
+        F.coalesce(F.sum(F.col("_c") - 1), F.lit(0)).cast("long").alias("_dup"),
+        F.coalesce(F.sum(F.when(null_key, F.col("_c"))), F.lit(0)).cast("long").alias("_pk_null"),
+        *[F.coalesce(F.sum(f"_nn{i}"), F.lit(0)).cast("long").alias(f"_nn{i}") for i in range(len(not_null))])
+    names = ([f"primary key ({', '.join(keys)}) unique", f"primary key ({', '.join(keys)}) not null"]
+             + [f"{c} not null" for c in not_null])
+    cols = ["_dup", "_pk_null"] + [f"_nn{i}" for i in range(len(not_null))]
+    stack = ", ".join(f"'{n}', {c}" for n, c in zip(names, cols))
+    return totals.selectExpr(f"stack({len(names)}, {stack}) AS (constraint_name, violations)").select(
         F.lit(table).alias("table_name"), "constraint_name", F.col("violations").cast("long"))
-    return dup.unionByName(nulls)
 
 
 def apply_changes(target: DataFrame, changes: DataFrame, keys: list[str],
