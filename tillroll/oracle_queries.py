@@ -417,3 +417,4 @@ SELECT customer_id, category,
 FROM clickstream_enriched
 WHERE event_timestamp >= {ASOF_TS} - INTERVAL 48 HOURS
 GROUP BY customer_id, category""")
+register("stream_category_interest", "SELECT * FROM category_interest")

@@ -18,6 +18,11 @@ from tillroll.streaming.jobs import bronze
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
+    """Overwrite a layer table.  Before a partitioned write the rows are
+    rebalanced on the partition columns (AQE splits a hot date across tasks
+    and merges small ones), avoiding both one-task dates and file floods."""
+    if partition_by:
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

@@ -498,3 +498,15 @@ def q_index_sync(spark, d):
     old, new = _recent(spark, d, PREV_DAY), _recent(spark, d, AS_OF)
     keys = ["customer_id", "category"]
     return ups.apply_changes(old, ups.snapshot_diff(old, new, keys), keys)
+
+
+@query("stream_category_interest")
+def q_stream_category_interest(spark, d):
+    base = work_dir(spark, "stream-cat-interest")
+    products = Retail(spark, d).products
+    last = -1
+    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
+        land()
+        b = jobs.category_interest(spark, f"{base}/landing", products, f"{base}/state", f"{base}/_ckpt")
+        last = b if b is not None and b >= 0 else last
+    return jobs.interest_from_days(spark.read.parquet(jobs.version_path(f"{base}/state", last)), AS_OF)

@@ -83,6 +83,54 @@ def interest_at(spark: SparkSession, root: str, batch_id: int, as_of: datetime =
             .select("customer_id", "category", "recent_interest_score", "events_48h"))
 
 
+def category_interest(spark: SparkSession, landing: str, products: DataFrame, root: str,
+                      checkpoint: str, watermark: str = "1 hour") -> int:
+    """Streaming form of the gold category interest.
+
+    The ×3/×2/×1 multiplier depends only on an event's calendar day relative
+    to ``as_of``, so the state is kept per (customer, category, day): weight
+    sum, event count, last time and product set, in tumbling 1-day windows
+    (watermarked, so closed days leave the state store), upserted per batch
+    into a versioned table.  ``interest_from_days`` applies the multipliers
+    at read time for any ``as_of``.  Returns the last committed batch id."""
+    clicks = read_csv_stream(spark, landing, CLICKSTREAM)
+    enriched = (silver.clickstream_enriched(clicks, products)
+                .withColumn("_event_time", F.col("event_timestamp").cast("timestamp")))
+    day = F.window("_event_time", "1 day", startTime=_window_start_offset(spark, datetime(2000, 1, 1),
+                                                                          timedelta(days=1)))
+    agg = (enriched.withWatermark("_event_time", watermark)
+           .groupBy(day.alias("day"), "customer_id", "category")
+           .agg(F.sum(F.col("event_weight")).cast("long").alias("weight"),
+                F.count(F.lit(1)).alias("events"),
+                F.max("event_timestamp").alias("last_interaction"),
+                F.collect_set("product_id").alias("products"))
+           .select(F.to_date(F.col("day.start").cast("timestamp_ntz")).alias("event_day"),
+                   "customer_id", "category", "weight", "events", "last_interaction", "products"))
+    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+         .foreachBatch(versioned_upsert(root, ["event_day", "customer_id", "category"]))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q.lastProgress["batchId"] if q.lastProgress else -1
+
+
+def interest_from_days(days: DataFrame, as_of: datetime = AS_OF) -> DataFrame:
+    """gold category interest from per-day state: Σ weight × multiplier(day),
+    with the calendar cut-offs of ``calendar_recency`` (day ≥ as_of − 2 → ×3,
+    ≥ as_of − 7 → ×2, else ×1), then ranks per customer."""
+    from pyspark.sql import Window
+    d = F.col("event_day")
+    cut2 = F.date_sub(F.lit(as_of.date().isoformat()).cast("date"), 2)
+    cut7 = F.date_sub(F.lit(as_of.date().isoformat()).cast("date"), 7)
+    mult = F.when(d >= cut2, F.lit(3.0)).when(d >= cut7, F.lit(2.0)).otherwise(F.lit(1.0))
+    agg = days.groupBy("customer_id", "category").agg(
+        F.sum(F.col("weight") * mult).alias("interest_score"),
+        F.sum("events").alias("event_count"),
+        F.max("last_interaction").alias("last_interaction"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("products")))).cast("long").alias("unique_products_viewed"))
+    w = Window.partitionBy("customer_id").orderBy(F.desc("interest_score"), F.asc_nulls_first("category"))
+    return agg.withColumn("interest_rank", F.row_number().over(w))
+
+
 def active_sessions(spark: SparkSession, landing: str, products: DataFrame, root: str,
                     checkpoint: str) -> int:
     """Live session state kept as mergeable partials per (session, category).
@@ -123,5 +171,6 @@ def session_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
     return state.sessions_from_partials(read_version(spark, root, batch_id))
 
 
-__all__ = ["bronze", "enrich", "recent_interest", "interest_at", "active_sessions", "session_state",
+__all__ = ["bronze", "enrich", "recent_interest", "interest_at", "category_interest", "interest_from_days",
+           "active_sessions", "session_state",
            "version_path"]
