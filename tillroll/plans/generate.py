@@ -157,14 +157,19 @@ def generate_customers(ids: DataFrame, seed: int = 42, as_of: datetime = AS_OF)
     )
 
 
+def _size_and_base(df: DataFrame, key: str) -> tuple[int, int]:
+    """Row count and smallest id of a generated frame (one scalar job)."""
+    row = df.agg(F.count(F.lit(1)), F.min(key)).first()
+    return int(row[0]), int(row[1])
+
+
 def generate_purchases(ids: DataFrame, customers: DataFrame, products: DataFrame,
                        seed: int = 42, as_of: datetime = AS_OF) -> DataFrame:
     """Random customer and product per purchase (equi-joins on a hashed
     index), quantity 1/2/3 by .7/.2/.1, time uniform over the last year."""
     i = F.col("id")
-    n_c, n_p = customers.count(), products.count()
-    c_base = customers.agg(F.min("customer_id")).first()[0]
-    p_base = products.agg(F.min("product_id")).first()[0]
+    n_c, c_base = _size_and_base(customers, "customer_id")
+    n_p, p_base = _size_and_base(products, "product_id")
     picks = ids.select(
         "id",
         (F.lit(c_base) + _idx(_u(seed, i, "cust"), n_c)).cast("long").alias("customer_id"),
@@ -190,9 +195,8 @@ def generate_clickstream(ids: DataFrame, customers: DataFrame, products: DataFra
     the rest from all customers over 30 days; event types by weight;
     searches carry no product."""
     i = F.col("id")
-    n_c, n_p = customers.count(), products.count()
-    c_base = customers.agg(F.min("customer_id")).first()[0]
-    p_base = products.agg(F.min("product_id")).first()[0]
+    n_c, c_base = _size_and_base(customers, "customer_id")
+    n_p, p_base = _size_and_base(products, "product_id")
     # The recent sample: top-N by hash (a per-partition top-N, then a merge).
     recent = (customers.select("customer_id", F.xxhash64(F.lit(seed), "customer_id", F.lit("recent")).alias("_h"))
               .orderBy("_h", "customer_id").limit(RECENT_CUSTOMERS)
