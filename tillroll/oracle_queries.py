@@ -251,10 +251,15 @@ FROM (SELECT {k}, COUNT(*) AS c FROM {src} GROUP BY {k})""",
     return "\nUNION ALL\n".join(parts)
 
 
-register("state_constraints", "," + loyalty_cte() + "\n"
+register("state_constraints", "," + loyalty_cte() + _BOOK + "," + SESSIONS_CTE + "\n"
          + _violations("purchases", "purchases", ["transaction_id"], ["customer_id", "product_id", "purchase_date"])
          + "\nUNION ALL\n"
-         + _violations("loyalty_status", "loyalty_status", ["customer_id"], ["loyalty_tier", "points_balance"]))
+         + _violations("loyalty_status", "loyalty_status", ["customer_id"], ["loyalty_tier", "points_balance"])
+         + "\nUNION ALL\n"
+         + _violations("personalized_offers", "offers_book", ["offer_id"],
+                       ["customer_id", "offer_code", "relevance_score", "offer_type", "status"])
+         + "\nUNION ALL\n"
+         + _violations("active_sessions", "sessions", ["session_id"], ["customer_id"]))
 register("top3_interests", "SELECT * FROM category_interest WHERE interest_rank <= 3")
 register("customer_context", """
 SELECT c.customer_id, c.preferred_categories, c.loyalty_tier, ci.category, ci.interest_score

@@ -239,7 +239,10 @@ def q_state_constraints(spark, d):
                              ["customer_id", "product_id", "purchase_date"])
     b = ups.state_violations(loyalty_at(spark, d, AS_OF), "loyalty_status", ["customer_id"],
                              ["loyalty_tier", "points_balance"])
-    return a.unionByName(b)
+    c = ups.state_violations(offers_book(spark, d), "personalized_offers", ["offer_id"],
+                             ["customer_id", "offer_code", "relevance_score", "offer_type", "status"])
+    s = ups.state_violations(sessions(spark, d), "active_sessions", ["session_id"], ["customer_id"])
+    return a.unionByName(b).unionByName(c).unionByName(s)
 
 
 @query("top3_interests")
