@@ -58,7 +58,8 @@ def product_slots(products: DataFrame) -> DataFrame:
 
 
 def personalized_offers(interest: DataFrame, products: DataFrame,
-                        as_of: datetime | None = None, max_rank: int = 3) -> DataFrame:
+                        as_of: datetime | None = None, max_rank: int = 3,
+                        slots: DataFrame | None = None) -> DataFrame:
     """One offer per top-``max_rank`` category of each customer.
 
     Product choice is deterministic: slot = (customer_id·31 + rank) mod the
@@ -69,7 +70,7 @@ def personalized_offers(interest: DataFrame, products: DataFrame,
         F.coalesce(F.col("interest_score"), F.lit(0.0)).alias("relevance_score"),
         F.coalesce(F.col("interest_rank"), F.lit(1)).alias("interest_rank"))
     counts = products.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
-    slots = product_slots(products)
+    slots = slots if slots is not None else product_slots(products)  # reusable across runs
     want = (top.join(counts, "category")
             .withColumn("slot", F.pmod(F.col("customer_id").cast("long") * 31 + F.col("interest_rank"),
                                        F.col("_n"))))

@@ -180,15 +180,18 @@ def loyalty_at(spark, d, as_of) -> DataFrame:
     return state.loyalty_status(gold.customer_segments(c, as_of), as_of)
 
 
-def offers_at(spark, d, as_of) -> DataFrame:
+def offers_at(spark, d, as_of, slots=None) -> DataFrame:
     r = Retail(spark, d, as_of)
     i = gold.category_interest(silver.clickstream_enriched(r.clickstream, r.products), as_of)
-    return state.personalized_offers(i, r.products, as_of)
+    return state.personalized_offers(i, r.products, as_of, slots=slots)
 
 
 def offers_book(spark, d) -> DataFrame:
-    """Offer table after two weekly runs (last week's, then today's)."""
-    return ups.insert_if_absent(offers_at(spark, d, PREV_WEEK), offers_at(spark, d, AS_OF), ["offer_id"])
+    """Offer table after two weekly runs (last week's, then today's); the
+    catalog numbering is computed once and shared by both runs."""
+    slots = state.product_slots(Retail(spark, d).products)
+    return ups.insert_if_absent(offers_at(spark, d, PREV_WEEK, slots), offers_at(spark, d, AS_OF, slots),
+                                ["offer_id"])
 
 
 def sessions(spark, d) -> DataFrame:
