@@ -193,38 +193,54 @@ def conversations(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", "role", "text")
 
 
+_BUILT: dict[tuple, DataFrame] = {}
+
+
 class Retail:
-    """The retail model over one scale-factor directory."""
+    """The retail model over one scale-factor directory.
+
+    Each adapter frame is built once per (session, directory, as_of) and then
+    reused (DataFrames are immutable), which saves the driver from analysing
+    the same joins again for every query that needs them."""
 
     def __init__(self, spark, sf_dir: str, as_of: datetime | None = None):
         """``as_of`` hides purchases and events after that time (a snapshot)."""
+        self.spark = spark
         self.t = Tables(spark, sf_dir)
         self.as_of = as_of
 
+    def _get(self, name: str, build, timed: bool) -> DataFrame:
+        key = (id(self.spark), self.t.sf_dir.rstrip("/"), name, self.as_of if timed else None)
+        df = _BUILT.get(key)
+        if df is None or df.sparkSession is not self.spark:
+            df = build()
+            _BUILT[key] = df
+        return df
+
     @property
     def products(self):
-        return products(self.t)
+        return self._get("products", lambda: products(self.t), False)
 
     @property
     def customers(self):
-        return customers(self.t)
+        return self._get("customers", lambda: customers(self.t), False)
 
     @property
     def purchases(self):
-        return purchases(self.t, self.as_of)
+        return self._get("purchases", lambda: purchases(self.t, self.as_of), True)
 
     @property
     def clickstream(self):
-        return clickstream(self.t, self.as_of)
+        return self._get("clickstream", lambda: clickstream(self.t, self.as_of), True)
 
     @property
     def sales_orders(self):
-        return sales_orders(self.t)
+        return self._get("sales_orders", lambda: sales_orders(self.t), False)
 
     @property
     def vectors(self):
-        return vectors(self.t)
+        return self._get("vectors", lambda: vectors(self.t), False)
 
     @property
     def conversations(self):
-        return conversations(self.t)
+        return self._get("conversations", lambda: conversations(self.t), False)

@@ -10,10 +10,21 @@ TABLES = (
 ).split()
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet table as a DataFrame.  DataFrames are immutable plans, so
+    one instance per (session, directory, table) is reused: the file
+    listing and footer/schema read happen once, not on every access."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (id(spark), sf_dir.rstrip("/"), name)
+    df = _READS.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+        _READS[key] = df
+    return df
 
 
 class Tables:
