@@ -33,32 +33,34 @@ _CAND = StructType([StructField("query_id", LongType()), StructField("doc_id", L
 
 
 def _best_k(scores: np.ndarray, qids: np.ndarray, dids: np.ndarray, k: int,
-            min_score: float | None) -> pd.DataFrame:
-    """Top-k rows of each query column of ``scores`` (n_docs × n_queries)."""
+            min_score: float | None, chunk: int = 256) -> pd.DataFrame:
+    """Top-k rows of each query column of ``scores`` (n_docs × n_queries),
+    ordered by (score desc, doc id asc).  Vectorised: documents are put in id
+    order once, then a stable column-wise argsort of the negated scores ranks
+    every query of a chunk at once (ties keep id order, so the cut is exact)."""
+    empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
+                          "score": pd.Series([], dtype="float64")})
+    if scores.size == 0:
+        return empty
+    by_id = np.argsort(dids, kind="stable")
+    scores, dids = scores[by_id], dids[by_id]
+    kk = min(k, scores.shape[0])
     out_q, out_d, out_s = [], [], []
-    n = scores.shape[0]
-    for j in range(scores.shape[1]):
-        col = scores[:, j]
-        valid = ~np.isnan(col)
+    for c0 in range(0, scores.shape[1], chunk):
+        block = scores[:, c0:c0 + chunk]
+        valid = ~np.isnan(block)
         if min_score is not None:
-            valid &= col > min_score
-        idx = np.nonzero(valid)[0]
-        if idx.size == 0:
-            continue
-        vals = col[idx]
-        if idx.size > k:
-            kth = np.partition(vals, idx.size - k)[idx.size - k]
-            keep = vals >= kth
-            idx, vals = idx[keep], vals[keep]
-        order = np.lexsort((dids[idx], -vals))[:k]
-        out_q.append(np.full(order.size, qids[j]))
-        out_d.append(dids[idx[order]])
-        out_s.append(vals[order])
+            valid &= block > min_score
+        neg = np.where(valid, -block, np.inf)
+        top = np.argsort(neg, axis=0, kind="stable")[:kk]             # kk × chunk
+        ok = np.take_along_axis(valid, top, axis=0)
+        vals = np.take_along_axis(block, top, axis=0)
+        qcol = np.broadcast_to(qids[c0:c0 + chunk], top.shape)
+        out_q.append(qcol[ok])
+        out_d.append(dids[top][ok])
+        out_s.append(vals[ok])
     if not out_q:
-        return pd.DataFrame({"query_id": pd.Series([], dtype="int64"),
-                             "doc_id": pd.Series([], dtype="int64"),
-                             "score": pd.Series([], dtype="float64")})
-    _ = n
+        return empty
     return pd.DataFrame({"query_id": np.concatenate(out_q).astype("int64"),
                          "doc_id": np.concatenate(out_d).astype("int64"),
                          "score": np.concatenate(out_s)})
