@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tillroll.config import AS_OF
 from tillroll.plans import gold, silver, state
 from tillroll.sources.schemas import SOURCES
-from tillroll.streaming.jobs import bronze
+from tillroll.sources.csv import ingest, read_csv_stream
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
@@ -33,11 +33,16 @@ def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
                   as_of: datetime = AS_OF) -> dict[str, str]:
     """Run every stage; returns dataset name → table path."""
     paths: dict[str, str] = {}
-    b = {}
+    # The four ingestion streams run concurrently (start all, then await all).
+    running = []
     for name in SOURCES:
         p = f"{out}/bronze/{name}"
-        b[name] = bronze(spark, landing[name], SOURCES[name], p, f"{out}/_checkpoints/{name}")
+        running.append(ingest(read_csv_stream(spark, landing[name], SOURCES[name]), p,
+                              f"{out}/_checkpoints/{name}", wait=False))
         paths[f"bronze_{name}"] = p
+    for q in running:
+        q.awaitTermination()
+    b = {name: spark.read.parquet(paths[f"bronze_{name}"]) for name in SOURCES}
 
     def stage(layer: str, name: str, df: DataFrame, partition_by=()) -> DataFrame:
         p = f"{out}/{layer}/{name}"
