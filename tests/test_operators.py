@@ -150,3 +150,14 @@ def test_apply_changes_rebuilds_new_snapshot(spark):
     diff = upsert.snapshot_diff(old, new, ["k"])
     got = sorted(map(tuple, upsert.apply_changes(old, diff, ["k"]).collect()))
     assert got == sorted(map(tuple, new.collect()))
+
+
+def test_text_topk_vocab_chunks_do_not_change_results(spark):
+    from tillroll.operators import similarity as sim
+    docs = spark.createDataFrame([(i, " ".join(f"w{(i * 7 + j) % 50}" for j in range(12))) for i in range(60)],
+                                 "doc_id long, text string")
+    qs = spark.createDataFrame([(100 + i, " ".join(f"w{(i * 3 + j) % 50}" for j in range(5))) for i in range(15)],
+                               "query_id long, text string")
+    base = sorted(map(tuple, sim.text_topk(qs, docs, 3).collect()))
+    chunked = sorted(map(tuple, sim.text_topk(qs, docs, 3, vocab_chunk=4).collect()))
+    assert chunked == base

@@ -82,26 +82,44 @@ def _dense_cell(k: int):
     return run
 
 
-def _sparse_cell(k: int):
-    """Token-weight vectors: only tokens present on both sides matter."""
+VOCAB_CHUNK = 2048
+
+
+def _sparse_cell(k: int, vocab_chunk: int = VOCAB_CHUNK):
+    """Token-weight vectors: only tokens present on both sides matter.  The
+    score matrix (docs × queries) is accumulated over chunks of the shared
+    vocabulary, so memory stays bounded by block sizes × chunk width even
+    for long texts with large vocabularies."""
     def run(q: pd.DataFrame, d: pd.DataFrame) -> pd.DataFrame:
         if q.empty or d.empty:
             return _best_k(np.zeros((0, 0)), np.array([]), np.array([]), k, 0.0)
-        q_tok = q[["qid", "tokens", "weights"]].explode(["tokens", "weights"])
-        d_tok = d[["did", "tokens", "weights"]].explode(["tokens", "weights"])
-        common = pd.Index(q_tok["tokens"].dropna().unique()).intersection(d_tok["tokens"].dropna().unique())
+        q_tok = q[["qid", "tokens", "weights"]].explode(["tokens", "weights"]).dropna(subset=["tokens"])
+        d_tok = d[["did", "tokens", "weights"]].explode(["tokens", "weights"]).dropna(subset=["tokens"])
+        common = pd.Index(q_tok["tokens"].unique()).intersection(d_tok["tokens"].unique())
         if len(common) == 0:
             return _best_k(np.zeros((0, 0)), np.array([]), np.array([]), k, 0.0)
         q_tok = q_tok[q_tok["tokens"].isin(common)]
         d_tok = d_tok[d_tok["tokens"].isin(common)]
         qpos = pd.Index(q["qid"]).get_indexer(q_tok["qid"])
         dpos = pd.Index(d["did"]).get_indexer(d_tok["did"])
-        qm = np.zeros((len(q), len(common)))
-        dm = np.zeros((len(d), len(common)))
-        np.add.at(qm, (qpos, common.get_indexer(q_tok["tokens"])), q_tok["weights"].astype(float).to_numpy())
-        np.add.at(dm, (dpos, common.get_indexer(d_tok["tokens"])), d_tok["weights"].astype(float).to_numpy())
+        qti = common.get_indexer(q_tok["tokens"])
+        dti = common.get_indexer(d_tok["tokens"])
+        qw = q_tok["weights"].astype(float).to_numpy()
+        dw = d_tok["weights"].astype(float).to_numpy()
+        dots = np.zeros((len(d), len(q)))
+        for c0 in range(0, len(common), vocab_chunk):
+            width = min(vocab_chunk, len(common) - c0)
+            mq = (qti >= c0) & (qti < c0 + width)
+            md = (dti >= c0) & (dti < c0 + width)
+            if not mq.any() or not md.any():
+                continue
+            qm = np.zeros((len(q), width))
+            dm = np.zeros((len(d), width))
+            np.add.at(qm, (qpos[mq], qti[mq] - c0), qw[mq])
+            np.add.at(dm, (dpos[md], dti[md] - c0), dw[md])
+            dots += dm @ qm.T
         with np.errstate(divide="ignore", invalid="ignore"):
-            s = (dm @ qm.T) / np.outer(d["norm"].to_numpy(float), q["norm"].to_numpy(float))
+            s = dots / np.outer(d["norm"].to_numpy(float), q["norm"].to_numpy(float))
         s[~np.isfinite(s)] = np.nan
         s = np.round(s, SCORE_DECIMALS)
         return _best_k(s, q["qid"].to_numpy(), d["did"].to_numpy(), k, 0.0)
@@ -181,6 +199,7 @@ def text_topk(queries: DataFrame, docs: DataFrame, k: int = 5, *, query_id: str
             .select(key, F.col("tw.token").alias("tokens"), F.col("tw.w").alias("weights"), "norm"))
 
     # Block counts come from the raw inputs (cheap), not the vectorised frames.
-    return blocked_topk(vecs(qw, "qid"), vecs(dw, "did"), k, _sparse_cell(k),
+    return blocked_topk(vecs(qw, "qid"), vecs(dw, "did"), k,
+                        _sparse_cell(k, block.get("vocab_chunk", VOCAB_CHUNK)),
                         q_block=block.get("q_block", 1000), d_block=block.get("d_block", 5000),
                         n_queries=queries.count(), n_docs=n_docs)
