@@ -398,9 +398,9 @@ register("mask_cards", "SELECT customer_id, credit_card_last4, credit_card_maske
 # ---- CSV and streams ----------------------------------------------------------
 
 for _t in ("products", "customers", "purchases", "clickstream"):
-    register(f"bronze_{_t}", f"SELECT * FROM {_t}")
+    register(f"bronze_{_t}", f"SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM {_t}")
 register("csv_roundtrip", "SELECT * FROM customers")
-register("stream_ingest", "SELECT * FROM clickstream")
+register("stream_ingest", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FROM clickstream")
 register("stream_enrich", "SELECT * FROM clickstream_enriched")
 register("stream_recent_interest", f"""
 SELECT customer_id, category,

@@ -37,7 +37,7 @@ def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
     running = []
     for name in SOURCES:
         p = f"{out}/bronze/{name}"
-        running.append(ingest(read_csv_stream(spark, landing[name], SOURCES[name]), p,
+        running.append(ingest(read_csv_stream(spark, landing[name], SOURCES[name], keep_corrupt=True), p,
                               f"{out}/_checkpoints/{name}", wait=False))
         paths[f"bronze_{name}"] = p
     for q in running:

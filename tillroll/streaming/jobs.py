@@ -18,10 +18,12 @@ from tillroll.sources.schemas import CLICKSTREAM
 from tillroll.streaming.sinks import read_version, version_path, versioned_upsert
 
 
-def bronze(spark: SparkSession, landing: str, schema, out: str, checkpoint: str) -> DataFrame:
+def bronze(spark: SparkSession, landing: str, schema, out: str, checkpoint: str,
+           keep_corrupt: bool = True) -> DataFrame:
     """Ingest every new CSV file of ``landing`` once into the parquet table
-    ``out``; returns the table."""
-    ingest(read_csv_stream(spark, landing, schema), out, checkpoint)
+    ``out``; returns the table.  Malformed lines are kept verbatim in
+    ``_corrupt_record`` (NULL for good lines), never silently lost."""
+    ingest(read_csv_stream(spark, landing, schema, keep_corrupt=keep_corrupt), out, checkpoint)
     return spark.read.parquet(out)
 
 
