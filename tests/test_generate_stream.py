@@ -87,3 +87,18 @@ def test_versioned_sink_replay_is_idempotent(spark):
     sink(b1, 1)  # the same micro-batch delivered again after a failure
     again = sorted(map(tuple, read_version(spark, root, 1).collect()))
     assert first == again == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_medallion_registers_named_tables(spark):
+    from tillroll.plans import medallion
+    base = work_dir(spark, "t-medallion")
+    r = Retail(spark, SF_SMALL)
+    landing = {}
+    for name in ("products", "customers", "purchases", "clickstream"):
+        landing[name] = f"{base}/raw/{name}"
+        csvio.write_csv(getattr(r, name), landing[name])
+    medallion.run_medallion(spark, landing, f"{base}/lake", register_prefix="tm_")
+    assert spark.table("tm_silver_clickstream_enriched").count() == r.clickstream.count()
+    assert spark.table("tm_gold_customer_segments").count() == r.customers.count()
+    info = {row.col_name: row.data_type for row in spark.sql("DESCRIBE TABLE EXTENDED tm_gold_category_interest").collect()}
+    assert info["Comment"].startswith("Recency-weighted") and "quality=gold" in info["Table Properties"]

@@ -17,6 +17,49 @@ from tillroll.sources.schemas import SOURCES
 from tillroll.sources.csv import ingest, read_csv_stream
 
 
+# dataset → (quality layer, description) used when registering the tables
+DATASETS = {
+    "bronze_products": ("bronze", "Product catalog as landed, one row per CSV line"),
+    "bronze_customers": ("bronze", "Customer profiles as landed, one row per CSV line"),
+    "bronze_purchases": ("bronze", "Purchase history as landed, one row per CSV line"),
+    "bronze_clickstream": ("bronze", "Click events as landed, one row per CSV line"),
+    "clickstream_enriched": ("silver", "Click events with product details, event weight, date and hour"),
+    "purchase_enriched": ("silver", "Purchases with product details and purchase month"),
+    "customer_360": ("silver", "One row per customer: profile, purchase and click aggregates, recency"),
+    "category_interest": ("gold", "Recency-weighted interest per customer and category, ranked"),
+    "customer_segments": ("gold", "Segment and churn risk per customer"),
+    "loyalty_status": ("state", "Loyalty tier, points, progress and segment per customer"),
+    "personalized_offers": ("state", "Offers for the top interests of each customer"),
+    "active_sessions": ("state", "Live state per browsing session"),
+}
+
+
+# datasets written partitioned (column list)
+PARTITIONED = {"clickstream_enriched": ["event_date"]}
+
+
+def table_name(dataset: str, prefix: str = "") -> str:
+    layer = DATASETS[dataset][0]
+    name = dataset if layer in ("bronze", "state") else f"{layer}_{dataset}"
+    return f"{prefix}{name}"
+
+
+def register_tables(spark: SparkSession, paths: dict[str, str], prefix: str = "") -> dict[str, str]:
+    """Register every written dataset as an external parquet table with a
+    comment and a quality property, so later jobs read it by name."""
+    names = {}
+    for dataset, path in paths.items():
+        quality, comment = DATASETS[dataset]
+        name = table_name(dataset, prefix)
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' "
+                  f"COMMENT '{comment}' TBLPROPERTIES ('quality' = '{quality}')")
+        if dataset in PARTITIONED:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        names[dataset] = name
+    return names
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     """Overwrite a layer table.  Before a partitioned write the rows are
     rebalanced on the partition columns (AQE splits a hot date across tasks
@@ -30,8 +73,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
 
 
 def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
-                  as_of: datetime = AS_OF) -> dict[str, str]:
-    """Run every stage; returns dataset name → table path."""
+                  as_of: datetime = AS_OF, register_prefix: str | None = None) -> dict[str, str]:
+    """Run every stage; returns dataset name → table path.  With
+    ``register_prefix`` the tables are also registered in the catalog."""
     paths: dict[str, str] = {}
     # The four ingestion streams run concurrently (start all, then await all).
     running = []
@@ -51,7 +95,8 @@ def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
         return spark.read.parquet(p)
 
     clicks = stage("silver", "clickstream_enriched",
-                   silver.clickstream_enriched(b["clickstream"], b["products"]), ["event_date"])
+                   silver.clickstream_enriched(b["clickstream"], b["products"]),
+                   PARTITIONED["clickstream_enriched"])
     stage("silver", "purchase_enriched", silver.purchase_enriched(b["purchases"], b["products"]))
     c360 = stage("silver", "customer_360",
                  silver.customer_360(b["customers"], b["purchases"], b["clickstream"], as_of))
@@ -60,4 +105,6 @@ def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
     stage("state", "loyalty_status", state.loyalty_status(segments, as_of))
     stage("state", "personalized_offers", state.personalized_offers(interest, b["products"], as_of))
     stage("state", "active_sessions", state.active_sessions(clicks))
+    if register_prefix is not None:
+        register_tables(spark, paths, register_prefix)
     return paths

@@ -464,8 +464,9 @@ def q_medallion_run(spark, d):
     for name in SOURCES:
         landing[name] = f"{base}/raw/{name}"
         csvio.write_csv(getattr(r, name), landing[name])
-    paths = medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF)
-    return spark.read.parquet(paths["customer_segments"])
+    prefix = "r" + base.rsplit("-", 1)[-1][:8] + "_"
+    medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF, register_prefix=prefix)
+    return spark.table(medallion.table_name("customer_segments", prefix))
 
 
 def _gen_products(spark, d):
