@@ -150,7 +150,9 @@ def active_sessions(spark: SparkSession, landing: str, products: DataFrame, root
     def run(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         fresh = state.session_partials(batch)
-        if batch_id > 0:
+        if batch_id > 0 and batch.isEmpty():
+            new = read_version(s, root, batch_id - 1)
+        elif batch_id > 0:
             prev = read_version(s, root, batch_id - 1)
             touched = fresh.select(*keys)
             on = (prev.session_id == touched.session_id) & prev.category.eqNullSafe(touched.category)

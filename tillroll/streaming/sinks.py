@@ -30,12 +30,15 @@ def versioned_upsert(root: str, keys: list[str], update_cols: list[str] | None =
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        changes = prepare(batch, batch_id) if prepare else batch
         if batch_id > 0:
             prev = read_version(spark, root, batch_id - 1)
-            state = keyed_upsert(prev, changes.select(*prev.columns), keys, update_cols)
+            if batch.isEmpty():  # e.g. a no-data batch that only moves the watermark
+                state = prev
+            else:
+                changes = prepare(batch, batch_id) if prepare else batch
+                state = keyed_upsert(prev, changes.select(*prev.columns), keys, update_cols)
         else:
-            state = changes
+            state = prepare(batch, batch_id) if prepare else batch
         state.write.mode("overwrite").parquet(version_path(root, batch_id))
 
     return run
