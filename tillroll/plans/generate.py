@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tillroll.config import (
     AS_OF, DEVICE_TYPES, LOYALTY_TIERS, PAYMENT_METHODS, REFERRERS, SEARCH_TERMS, STORE_TYPES,
 )
-from tillroll.functions.text import mask_card
+from tillroll.functions.text import mask_card, slug
 from tillroll.functions.time import date_lit, ts_lit
 
 # ---------------------------------------------------------------------------
@@ -114,8 +114,7 @@ def generate_products(ids: DataFrame, seed: int = 42) -> DataFrame:
         F.round(lo + _u(seed, i, "price") * (hi - lo), 2).alias("price"),
         F.round(_uniform(3.0, 5.0, _u(seed, i, "rating")), 1).alias("rating"),
         _randint(5, 500, _u(seed, i, "reviews")).alias("review_count"),
-        F.to_json(F.array(F.lower(category), F.replace(F.lower(item), F.lit(" "), F.lit("_")),
-                          F.lower(brand), F.lower(color))).alias("tags"),
+        F.to_json(F.array(F.lower(category), slug(item), F.lower(brand), F.lower(color))).alias("tags"),
         F.concat(F.lit("Premium "), F.lower(material), F.lit(" "), F.lower(item), F.lit(" by "), brand,
                  F.lit(". Available in "), F.lower(color), F.lit(". Perfect for any occasion.")).alias("description"),
         (_u(seed, i, "stock") < 0.75).alias("in_stock"),
