@@ -143,3 +143,13 @@ def test_conversation_without_user_message_and_no_match(spark):
     assert out[3].product_context == NO_PRODUCTS_TEXT
     assert out[2].product_context == "- blue hat (hat) by Acme in blue wool - $10.00, Rating: 4.5/5"
     assert NO_PRODUCTS_TEXT in out[1].system_prompt and "Style Assistant" in out[1].system_prompt
+
+
+def test_offers_with_string_customer_ids(spark):
+    interest = spark.createDataFrame([("CUST-00001", "A", 50.0, 1), ("CUST-00002", "A", 12.0, 2)],
+                                     "customer_id string, category string, interest_score double, interest_rank int")
+    products = spark.createDataFrame([(10, "p10", "A"), (11, "p11", "A"), (12, "p12", "A")],
+                                     "product_id long, product_name string, category string")
+    offers = state.personalized_offers(interest, products, AS_OF).collect()
+    assert sorted(o.customer_id for o in offers) == ["CUST-00001", "CUST-00002"]
+    assert all(o.product_id in (10, 11, 12) for o in offers)

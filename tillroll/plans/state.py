@@ -8,6 +8,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tillroll.config import OFFER_VALID_DAYS, UNKNOWN_OFFER_CATEGORY
 from tillroll.functions.rules import (
@@ -71,9 +72,13 @@ def personalized_offers(interest: DataFrame, products: DataFrame,
         F.coalesce(F.col("interest_rank"), F.lit(1)).alias("interest_rank"))
     counts = products.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
     slots = slots if slots is not None else product_slots(products)  # reusable across runs
+    key_type = top.schema["customer_id"].dataType
+    if isinstance(key_type, NumericType):
+        ckey = F.col("customer_id").cast("long")
+    else:  # string ids: a stable non-negative number per id
+        ckey = F.pmod(F.xxhash64("customer_id"), F.lit(1 << 31))
     want = (top.join(counts, "category")
-            .withColumn("slot", F.pmod(F.col("customer_id").cast("long") * 31 + F.col("interest_rank"),
-                                       F.col("_n"))))
+            .withColumn("slot", F.pmod(ckey * 31 + F.col("interest_rank"), F.col("_n"))))
     j = want.join(slots, ["category", "slot"])
     now = ts_lit(as_of)
     discount = offer_discount("relevance_score")
