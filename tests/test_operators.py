@@ -161,3 +161,15 @@ def test_text_topk_vocab_chunks_do_not_change_results(spark):
     base = sorted(map(tuple, sim.text_topk(qs, docs, 3).collect()))
     chunked = sorted(map(tuple, sim.text_topk(qs, docs, 3, vocab_chunk=4).collect()))
     assert chunked == base
+
+
+def test_similarity_with_string_ids(spark):
+    docs = spark.createDataFrame([("PRD-1", "red shoe"), ("PRD-2", "blue shoe"), ("PRD-3", "green hat")],
+                                 "doc_id string, text string")
+    qs = spark.createDataFrame([("Q-1", "red shoe"), ("Q-2", "nothing")], "query_id string, text string")
+    got = sorted((r.query_id, r.doc_id, r.rank) for r in similarity.text_topk(qs, docs, 2).collect())
+    assert got == [("Q-1", "PRD-1", 1), ("Q-1", "PRD-2", 2)]
+    vec = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [0.9, 0.1]), ("c", [0.0, 1.0])],
+                                "vec_id string, embedding array<float>")
+    top = sorted((r.query_id, r.doc_id) for r in similarity.vector_topk(vec, vec, 1).collect())
+    assert top == [("a", "a"), ("b", "b"), ("c", "c")]

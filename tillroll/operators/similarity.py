@@ -22,23 +22,19 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tillroll.operators.rank import top_k_per_group
 
 SCORE_DECIMALS = 6
 
-_CAND = StructType([StructField("query_id", LongType()), StructField("doc_id", LongType()),
-                    StructField("score", DoubleType())])
-
-
 def _best_k(scores: np.ndarray, qids: np.ndarray, dids: np.ndarray, k: int,
             min_score: float | None, chunk: int = 256) -> pd.DataFrame:
     """Top-k rows of each query column of ``scores`` (n_docs × n_queries),
     ordered by (score desc, doc id asc).  Vectorised: documents are put in id
     order once, then a stable column-wise argsort of the negated scores ranks
     every query of a chunk at once (ties keep id order, so the cut is exact)."""
-    empty = pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "doc_id": pd.Series([], dtype="int64"),
+    empty = pd.DataFrame({"query_id": pd.Series([], dtype="object"), "doc_id": pd.Series([], dtype="object"),
                           "score": pd.Series([], dtype="float64")})
     if scores.size == 0:
         return empty
@@ -61,8 +57,7 @@ def _best_k(scores: np.ndarray, qids: np.ndarray, dids: np.ndarray, k: int,
         out_s.append(vals[ok])
     if not out_q:
         return empty
-    return pd.DataFrame({"query_id": np.concatenate(out_q).astype("int64"),
-                         "doc_id": np.concatenate(out_d).astype("int64"),
+    return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_d),
                          "score": np.concatenate(out_s)})
 
 
@@ -142,7 +137,10 @@ def blocked_topk(queries: DataFrame, docs: DataFrame, k: int, cell, same: list[s
     d = (docs.withColumn("_bkt", F.pmod(F.xxhash64("did"), F.lit(dd)))
          .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))))
     keys = ["_blk", "_bkt", *same]
-    cands = q.groupBy(*keys).cogroup(d.groupBy(*keys)).applyInPandas(cell, _CAND)
+    out_schema = StructType([StructField("query_id", queries.schema["qid"].dataType),
+                             StructField("doc_id", docs.schema["did"].dataType),
+                             StructField("score", DoubleType())])
+    cands = q.groupBy(*keys).cogroup(d.groupBy(*keys)).applyInPandas(cell, out_schema)
     return top_k_per_group(cands, ["query_id"], [F.desc("score"), F.asc("doc_id")], k, out="rank")
 
 
