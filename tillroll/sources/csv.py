@@ -15,7 +15,7 @@ CORRUPT_COLUMN = "_corrupt_record"
 CSV_OPTIONS = {
     "header": "true",
     "escape": '"',
-    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
     "dateFormat": "yyyy-MM-dd",
     "mode": "PERMISSIVE",
 }
