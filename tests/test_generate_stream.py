@@ -102,3 +102,26 @@ def test_medallion_registers_named_tables(spark):
     assert spark.table("tm_gold_customer_segments").count() == r.customers.count()
     info = {row.col_name: row.data_type for row in spark.sql("DESCRIBE TABLE EXTENDED tm_gold_category_interest").collect()}
     assert info["Comment"].startswith("Recency-weighted") and "quality=gold" in info["Table Properties"]
+
+
+def test_generated_data_runs_through_the_whole_chain(spark):
+    from tillroll.plans import medallion
+    from tillroll.sources.schemas import SOURCES
+    prods = generate.generate_products(spark.range(60))
+    custs = generate.generate_customers(spark.range(50))
+    frames = {"products": prods, "customers": custs,
+              "purchases": generate.generate_purchases(spark.range(300), custs, prods),
+              "clickstream": generate.generate_clickstream(spark.range(400), custs, prods)}
+    for name, df in frames.items():
+        assert df.columns == SOURCES[name].fieldNames()
+    base = work_dir(spark, "t-gen-chain")
+    landing = {}
+    for name, df in frames.items():
+        landing[name] = f"{base}/raw/{name}"
+        csvio.write_csv(df, landing[name])
+    paths = medallion.run_medallion(spark, landing, f"{base}/lake")
+    seg = spark.read.parquet(paths["customer_segments"])
+    assert seg.count() == 50
+    assert seg.filter(F.col("total_orders").isNotNull()).count() > 0
+    assert spark.read.parquet(paths["bronze_clickstream"]).filter(F.col("_corrupt_record").isNotNull()).count() == 0
+    assert spark.read.parquet(paths["personalized_offers"]).count() > 0
