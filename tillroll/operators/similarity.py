@@ -121,6 +121,13 @@ def _sparse_cell(k: int, vocab_chunk: int = VOCAB_CHUNK):
     return run
 
 
+def _parallelism(spark) -> int:
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect)
+        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
 def blocked_topk(queries: DataFrame, docs: DataFrame, k: int, cell, same: list[str] = (),
                  q_block: int = 1000, d_block: int = 20000,
                  n_queries: int | None = None, n_docs: int | None = None) -> DataFrame:
@@ -131,12 +138,21 @@ def blocked_topk(queries: DataFrame, docs: DataFrame, k: int, cell, same: list[s
     nd = n_docs if n_docs is not None else docs.count()
     b = max(1, math.ceil(nq / q_block))
     dd = max(1, math.ceil(nd / d_block))
+    # At least two cells per core, so small inputs still use every core
+    # (smaller query blocks; total work is unchanged, only the documents are
+    # shipped to more cells).
+    par = _parallelism(queries.sparkSession)
+    min_cells = 2 * par
+    if b * dd < min_cells:
+        b = max(1, min(max(nq, 1), math.ceil(min_cells / dd)))
     same = list(same)
-    q = (queries.withColumn("_blk", F.pmod(F.xxhash64("qid"), F.lit(b)))
-         .withColumn("_bkt", F.explode(F.sequence(F.lit(0), F.lit(dd - 1)))))
-    d = (docs.withColumn("_bkt", F.pmod(F.xxhash64("did"), F.lit(dd)))
-         .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))))
     keys = ["_blk", "_bkt", *same]
+    # Both sides carry identically typed (int) cell keys, so the two halves
+    # of a cell hash to the same partition.
+    q = (queries.withColumn("_blk", F.pmod(F.xxhash64("qid"), F.lit(b)).cast("int"))
+         .withColumn("_bkt", F.explode(F.sequence(F.lit(0), F.lit(dd - 1)))))  # int
+    d = (docs.withColumn("_bkt", F.pmod(F.xxhash64("did"), F.lit(dd)).cast("int"))
+         .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))))  # int
     out_schema = StructType([StructField("query_id", queries.schema["qid"].dataType),
                              StructField("doc_id", docs.schema["did"].dataType),
                              StructField("score", DoubleType())])
