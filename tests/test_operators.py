@@ -173,3 +173,22 @@ def test_similarity_with_string_ids(spark):
                                 "vec_id string, embedding array<float>")
     top = sorted((r.query_id, r.doc_id) for r in similarity.vector_topk(vec, vec, 1).collect())
     assert top == [("a", "a"), ("b", "b"), ("c", "c")]
+
+
+def test_topk_exact_when_cells_spread_over_partitions(spark):
+    """With AQE coalescing off, cells land in many partitions; both halves of
+    every cell must still meet (regression: differently typed cell keys)."""
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rnd = np.random.default_rng(11)
+        vecs = {i: rnd.normal(size=6).round(2) for i in range(90)}
+        df = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in vecs.items()],
+                                   "vec_id long, embedding array<float>")
+        vec32 = {i: np.asarray(v, dtype=np.float32).astype(np.float64) for i, v in vecs.items()}
+        got = {}
+        for r in similarity.vector_topk(df, df, 3, q_block=5, d_block=9).orderBy("query_id", "rank").collect():
+            got.setdefault(r.query_id, []).append(r.doc_id)
+        assert got == _brute_cos(vec32, vec32, 3)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
