@@ -31,16 +31,18 @@ SCORE_DECIMALS = 6
 def _best_k(scores: np.ndarray, qids: np.ndarray, dids: np.ndarray, k: int,
             min_score: float | None, chunk: int = 256) -> pd.DataFrame:
     """Top-k rows of each query column of ``scores`` (n_docs × n_queries),
-    ordered by (score desc, doc id asc).  Vectorised: documents are put in id
-    order once, then a stable column-wise argsort of the negated scores ranks
-    every query of a chunk at once (ties keep id order, so the cut is exact)."""
+    ordered by (score desc, doc id asc).  Vectorised and linear: documents
+    are put in id order once; per chunk of queries the k-th best score comes
+    from ``np.partition``, all better scores are kept plus the lowest-id ties
+    (a running count in id order), so the cut is exact without a full sort."""
     empty = pd.DataFrame({"query_id": pd.Series([], dtype="object"), "doc_id": pd.Series([], dtype="object"),
                           "score": pd.Series([], dtype="float64")})
     if scores.size == 0:
         return empty
     by_id = np.argsort(dids, kind="stable")
     scores, dids = scores[by_id], dids[by_id]
-    kk = min(k, scores.shape[0])
+    n = scores.shape[0]
+    kk = min(k, n)
     out_q, out_d, out_s = [], [], []
     for c0 in range(0, scores.shape[1], chunk):
         block = scores[:, c0:c0 + chunk]
@@ -48,13 +50,20 @@ def _best_k(scores: np.ndarray, qids: np.ndarray, dids: np.ndarray, k: int,
         if min_score is not None:
             valid &= block > min_score
         neg = np.where(valid, -block, np.inf)
-        top = np.argsort(neg, axis=0, kind="stable")[:kk]             # kk × chunk
-        ok = np.take_along_axis(valid, top, axis=0)
-        vals = np.take_along_axis(block, top, axis=0)
-        qcol = np.broadcast_to(qids[c0:c0 + chunk], top.shape)
-        out_q.append(qcol[ok])
-        out_d.append(dids[top][ok])
-        out_s.append(vals[ok])
+        # kth best value per query (linear selection), then: everything strictly
+        # better, plus the lowest-id ties (documents are in id order) up to k
+        kth = np.partition(neg, kk - 1, axis=0)[kk - 1]
+        better = neg < kth
+        ties = (neg == kth) & valid
+        need = kk - better.sum(axis=0)
+        take = better | (ties & (np.cumsum(ties, axis=0) <= need))
+        take &= valid
+        di, qi = np.nonzero(take)
+        order = np.lexsort((di, neg[di, qi], qi))          # per query: score desc, id asc
+        di, qi = di[order], qi[order]
+        out_q.append(qids[c0:c0 + chunk][qi])
+        out_d.append(dids[di])
+        out_s.append(block[di, qi])
     if not out_q:
         return empty
     return pd.DataFrame({"query_id": np.concatenate(out_q), "doc_id": np.concatenate(out_d),
