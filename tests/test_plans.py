@@ -51,3 +51,12 @@ def test_percent_rank_has_no_unpartitioned_window_over_rows(spark):
     # the only single-partition exchange feeds the per-partition offsets
     # (≤ #partitions rows), never customer rows
     assert "PercentRank" not in plan and "percent_rank" not in plan.lower()
+
+
+@pytest.mark.parametrize("name", ["active_offers_topk", "recent_sessions_topk", "top3_interests"])
+def test_topk_limits_before_the_shuffle(spark, name):
+    plan = _plan(spark, name)
+    if name == "top3_interests":   # rank is computed on the aggregate, then filtered
+        assert "Window" in plan
+    else:
+        assert "WindowGroupLimit" in plan and "Partial" in plan
