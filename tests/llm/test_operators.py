@@ -415,7 +415,7 @@ def test_cascade_order_does_not_change_the_verdict(spark, edge_docs):
     assert {e["rule"] for e in est} == {r.name for r in quality.RULES}
     want = [r[0] for r in rows(quality.passes(edge_docs), "doc_id")]
     for order in (quality.RULES, quality.RULES[::-1]):
-        ok = edge_docs.where(quality.first_failure(F.col("text"), order).isNull())
+        ok = edge_docs.where(quality.first_failure(quality.Text(F.coalesce("text", F.lit(""))), order).isNull())
         assert [r[0] for r in rows(ok, "doc_id")] == want
     ranked = quality.order(quality.RULES, [{"rule": r.name, "rejected": k, "seconds": 1.0} for k, r in enumerate(quality.RULES)])
     assert [r.name for r in ranked] == [r.name for r in quality.RULES[::-1]]

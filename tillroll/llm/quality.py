@@ -17,10 +17,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import SPACE, count_words
 
-SAMPLE_ROWS = 2000
+SAMPLE_ROWS = 500      # texts that costs and rejections are estimated on, at most
 SYMBOLS = "#*$%&|<>"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_BLANKS = " \t\n\x0b\x0c\r"
 
 
 def _let(value: Column, body) -> Column:
@@ -28,75 +26,101 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _without(c: Column, chars: str) -> Column:
-    return F.length(c) - F.length(F.translate(c, chars, ""))
-
-
-def word_chars(t: Column) -> Column:
-    return F.length(F.translate(t, _BLANKS, "")).cast("long")
+def word_array(t: Column) -> Column:
+    return F.array_remove(F.split(t, f"[{SPACE}]+", -1), "")
 
 
 def symbol_count(t: Column) -> Column:
-    return _without(t, SYMBOLS).cast("long")
+    return F.regexp_count(t, F.lit(f"[{SYMBOLS}]")).cast("long")
 
 
 def line_counts(t: Column) -> Column:
     """struct(lines, dup): lines that hold a word; those equal to an earlier one."""
-    lines = F.filter(F.split(t, "\n", -1), lambda x: F.length(F.translate(x, _BLANKS, "")) > 0)
+    lines = F.filter(F.split(t, "\n", -1), lambda x: F.rlike(x, F.lit(f"[^{SPACE}]")))
     return _let(lines, lambda a: F.struct(
         F.size(a).cast("long").alias("lines"),
         (F.size(a) - F.size(F.array_distinct(a))).cast("long").alias("dup")))
 
 
-def repeated_words(t: Column) -> Column:
-    """Words inside three-word windows that occur twice or more in the text.
+def repeated_words(w: Column) -> Column:
+    """Words (of the array ``w``) inside three-word windows that occur twice or
+    more in the text.
 
-    Windows are ordered by (64-bit hash, position); neighbours with equal hash
-    are repeats, and the covered words are counted over the ordered positions.
+    A text whose windows' 64-bit hashes are all distinct has none.  Otherwise the
+    windows are ordered by (hash, position); neighbours with equal hash are
+    repeats, and the covered words are counted over the ordered positions.
     """
-    words = F.filter(F.split(t, f"[{SPACE}]+", -1), lambda w: w != "")
-
-    def windows(w):
-        return F.when(F.size(w) >= 4, F.transform(F.slice(w, 1, F.size(w) - 2), lambda _, i: F.struct(
-            F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)).alias("h"), i.alias("p"))))
+    windows = F.when(F.size(w) >= 4, F.transform(F.slice(w, 1, F.size(w) - 2), lambda x, i: F.xxhash64(
+        x, F.get(w, i + 1), F.get(w, i + 2))))
 
     def repeats(s):
         return F.transform(F.filter(s, lambda x, i: (F.get(s, i + 1)["h"] == x["h"])
                                     | ((i > 0) & F.coalesce(F.get(s, i - 1)["h"] == x["h"], F.lit(False)))),
                            lambda x: x["p"])
 
-    sorted_windows = _let(words, lambda w: F.sort_array(windows(w)))
-    at = _let(sorted_windows, lambda s: F.sort_array(repeats(s)))
-    covered = F.aggregate(
-        at, F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("end")),
-        lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3), p + 2 - acc["end"])).cast("long").alias("n"),
-                                (p + 2).alias("end")),
-        lambda acc: acc["n"])
-    return F.coalesce(covered, F.lit(0)).cast("long")
+    def covered(h):
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("p"))))
+        return F.aggregate(
+            _let(ordered, lambda s: F.sort_array(repeats(s))),
+            F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("end")),
+            lambda acc, p: F.struct((acc["n"] + F.least(F.lit(3), p + 2 - acc["end"])).cast("long").alias("n"),
+                                    (p + 2).alias("end")),
+            lambda acc: acc["n"])
+
+    zero = F.lit(0).cast("long")
+    return _let(windows, lambda h: F.when(h.isNull() | (F.size(F.array_distinct(h)) == F.size(h)), zero).otherwise(covered(h)))
+
+
+class Text:
+    """Measures of a text column as expressions; a report hands its columns in
+    (``known``), so that no measure is taken twice."""
+
+    def __init__(self, t: Column, **known: Column):
+        self.t, self.known = t, known
+
+    def __getattr__(self, name: str) -> Column:
+        return self.known[name] if name in self.known else getattr(self, "_" + name)()
+
+    def _n_words(self):
+        return count_words(self.t)
+
+    def _word_chars(self):
+        return F.length(F.array_join(word_array(self.t), "")).cast("long")
+
+    def _n_symbols(self):
+        return symbol_count(self.t)
+
+    def _lines(self):
+        return line_counts(self.t)
+
+    def _n_repeat_words(self):
+        return _let(word_array(self.t), repeated_words)
+
+    def _n_lettered(self):
+        return F.regexp_count(self.t, F.lit(rf"\p{{L}}[^{SPACE}]*"))
+
+    def _n_capitals(self):
+        return F.regexp_count(self.t, F.lit("[A-Z]"))
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``rejects``: text column -> boolean Column (true: the text goes)."""
+    """``rejects``: Text -> boolean Column (true: the text goes)."""
     name: str
     rejects: object
 
 
-def _dup_lines(t):
-    return _let(line_counts(t), lambda x: 100 * x["dup"] > 40 * x["lines"])
-
-
 BASE_RULES = (
-    Rule("few_words", lambda t: count_words(t) < 50),
-    Rule("repeated_windows", lambda t: 100 * repeated_words(t) > 50 * count_words(t)),
+    Rule("few_words", lambda m: m.n_words < 50),
+    Rule("repeated_windows", lambda m: 100 * m.n_repeat_words > 50 * m.n_words),
 )
 #: Thresholds after the public quality rules of large web corpora.
 METHOD_RULES = (
-    Rule("symbols", lambda t: 10 * symbol_count(t) > count_words(t)),
-    Rule("word_length", lambda t: (word_chars(t) < 3 * count_words(t)) | (word_chars(t) > 10 * count_words(t))),
-    Rule("duplicate_lines", _dup_lines),
-    Rule("few_letter_words", lambda t: 10 * F.regexp_count(t, F.lit(rf"\p{{L}}[^{SPACE}]*")) < 8 * count_words(t)),
-    Rule("capitals", lambda t: 10 * _without(t, _UPPER) > 4 * word_chars(t)),
+    Rule("symbols", lambda m: 10 * m.n_symbols > m.n_words),
+    Rule("word_length", lambda m: (m.word_chars < 3 * m.n_words) | (m.word_chars > 10 * m.n_words)),
+    Rule("duplicate_lines", lambda m: _let(m.lines, lambda x: 100 * x["dup"] > 40 * x["lines"])),
+    Rule("few_letter_words", lambda m: 10 * m.n_lettered < 8 * m.n_words),
+    Rule("capitals", lambda m: 10 * m.n_capitals > 4 * m.word_chars),
 )
 RULES = BASE_RULES + METHOD_RULES
 
@@ -110,7 +134,7 @@ def estimate(docs: DataFrame, rules=RULES, text_col: str = "text", sample_rows:
         found = []
         for r in rules:
             began = time.perf_counter()
-            hit = sample.agg(F.count(F.when(r.rejects(F.coalesce("t", F.lit(""))), 1))).first()[0]
+            hit = sample.agg(F.count(F.when(r.rejects(Text(F.coalesce("t", F.lit("")))), 1))).first()[0]
             found.append({"rule": r.name, "rows": rows, "rejected": hit, "seconds": time.perf_counter() - began})
         return found
     finally:
@@ -123,13 +147,12 @@ def order(rules, estimates: list[dict]) -> list:
     return sorted(rules, key=lambda r: (-by[r.name]["rejected"] / max(by[r.name]["seconds"], 1e-6), r.name))
 
 
-def first_failure(t: Column, rules) -> Column:
+def first_failure(m: Text, rules) -> Column:
     """Name of the first rule that rejects the text, NULL if none does; later
     rules are not evaluated once one has rejected."""
-    t = F.coalesce(t, F.lit(""))
-    c = F.when(rules[0].rejects(t), F.lit(rules[0].name))
+    c = F.when(rules[0].rejects(m), F.lit(rules[0].name))
     for r in rules[1:]:
-        c = c.when(r.rejects(t), F.lit(r.name))
+        c = c.when(r.rejects(m), F.lit(r.name))
     return c
 
 
@@ -139,7 +162,7 @@ def passes(docs: DataFrame, text_col: str = "text", rules=RULES, sample_rows: in
     NULL and empty texts have no words and go; equal rows share their fate.
     """
     ranked = order(rules, estimate(docs, rules, text_col, sample_rows))
-    return docs.where(first_failure(F.col(text_col), ranked).isNull())
+    return docs.where(first_failure(Text(F.coalesce(F.col(text_col), F.lit(""))), ranked).isNull())
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
@@ -150,14 +173,16 @@ def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts of the report; the method's rules run as a cascade behind them.
     """
     ranked = order(METHOD_RULES, estimate(docs, METHOD_RULES, text_col, sample_rows))
-    t = F.coalesce(F.col("__t"), F.lit(""))
-    counted = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("__t")).select(
-        "id", "__t", count_words(t).alias("n_words"), word_chars(t).alias("word_chars"),
-        symbol_count(t).alias("n_symbols"), line_counts(t)["dup"].alias("n_dup_lines"),
-        repeated_words(t).alias("n_repeat_words"))
+    t = F.col("t")
+    by_word = _let(word_array(t), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        repeated_words(w).alias("n_repeat_words")))
+    counted = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
+               .select("id", "t", by_word.alias("w"), line_counts(t).alias("lines"), symbol_count(t).alias("n_symbols"))
+               .select("id", "t", "w.*", "n_symbols", "lines"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    rule = F.when(~F.col("base_failed"), first_failure(F.col("__t"), ranked))
-    return (counted.withColumn("base_failed", failed).withColumn("rejected_by", rule)
-            .withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
-            .select("id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                    "base_failed", "kept", "rejected_by"))
+    known = Text(t, **{c: F.col(c) for c in ("n_words", "word_chars", "n_symbols", "lines")})
+    return (counted.withColumn("base_failed", failed)
+            .withColumn("rejected_by", F.when(~F.col("base_failed"), first_failure(known, ranked)))
+            .select("id", "n_words", "word_chars", "n_symbols", F.col("lines.dup").alias("n_dup_lines"), "n_repeat_words",
+                    "base_failed", (~F.col("base_failed") & F.col("rejected_by").isNull()).alias("kept"), "rejected_by"))
