@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from tests.conftest import SF_SMALL
-from tillroll.plans import generate
+from tillroll.plans import generate, silver, state
 from tillroll.session import work_dir
 from tillroll.sources import csv as csvio
 from tillroll.sources.adapters import Retail
@@ -75,18 +75,48 @@ def test_csv_corrupt_lines_are_kept(spark):
     assert row.customer_id is None and row[csvio.CORRUPT_COLUMN] is not None
 
 
-def test_versioned_sink_replay_is_idempotent(spark):
-    from tillroll.streaming.sinks import read_version, versioned_upsert
+def test_keyed_state(spark):
+    from tillroll.streaming.sinks import KeyedState
     root = work_dir(spark, "t-sink") + "/state"
-    sink = versioned_upsert(root, ["k"])
-    b0 = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
-    b1 = spark.createDataFrame([(2, "B"), (3, "c")], "k long, v string")
-    sink(b0, 0)
-    sink(b1, 1)
-    first = sorted(map(tuple, read_version(spark, root, 1).collect()))
-    sink(b1, 1)  # the same micro-batch delivered again after a failure
-    again = sorted(map(tuple, read_version(spark, root, 1).collect()))
-    assert first == again == [(1, "a"), (2, "B"), (3, "c")]
+
+    def merge(rows):
+        return rows.groupBy("k").agg(F.sum("n").cast("long").alias("n"))
+
+    st = KeyedState(spark, root, ["k"], merge, buckets=4, keep=2)
+    frame = lambda *r: spark.createDataFrame(list(r), "k long, n long")
+    assert st.latest() is None and st.apply(frame().limit(0), 0) is None
+    assert st.apply(frame((1, 1), (2, 2), (None, 7), (1, 5)), 1) == 1
+    first = dict(map(tuple, st.read().collect()))
+    assert first == {1: 6, 2: 2, None: 7}
+    assert st.apply(frame((2, 10)), 2) == 2
+    assert st.apply(frame((2, 10)), 2) == 2                    # the same batch delivered again
+    assert dict(map(tuple, st.read().collect())) == {1: 6, 2: 12, None: 7}
+    assert st.apply(frame().limit(0), 3) == 2 and st.versions() == [1, 2]
+    two = st.manifest(2)
+    assert sum(v == 2 for v in two.values()) == 1              # only the touched bucket is new
+    for v in (4, 5, 6):
+        st.apply(frame((1, 1)), v)
+    assert st.versions() == [5, 6]
+    assert dict(map(tuple, st.read().collect())) == {1: 9, 2: 12, None: 7}
+    assert dict(map(tuple, st.read(5).collect())) == {1: 8, 2: 12, None: 7}
+
+
+def test_streams_take_late_files_and_empty_runs(spark):
+    base = work_dir(spark, "t-late")
+    r = Retail(spark, SF_SMALL)
+    land = f"{base}/landing"
+    jobs_of = {"recent": jobs.recent_interest, "days": jobs.category_interest, "sessions": jobs.active_sessions}
+    versions = {}
+    for late in (False, True):
+        part = r.clickstream.where(F.col("event_timestamp") >= F.lit("2024-01-20").cast("timestamp_ntz"))
+        csvio.write_csv(r.clickstream.exceptAll(part) if late else part, land, mode="append")
+        for name, job in jobs_of.items():
+            versions[name] = job(spark, land, r.products, f"{base}/{name}", f"{base}/_ck_{name}")
+    for name, job in jobs_of.items():
+        assert job(spark, land, r.products, f"{base}/{name}", f"{base}/_ck_{name}") == versions[name]
+    assert jobs.day_state(spark, f"{base}/days").read().agg(F.sum("events")).first()[0] == r.clickstream.count()
+    whole = silver.clickstream_enriched(r.clickstream, r.products)
+    assert _rows(jobs.session_state(spark, f"{base}/sessions")) == _rows(state.active_sessions(whole))
 
 
 def test_medallion_registers_named_tables(spark):
@@ -104,6 +134,44 @@ def test_medallion_registers_named_tables(spark):
     assert info["Comment"].startswith("Recency-weighted") and "quality=gold" in info["Table Properties"]
 
 
+def test_second_run_keeps_state_and_bad_lines_stay_out(spark):
+    from datetime import timedelta
+    from tillroll.config import AS_OF
+    from tillroll.plans import medallion
+    base = work_dir(spark, "t-two-runs")
+    r = Retail(spark, SF_SMALL)
+    landing = {name: f"{base}/raw/{name}" for name in ("products", "customers", "purchases", "clickstream")}
+    for name, path in landing.items():
+        csvio.write_csv(getattr(r, name), path)
+    bad = spark.createDataFrame([("not-a-number", "x")], "a string, b string")
+    bad.write.mode("append").option("header", "true").csv(landing["customers"])
+    first = medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF - timedelta(days=20), register_prefix="two_")
+    offers1 = {x.offer_id: x.created_at for x in spark.read.parquet(first["personalized_offers"]).collect()}
+    assert spark.table("two_quarantine_customers").count() == 1
+    c360 = spark.read.parquet(first["customer_360"])
+    assert "_corrupt_record" not in c360.columns and c360.where("customer_id is null").count() == 0
+    assert spark.read.parquet(first["loyalty_status"]).where("customer_id is null").count() == 0
+    second = medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF, register_prefix="two_")
+    offers2 = {x.offer_id: x.created_at for x in spark.read.parquet(second["personalized_offers"]).collect()}
+    assert offers1.items() <= offers2.items() and len(offers2) > len(offers1)
+    assert spark.table("two_personalized_offers").count() == len(offers2)
+    assert spark.read.parquet(first["personalized_offers"]).count() == len(offers1)      # the old version is whole
+    assert spark.read.parquet(second["product_changes"]).count() == 0
+    names = {k: medallion.table_name(k, "two_") for k in second}
+    medallion.drop_tables(spark, names)
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("two_")]
+
+
+def test_generator_leaves_no_id_out_when_ids_have_gaps(spark):
+    prods = generate.generate_products(spark.range(0, 400, 7))
+    custs = generate.generate_customers(spark.range(0, 300, 11))
+    purch = generate.generate_purchases(spark.range(500), custs, prods)
+    clicks = generate.generate_clickstream(spark.range(1000), custs, prods)
+    assert purch.count() == 500 and clicks.count() == 1000
+    recent = clicks.where(F.col("event_timestamp") > F.lit("2024-01-29 12:00:00").cast("timestamp_ntz"))
+    assert recent.select("customer_id").distinct().count() >= 6
+
+
 def test_generated_data_runs_through_the_whole_chain(spark):
     from tillroll.plans import medallion
     from tillroll.sources.schemas import SOURCES
@@ -123,5 +191,5 @@ def test_generated_data_runs_through_the_whole_chain(spark):
     seg = spark.read.parquet(paths["customer_segments"])
     assert seg.count() == 50
     assert seg.filter(F.col("total_orders").isNotNull()).count() > 0
-    assert spark.read.parquet(paths["bronze_clickstream"]).filter(F.col("_corrupt_record").isNotNull()).count() == 0
+    assert spark.read.parquet(paths["quarantine_clickstream"]).count() == 0
     assert spark.read.parquet(paths["personalized_offers"]).count() > 0

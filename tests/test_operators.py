@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -89,13 +90,13 @@ def test_vector_topk_blocked_equals_brute_force(spark):
                                "vec_id long, embedding array<float>, label int")
     vec32 = {i: np.asarray(v, dtype=np.float32).astype(np.float64) for i, v in vecs.items()}
     # tiny blocks force many (block, bucket) cells
-    got = similarity.vector_topk(df, df, 4, q_block=7, d_block=11)
+    got = similarity.vector_topk(df, df, 4, query_blocks=7, doc_buckets=4)
     g = {}
     for r in got.orderBy("query_id", "rank").collect():
         g.setdefault(r.query_id, []).append(r.doc_id)
     assert g == _brute_cos(vec32, vec32, 4)
     # metadata filters: static and per-query (same label)
-    got_f = similarity.vector_topk(df, df, 3, filters={"label": [0, 1]}, same=["label"], q_block=9, d_block=13)
+    got_f = similarity.vector_topk(df, df, 3, filters={"label": [0, 1]}, same=["label"], query_blocks=3, doc_buckets=5)
     for r in got_f.collect():
         assert labels[r.doc_id] == labels[r.query_id] and labels[r.doc_id] in (0, 1)
     exp_f = _brute_cos({i: v for i, v in vec32.items() if labels[i] == 0},
@@ -112,7 +113,7 @@ def test_text_topk_equals_brute_force(spark):
     qs = [(10, "Red shoe!"), (11, "coat coat"), (12, "nothing matches"), (13, "")]
     d = spark.createDataFrame(docs, "doc_id long, text string")
     q = spark.createDataFrame(qs, "query_id long, text string")
-    got = similarity.text_topk(q, d, 2, q_block=1, d_block=2)
+    got = similarity.text_topk(q, d, 2, query_blocks=2, doc_buckets=3)
     res = {}
     for r in got.orderBy("query_id", "rank").collect():
         res.setdefault(r.query_id, []).append((r.doc_id, r.score))
@@ -187,8 +188,85 @@ def test_topk_exact_when_cells_spread_over_partitions(spark):
                                    "vec_id long, embedding array<float>")
         vec32 = {i: np.asarray(v, dtype=np.float32).astype(np.float64) for i, v in vecs.items()}
         got = {}
-        for r in similarity.vector_topk(df, df, 3, q_block=5, d_block=9).orderBy("query_id", "rank").collect():
+        for r in similarity.vector_topk(df, df, 3, query_blocks=5, doc_buckets=9).orderBy("query_id", "rank").collect():
             got.setdefault(r.query_id, []).append(r.doc_id)
         assert got == _brute_cos(vec32, vec32, 3)
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+
+
+def test_similarity_blocks_change_the_rows_shipped_not_the_result(spark):
+    rnd = np.random.default_rng(5)
+    df = spark.createDataFrame([(i, [float(x) for x in rnd.normal(size=4)]) for i in range(60)], "vec_id long, embedding array<float>")
+    few = df.where("vec_id % 20 = 0")
+    base = sorted(map(tuple, similarity.vector_topk(few, df, 4).collect()))
+    assert len(base) == 12
+    q = few.select(F.col("vec_id").alias("qid"))
+    d = df.select(F.col("vec_id").alias("did"))
+    for blocks, buckets in ((1, 1), (1, 6), (3, 4)):
+        assert sorted(map(tuple, similarity.vector_topk(few, df, 4, query_blocks=blocks, doc_buckets=buckets).collect())) == base
+        qc, dc = similarity.cells(q, d, blocks, buckets)
+        assert (qc.count(), dc.count()) == (3 * buckets, 60 * blocks)      # one block: every document travels once
+
+
+def test_keyed_writes_with_null_and_repeated_keys(spark):
+    kind = "a long, b string, v int, w string"
+    t = spark.createDataFrame([(1, None, 10, "x"), (1, "p", 11, "x"), (None, None, 12, "x")], kind)
+    u = spark.createDataFrame([(1, None, 20, "y"), (None, None, 21, "y"), (2, None, 22, "y")], kind)
+    keys = ["a", "b"]
+    rows = lambda df: sorted(map(tuple, df.collect()), key=str)
+    up = upsert.keyed_upsert(t, u, keys, ["v"])
+    assert rows(up) == sorted([(1, None, 20, "x"), (1, "p", 11, "x"), (None, None, 21, "x"), (2, None, 22, "y")], key=str)
+    twice = u.unionByName(u.withColumn("v", F.col("v") + 100))
+    with pytest.raises(Exception, match="key occurs more than once"):
+        upsert.keyed_upsert(t, twice, keys, ["v"]).collect()
+    last = upsert.keyed_upsert(t, twice, keys, ["v"], order_by=["v"])
+    assert rows(last) == sorted([(1, None, 120, "x"), (1, "p", 11, "x"), (None, None, 121, "x"), (2, None, 122, "y")], key=str)
+    ins = upsert.insert_if_absent(t, twice, keys)
+    assert len(rows(ins)) == 4 and rows(upsert.insert_if_absent(ins, twice, keys)) == rows(ins)
+    assert upsert.snapshot_diff(t, t, keys).count() == 0
+    diff = upsert.snapshot_diff(t, up, keys)
+    assert sorted(r.change for r in diff.collect()) == ["insert", "update", "update"]
+    assert rows(upsert.apply_changes(t, diff, keys)) == rows(up)
+    assert rows(upsert.apply_changes(up, upsert.snapshot_diff(up, t, keys), keys)) == rows(t)
+
+
+def test_diff_tells_values_with_separators_apart(spark):
+    old = spark.createDataFrame([(1, "a\u0001b", "c")], "k long, x string, y string")
+    new = spark.createDataFrame([(1, "a", "b\u0001c")], "k long, x string, y string")
+    assert [r.change for r in upsert.snapshot_diff(old, new, ["k"]).collect()] == ["update"]
+
+
+def test_searchable_versions_follow_the_catalog(spark):
+    from tests.conftest import SF_SMALL
+    from tillroll.plans import search
+    from tillroll.sources.adapters import Retail
+    p = Retail(spark, SF_SMALL).products.where("product_id < 20")
+    v1, feed = search.searchable_version(None, p.where("product_id < 15"))
+    assert {r.change for r in feed.collect()} == {"insert"} and v1.count() == 15
+    v2, feed = search.searchable_version(v1, p.where("product_id >= 5").withColumn("price", F.when(F.col("product_id") == 7, 0.0).otherwise(F.col("price"))))
+    assert sorted((r.change, r.product_id) for r in feed.collect()) == sorted(
+        [("delete", k) for k in range(5)] + [("insert", k) for k in range(15, 20)] + [("update", 7)])
+    assert sorted(r.product_id for r in v2.collect()) == list(range(5, 20))
+
+
+def test_state_defaults(spark):
+    from tillroll.plans import schemas
+    rows = schemas.with_defaults(spark.createDataFrame([("o1", 1, "C")], "offer_id string, customer_id long, offer_code string"),
+                                 "personalized_offers").first()
+    assert (rows.status, rows.offer_type, rows.relevance_score) == ("active", "recommendation", 0.0)
+    loyal = schemas.with_defaults(spark.createDataFrame([(1, None, None)], "customer_id long, loyalty_tier string, churn_risk_level string"),
+                                  "loyalty_status")
+    assert (loyal.first().loyalty_tier, loyal.first().churn_risk_level, loyal.first().points_balance) == ("Bronze", "Low", 0)
+    assert all(r.violations == 0 for r in schemas.audit(loyal, "loyalty_status").collect())
+
+
+def test_scratch_folder_must_be_shared_off_local_mode():
+    from types import SimpleNamespace
+    from tillroll import session
+    conf = SimpleNamespace(get=lambda k, d=None: None, set=lambda k, v: None)
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None, setCheckpointDir=lambda p: None)
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_root(SimpleNamespace(conf=conf, sparkContext=context))
+    context.master = "local[2]"
+    assert session.checkpoint_root(SimpleNamespace(conf=conf, sparkContext=context))

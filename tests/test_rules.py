@@ -142,7 +142,7 @@ def test_conversation_without_user_message_and_no_match(spark):
     assert out[1].product_context == NO_PRODUCTS_TEXT
     assert out[3].product_context == NO_PRODUCTS_TEXT
     assert out[2].product_context == "- blue hat (hat) by Acme in blue wool - $10.00, Rating: 4.5/5"
-    assert NO_PRODUCTS_TEXT in out[1].system_prompt and "Style Assistant" in out[1].system_prompt
+    assert NO_PRODUCTS_TEXT in out[1].system_prompt and "shopping assistant" in out[1].system_prompt
 
 
 def test_offers_with_string_customer_ids(spark):

@@ -3,54 +3,63 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tillroll.config import (
+    CHURN_CAP,
+    CHURN_STEPS,
+    CHURN_TERMS,
+    DEFAULT_CHURN_LEVEL,
+    DEFAULT_SEGMENT,
     DEFAULT_TIER,
     DEFAULT_TIER_THRESHOLD,
-    HIGH_VALUE_TIERS,
     OFFER_MAX_DISCOUNT,
     OFFER_MIN_DISCOUNT,
     OFFER_TYPES,
+    SEGMENT_RULES,
     TIER_THRESHOLDS,
 )
 from tillroll.functions.time import days_since
 
 
+def _within(value: Column, bounds: tuple) -> Column:
+    """``more than`` < value <= ``up to``; a missing bound is open."""
+    low, high = bounds
+    tests = ([value > low] if low is not None else []) + ([value <= high] if high is not None else [])
+    return reduce(lambda a, b: a & b, tests)
+
+
 def segment(tier="loyalty_tier", d_purchase="days_since_last_purchase",
             d_activity="days_since_last_activity", signup="signup_date",
-            as_of: datetime | None = None) -> Column:
-    """Six-way ordered segment rule.  NULL comparisons never match, so a
-    customer without purchases falls through to the later branches."""
-    t, dp, da = F.col(tier), F.col(d_purchase), F.col(d_activity)
-    high = t.isin(*HIGH_VALUE_TIERS)
-    return (
-        F.when(high & (dp <= 30), "High-Value Active")
-        .when(high & (dp > 30), "High-Value At-Risk")
-        .when((dp > 60) | (da > 30), "Dormant")
-        .when(days_since(signup, as_of) <= 90, "New")
-        .when((dp > 30) & (dp <= 60), "At-Risk")
-        .otherwise("Active")
-    )
+            as_of: datetime | None = None, rules=SEGMENT_RULES) -> Column:
+    """First matching rule of the segment table.  NULL comparisons never match,
+    so a customer without purchases falls through to the later rules."""
+    source = {"days_since_last_purchase": F.col(d_purchase), "days_since_last_activity": F.col(d_activity),
+              "days_since_signup": days_since(signup, as_of)}
+
+    def holds(alternative: dict) -> Column:
+        tests = [F.col(tier).isin(*bounds) if name == "tiers" else _within(source[name], bounds)
+                 for name, bounds in alternative.items()]
+        return reduce(lambda a, b: a & b, tests)
+
+    found = [F.when(reduce(lambda a, b: a | b, map(holds, alternatives)), F.lit(name)) for name, alternatives in rules]
+    return F.coalesce(*found, F.lit(DEFAULT_SEGMENT))
 
 
 def churn_score(d_purchase="days_since_last_purchase", d_activity="days_since_last_activity",
-                orders="total_orders") -> Column:
-    """least(100, d_purchase·1 + d_activity·0.5 − orders·2) with defaults
-    90 / 30 / 0 for missing values; no lower bound (negatives occur)."""
-    return F.least(
-        F.lit(100.0),
-        F.coalesce(F.col(d_purchase), F.lit(90)) * 1.0
-        + F.coalesce(F.col(d_activity), F.lit(30)) * 0.5
-        - F.coalesce(F.col(orders), F.lit(0)) * 2.0,
-    )
-
-
-def churn_level(score="churn_risk_score") -> Column:
-    s = F.col(score)
-    return F.when(s >= 70, "High").when(s >= 40, "Medium").otherwise("Low")
+                orders="total_orders", terms=CHURN_TERMS) -> Column:
+    """Weighted sum of the churn terms, capped above; no lower bound."""
+    named = dict(zip((name for name, _, _ in CHURN_TERMS), (d_purchase, d_activity, orders)))
+    parts = [F.coalesce(F.col(named[name]), F.lit(default)) * F.lit(weight) for name, default, weight in terms]
+    return F.least(F.lit(CHURN_CAP), reduce(lambda a, b: a + b, parts))
+
+
+def churn_level(score="churn_risk_score", steps=CHURN_STEPS) -> Column:
+    """Level of the highest step that the score reaches."""
+    return F.coalesce(*[F.when(F.col(score) >= least, F.lit(level)) for least, level in steps], F.lit(DEFAULT_CHURN_LEVEL))
 
 
 def tier_from_balance(balance: str | Column) -> Column:

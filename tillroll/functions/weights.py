@@ -7,8 +7,10 @@ from datetime import datetime
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tillroll.config import DEFAULT_EVENT_WEIGHT, EVENT_WEIGHTS, RECENT_INTEREST_WEIGHTS
-from tillroll.functions.time import ts_lit
+from tillroll.config import (
+    DEFAULT_EVENT_WEIGHT, DEFAULT_RECENCY, EVENT_WEIGHTS, RECENCY_STEPS, RECENT_INTEREST_WEIGHTS,
+)
+from tillroll.functions.time import date_lit, ts_lit
 
 
 def weight_from_dict(col: str | Column, weights: dict, default) -> Column:
@@ -30,18 +32,17 @@ def recent_interest_weight(col: str | Column = "event_type") -> Column:
     return weight_from_dict(col, RECENT_INTEREST_WEIGHTS, 0)
 
 
-def calendar_recency(ts: str | Column = "event_timestamp", as_of: datetime | None = None) -> Column:
-    """×3 since midnight two days before ``as_of``, ×2 since seven days, else ×1.
+def recency_of_day(day: Column, as_of: datetime | None = None, steps=RECENCY_STEPS) -> Column:
+    """Multiplier of a calendar day: the first step whose age it does not exceed."""
+    age = F.datediff(date_lit(as_of), day)
+    return F.coalesce(*[F.when(age <= days, F.lit(factor)) for days, factor in steps], F.lit(DEFAULT_RECENCY))
 
-    ``date_sub`` yields a date, so the cut-offs are calendar midnights, not
-    rolling hours (an event 62 hours old still gets ×3)."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    now = ts_lit(as_of)
-    return (
-        F.when(c >= F.date_sub(now, 2).cast("timestamp_ntz"), F.lit(3.0))
-        .when(c >= F.date_sub(now, 7).cast("timestamp_ntz"), F.lit(2.0))
-        .otherwise(F.lit(1.0))
-    )
+
+def calendar_recency(ts: str | Column = "event_timestamp", as_of: datetime | None = None) -> Column:
+    """Recency multiplier of an event, by its age in calendar days: the cut-offs
+    are midnights, not rolling hours (an event 62 hours old may still get the
+    first multiplier)."""
+    return recency_of_day(F.to_date(F.col(ts) if isinstance(ts, str) else ts), as_of)
 
 
 def within_hours(ts: str | Column, hours: int, as_of: datetime | None = None) -> Column:

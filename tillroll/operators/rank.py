@@ -30,10 +30,6 @@ def _parts(df: DataFrame, num_partitions: int | None) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
-def _null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[c]) for c in cols])
-
-
 def percent_rank_global(df: DataFrame, col: str, out: str = "percent_rank",
                         num_partitions: int | None = None) -> DataFrame:
     """``PERCENT_RANK() OVER (ORDER BY col ASC NULLS FIRST)`` for every row.
@@ -85,9 +81,13 @@ def row_number_in_groups(df: DataFrame, group_cols: list[str], order_cols: list[
             .drop("_pid", "_ln", "_off", *[f"_g_{c}" for c in ["_pid", *group_cols]]))
 
 
+def row_number_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], out: str = "rank") -> DataFrame:
+    """Rows numbered within groups of bounded size (one window per group)."""
+    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group_cols).orderBy(*order_cols)))
+
+
 def top_k_per_group(df: DataFrame, group_cols: list[str], order_cols: list[Column], k: int,
                     out: str = "rank") -> DataFrame:
     """Rows ranked 1..k per group.  The filter sits directly on the window so
     Spark plans a partial WindowGroupLimit before the shuffle."""
-    w = Window.partitionBy(*group_cols).orderBy(*order_cols)
-    return df.withColumn(out, F.row_number().over(w)).filter(F.col(out) <= k)
+    return row_number_per_group(df, group_cols, order_cols, out).filter(F.col(out) <= k)

@@ -1,23 +1,24 @@
 """Exact top-k similarity search as a blocked Spark job.
 
-Queries are hashed into B blocks and documents into D buckets; each
-(block, bucket) cell is one cogroup task that scores its queries against its
-documents with numpy and keeps only the k best per query.  A final
-``row_number() ≤ k`` per query merges the ≤ D·k candidates.  No pair rows
-are emitted; memory per task is bounded by the block sizes, not the data:
-
-* documents are replicated B times, queries D times (B = ⌈nq / q_block⌉,
-  D = ⌈nd / d_block⌉), so a small query batch costs one pass over the docs;
+The queries are a frame of their own: a bounded batch that meets all documents.
+They are hashed into ``query_blocks`` blocks and the documents into
+``doc_buckets`` buckets; each (block, bucket) cell is one cogroup task that
+scores its queries against its documents with numpy and keeps only the k best
+per query.  A final ``row_number() ≤ k`` per query merges the candidates.
+
+* Documents travel ``query_blocks`` times, queries ``doc_buckets`` times; with
+  one block (the default) every document is shipped once.  Both numbers are the
+  caller's: a task holds |queries| / query_blocks queries and |documents| /
+  doc_buckets documents.  They change the cost, never the rows.
 * ``same`` columns (metadata equality filters such as label) become extra
-  cogroup keys, so a query only ever meets documents of its own group;
-* ties are broken by document id, inside the cell and in the merge, so the
+  cogroup keys, so a query only ever meets documents of its own group.
+* Ties are broken by document id, inside the cell and in the merge, so the
   result is exact and deterministic.
+* No job runs while the plan is built.
 """
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -130,38 +131,24 @@ def _sparse_cell(k: int, vocab_chunk: int = VOCAB_CHUNK):
     return run
 
 
-def _parallelism(spark) -> int:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # noqa: BLE001  (no SparkContext, e.g. Spark Connect)
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+def cells(queries: DataFrame, docs: DataFrame, query_blocks: int, doc_buckets: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with their cell keys (identically typed, so the two halves of
+    a cell hash to the same partition)."""
+    def place(df, key, own, n, other, m):
+        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).withColumn(
+            other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))) if m > 1 else F.lit(0))
+    return (place(queries, "qid", "_blk", query_blocks, "_bkt", doc_buckets),
+            place(docs, "did", "_bkt", doc_buckets, "_blk", query_blocks))
 
 
 def blocked_topk(queries: DataFrame, docs: DataFrame, k: int, cell, same: list[str] = (),
-                 q_block: int = 1000, d_block: int = 20000,
-                 n_queries: int | None = None, n_docs: int | None = None) -> DataFrame:
+                 query_blocks: int = 1, doc_buckets: int | None = None) -> DataFrame:
     """Generic exact top-k: ``queries`` has ``qid`` + payload, ``docs`` has
     ``did`` + payload (same payload schema); returns (query_id, doc_id,
-    score, rank)."""
-    nq = n_queries if n_queries is not None else queries.count()
-    nd = n_docs if n_docs is not None else docs.count()
-    b = max(1, math.ceil(nq / q_block))
-    dd = max(1, math.ceil(nd / d_block))
-    # At least two cells per core, so small inputs still use every core
-    # (smaller query blocks; total work is unchanged, only the documents are
-    # shipped to more cells).
-    par = _parallelism(queries.sparkSession)
-    min_cells = 2 * par
-    if b * dd < min_cells:
-        b = max(1, min(max(nq, 1), math.ceil(min_cells / dd)))
-    same = list(same)
+    score, rank).  ``doc_buckets`` defaults to spark.sql.shuffle.partitions."""
+    buckets = doc_buckets or int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    q, d = cells(queries, docs, query_blocks, buckets)
     keys = ["_blk", "_bkt", *same]
-    # Both sides carry identically typed (int) cell keys, so the two halves
-    # of a cell hash to the same partition.
-    q = (queries.withColumn("_blk", F.pmod(F.xxhash64("qid"), F.lit(b)).cast("int"))
-         .withColumn("_bkt", F.explode(F.sequence(F.lit(0), F.lit(dd - 1)))))  # int
-    d = (docs.withColumn("_bkt", F.pmod(F.xxhash64("did"), F.lit(dd)).cast("int"))
-         .withColumn("_blk", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))))  # int
     out_schema = StructType([StructField("query_id", queries.schema["qid"].dataType),
                              StructField("doc_id", docs.schema["did"].dataType),
                              StructField("score", DoubleType())])
@@ -185,6 +172,7 @@ def vector_topk(queries: DataFrame, vectors: DataFrame, k: int = 5, *, id_col: s
     return blocked_topk(qq, dv, k, _dense_cell(k), same, **block)
 
 
+TOKEN_SPREAD = 16      # parts that the documents of one token are dealt over
 TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
 
 
@@ -194,7 +182,7 @@ def tokens(text_col: str):
 
 def text_topk(queries: DataFrame, docs: DataFrame, k: int = 5, *, query_id: str = "query_id",
               query_text: str = "text", doc_id: str = "doc_id", doc_text: str = "text",
-              filters: dict | None = None, **block) -> DataFrame:
+              filters: dict | None = None, vocab_chunk: int = VOCAB_CHUNK, **block) -> DataFrame:
     """TF-IDF cosine top-k of every query text over the document texts.
 
     Tokens: lower-cased runs of letters/digits.  idf = ln((1+N)/(1+df)) + 1
@@ -204,13 +192,17 @@ def text_topk(queries: DataFrame, docs: DataFrame, k: int = 5, *, query_id: str
     for col, val in (filters or {}).items():
         d = d.filter(F.col(col).isin(*val) if isinstance(val, (list, tuple, set)) else F.col(col) == val)
     d = d.filter(F.col(doc_text).isNotNull())
-    n_docs = d.count()
+    n_docs = d.select(F.count("*")).scalar()
     dtf = (d.select(F.col(doc_id).alias("did"), tokens(doc_text).alias("token"))
            .filter(F.col("token") != "").groupBy("did", "token").agg(F.count(F.lit(1)).alias("tf")))
     idf = (dtf.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
-           .select("token", (F.log((F.lit(n_docs) + 1).cast("double") / (F.col("df") + 1).cast("double")) + 1.0)
+           .select("token", (F.log((n_docs + 1).cast("double") / (F.col("df") + 1).cast("double")) + 1.0)
                    .alias("idf")))
-    dw = dtf.join(idf, "token").withColumn("w", F.col("tf") * F.col("idf"))
+    # A token of every text would bring all documents to one task: each token's
+    # weight is dealt to TOKEN_SPREAD parts and meets its documents there.
+    spread = idf.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(TOKEN_SPREAD - 1))))
+    dw = (dtf.withColumn("_part", F.pmod(F.xxhash64("did"), F.lit(TOKEN_SPREAD)).cast("int"))
+          .join(spread, ["token", "_part"]).select("did", "token", (F.col("tf") * F.col("idf")).alias("w")))
     qtf = (queries.select(F.col(query_id).alias("qid"), tokens(query_text).alias("token"))
            .filter(F.col("token") != "").groupBy("qid", "token").agg(F.count(F.lit(1)).alias("tf")))
     qw = qtf.join(idf, "token").withColumn("w", F.col("tf") * F.col("idf"))
@@ -221,8 +213,4 @@ def text_topk(queries: DataFrame, docs: DataFrame, k: int = 5, *, query_id: str
             F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
             .select(key, F.col("tw.token").alias("tokens"), F.col("tw.w").alias("weights"), "norm"))
 
-    # Block counts come from the raw inputs (cheap), not the vectorised frames.
-    return blocked_topk(vecs(qw, "qid"), vecs(dw, "did"), k,
-                        _sparse_cell(k, block.get("vocab_chunk", VOCAB_CHUNK)),
-                        q_block=block.get("q_block", 1000), d_block=block.get("d_block", 5000),
-                        n_queries=queries.count(), n_docs=n_docs)
+    return blocked_topk(vecs(qw, "qid"), vecs(dw, "did"), k, _sparse_cell(k, vocab_chunk), **block)

@@ -8,17 +8,15 @@ sums go through DECIMAL, and double literals are cast explicitly.
 
 from __future__ import annotations
 
-from datetime import date, timedelta
 
 from tillroll.config import (
-    AS_OF, CLICK_PRODUCTS, DEVICE_TYPES, FOCUS_CATEGORY, ORDER_DATE_SHIFT_DAYS,
-    PAYMENT_METHODS, PURCHASE_HISTORY_START, REFERRERS, SEARCH_TERMS, STORE_TYPES,
-    TEST_CATEGORIES,
+    AS_OF, CHURN_CAP, CHURN_STEPS, CHURN_TERMS, DEFAULT_CHURN_LEVEL, DEFAULT_EVENT_WEIGHT, DEFAULT_RECENCY,
+    DEFAULT_SEGMENT, DEVICE_TYPES, EVENT_WEIGHTS, ORDER_DATE_SHIFT_DAYS, PAYMENT_METHODS, RECENCY_STEPS,
+    RECENT_INTEREST_WEIGHTS, REFERRERS, SEARCH_TERMS, SEGMENT_RULES, STORE_TYPES, TEST_CATEGORIES,
 )
 
 ASOF_TS = f"TIMESTAMP '{AS_OF:%Y-%m-%d %H:%M:%S}'"
 ASOF_D = f"DATE '{AS_OF:%Y-%m-%d}'"
-_START = (date.fromisoformat(PURCHASE_HISTORY_START) - timedelta(days=ORDER_DATE_SHIFT_DAYS)).isoformat()
 
 
 def _lst(values) -> str:
@@ -29,6 +27,46 @@ def _pick(values, idx) -> str:
     return f"{_lst(values)}[({idx}) % {len(values)} + 1]"
 
 
+def case_of(column: str, values: dict, default) -> str:
+    """CASE over a dict of values."""
+    return f"CASE {column} " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in values.items()) + f" ELSE {default} END"
+
+
+def _segment_sql(d: str) -> str:
+    """The segment rules as one CASE."""
+    days = {"days_since_signup": f"date_diff('day', signup_date, {d})"}
+
+    def test(name, bounds):
+        if name == "tiers":
+            return f"list_contains({_lst(bounds)}, loyalty_tier)"
+        value, (low, high) = days.get(name, name), bounds
+        return " AND ".join(([f"{value} > {low}"] if low is not None else []) + ([f"{value} <= {high}"] if high is not None else []))
+
+    rules = [f"WHEN {' OR '.join('(' + ' AND '.join(test(n, b) for n, b in alt.items()) + ')' for alt in alts)} THEN '{name}'"
+             for name, alts in SEGMENT_RULES]
+    return f"CASE {' '.join(rules)} ELSE '{DEFAULT_SEGMENT}' END"
+
+
+def _churn_sql() -> str:
+    terms = [f"CAST(COALESCE({c}, {d}) AS DOUBLE) * CAST({w} AS DOUBLE)" for c, d, w in CHURN_TERMS]
+    return f"LEAST(CAST({CHURN_CAP} AS DOUBLE), {' + '.join(terms)})"
+
+
+def _level_sql() -> str:
+    return ("CASE " + " ".join(f"WHEN churn_risk_score >= {x} THEN '{n}'" for x, n in CHURN_STEPS)
+            + f" ELSE '{DEFAULT_CHURN_LEVEL}' END")
+
+
+def recency_sql(ts: str, now: str) -> str:
+    age = f"date_diff('day', CAST({ts} AS DATE), CAST({now} AS DATE))"
+    return ("CAST(CASE " + " ".join(f"WHEN {age} <= {d} THEN {f}" for d, f in RECENCY_STEPS)
+            + f" ELSE {DEFAULT_RECENCY} END AS DOUBLE)")
+
+
+EVENT_WEIGHT_SQL = case_of("event_type", EVENT_WEIGHTS, DEFAULT_EVENT_WEIGHT)
+RECENT_WEIGHT_SQL = case_of("event_type", RECENT_INTEREST_WEIGHTS, 0)
+
+
 def views(as_of=AS_OF, s: str = "") -> str:
     """The retail views as CTEs, seen at ``as_of`` (purchases and events after
     it are invisible); ``s`` suffixes every view name for a second snapshot."""
@@ -73,8 +111,7 @@ purchases{s} AS (
          {_pick(STORE_TYPES, 'l_linenumber')} AS store_type
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey
        LEFT JOIN part ON l_partkey = p_partkey
-  WHERE o_orderdate >= TIMESTAMP '{_START}'
-    AND o_orderdate + INTERVAL {ORDER_DATE_SHIFT_DAYS} DAY <= {ts}),
+  WHERE o_orderdate + INTERVAL {ORDER_DATE_SHIFT_DAYS} DAY <= {ts}),
 click_raw{s} AS (
   SELECT e.event_id, e.ts, e.user_id,
          CASE e.event_type
@@ -84,8 +121,10 @@ click_raw{s} AS (
            WHEN 'signup' THEN 'add_to_wishlist'
            WHEN 'error' THEN CASE WHEN e.event_id % 2 = 0 THEN 'remove_from_cart' ELSE 'error' END
            ELSE e.event_type END AS event_type,
-         e.event_id % {CLICK_PRODUCTS} AS pk, p.p_type, p.p_brand
-  FROM events e LEFT JOIN part p ON e.event_id % {CLICK_PRODUCTS} = p.p_partkey
+         e.pk, p.p_type, p.p_brand
+  FROM (SELECT ev.*, k.lo + ev.event_id % k.span AS pk
+        FROM events ev, (SELECT MIN(p_partkey) AS lo, MAX(p_partkey) - MIN(p_partkey) + 1 AS span FROM part) k) e
+       LEFT JOIN part p ON e.pk = p.p_partkey
   WHERE e.ts <= {ts}),
 clickstream{s} AS (
   SELECT event_id,
@@ -114,9 +153,7 @@ sales_orders{s} AS (
        JOIN part ON l_partkey = p_partkey),
 clickstream_enriched{s} AS (
   SELECT c.*, p.product_name, p.subcategory, p.price, p.material,
-         CASE c.event_type WHEN 'page_view' THEN 1 WHEN 'product_view' THEN 2 WHEN 'search' THEN 3
-              WHEN 'add_to_wishlist' THEN 4 WHEN 'add_to_cart' THEN 5 WHEN 'checkout_start' THEN 6
-              WHEN 'remove_from_cart' THEN -1 ELSE 1 END AS event_weight,
+         {EVENT_WEIGHT_SQL} AS event_weight,
          CAST(c.event_timestamp AS DATE) AS event_date,
          CAST(hour(c.event_timestamp) AS INTEGER) AS event_hour
   FROM clickstream{s} c LEFT JOIN products{s} p ON c.product_id = p.product_id),
@@ -145,23 +182,13 @@ customer_360{s} AS (
   FROM customers{s} c LEFT JOIN purchase_agg{s} pa USING (customer_id) LEFT JOIN click_agg{s} ca USING (customer_id)),
 customer_segments_all{s} AS (
   SELECT *,
-    CASE WHEN loyalty_tier IN ('Gold', 'Platinum') AND days_since_last_purchase <= 30 THEN 'High-Value Active'
-         WHEN loyalty_tier IN ('Gold', 'Platinum') AND days_since_last_purchase > 30 THEN 'High-Value At-Risk'
-         WHEN days_since_last_purchase > 60 OR days_since_last_activity > 30 THEN 'Dormant'
-         WHEN date_diff('day', signup_date, {d}) <= 90 THEN 'New'
-         WHEN days_since_last_purchase > 30 AND days_since_last_purchase <= 60 THEN 'At-Risk'
-         ELSE 'Active' END AS segment,
-    LEAST(CAST(100 AS DOUBLE),
-          CAST(COALESCE(days_since_last_purchase, 90) AS DOUBLE) * 1.0
-          + CAST(COALESCE(days_since_last_activity, 30) AS DOUBLE) * 0.5
-          - CAST(COALESCE(total_orders, 0) AS DOUBLE) * 2.0) AS churn_risk_score
+         {_segment_sql(d)} AS segment, {_churn_sql()} AS churn_risk_score
   FROM customer_360{s}),
 customer_segments{s} AS (
   SELECT customer_id, first_name, last_name, email, loyalty_tier, loyalty_points, lifetime_value,
          total_orders, total_spend, avg_order_value, last_purchase_date, days_since_last_purchase,
          total_events, last_activity, days_since_last_activity, segment, churn_risk_score,
-         CASE WHEN churn_risk_score >= 70 THEN 'High' WHEN churn_risk_score >= 40 THEN 'Medium' ELSE 'Low' END
-           AS churn_risk_level,
+         {_level_sql()} AS churn_risk_level,
          preferred_categories
   FROM customer_segments_all{s}),
 category_interest{s} AS (
@@ -169,10 +196,7 @@ category_interest{s} AS (
            AS interest_rank
   FROM (
     SELECT customer_id, category,
-           SUM(CAST(event_weight AS DOUBLE) *
-               CASE WHEN event_timestamp >= CAST(CAST({ts} AS DATE) - 2 AS TIMESTAMP) THEN 3.0
-                    WHEN event_timestamp >= CAST(CAST({ts} AS DATE) - 7 AS TIMESTAMP) THEN 2.0
-                    ELSE 1.0 END) AS interest_score,
+           SUM(CAST(event_weight AS DOUBLE) * {recency_sql('event_timestamp', ts)}) AS interest_score,
            COUNT(*) AS event_count, MAX(event_timestamp) AS last_interaction,
            COUNT(DISTINCT product_id) AS unique_products_viewed
     FROM clickstream_enriched{s} GROUP BY customer_id, category) x)

@@ -1,21 +1,26 @@
 """The whole chain as one job: raw CSV → bronze → silver → gold → state.
 
-Each dataset is written once (parquet, layer in the path) and read back by
-the next stage, which cuts lineage and lets a failed stage restart from the
-last written layer.  Bronze ingestion is incremental (stream checkpoints),
-everything after it is recomputed in full, as declared datasets are."""
+Bronze ingestion is incremental (stream checkpoints); lines that do not parse
+go to quarantine tables, never further.  Silver and gold are computed from the
+good lines, state tables by keyed writes on their last version.  Every run
+writes new versions of its tables and then one run record that names them;
+names in the catalog are switched to the new location.  A run that fails half
+way leaves the last record, and so all tables, as they were.
+"""
 
 from __future__ import annotations
 
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.config import AS_OF
-from tillroll.plans import gold, silver, state
+from tillroll.operators.upsert import insert_if_absent, keyed_upsert
+from tillroll.plans import gold, search, silver, state
+from tillroll.plans.schemas import STATE_TABLES, with_defaults
+from tillroll.sources.csv import CORRUPT_COLUMN, ingest, read_csv_stream
 from tillroll.sources.schemas import SOURCES
-from tillroll.sources.csv import ingest, read_csv_stream
-
 
 # dataset → (quality layer, description) used when registering the tables
 DATASETS = {
@@ -23,45 +28,58 @@ DATASETS = {
     "bronze_customers": ("bronze", "Customer profiles as landed, one row per CSV line"),
     "bronze_purchases": ("bronze", "Purchase history as landed, one row per CSV line"),
     "bronze_clickstream": ("bronze", "Click events as landed, one row per CSV line"),
+    "quarantine_products": ("quarantine", "Product lines that did not parse"),
+    "quarantine_customers": ("quarantine", "Customer lines that did not parse"),
+    "quarantine_purchases": ("quarantine", "Purchase lines that did not parse"),
+    "quarantine_clickstream": ("quarantine", "Click event lines that did not parse"),
     "clickstream_enriched": ("silver", "Click events with product details, event weight, date and hour"),
     "purchase_enriched": ("silver", "Purchases with product details and purchase month"),
     "customer_360": ("silver", "One row per customer: profile, purchase and click aggregates, recency"),
     "category_interest": ("gold", "Recency-weighted interest per customer and category, ranked"),
     "customer_segments": ("gold", "Segment and churn risk per customer"),
+    "products_searchable": ("gold", "Products with their search text, keyed by product_id"),
+    "product_changes": ("gold", "Change feed of the searchable products since the last run"),
     "loyalty_status": ("state", "Loyalty tier, points, progress and segment per customer"),
     "personalized_offers": ("state", "Offers for the top interests of each customer"),
     "active_sessions": ("state", "Live state per browsing session"),
 }
 
-
 # datasets written partitioned (column list)
 PARTITIONED = {"clickstream_enriched": ["event_date"]}
 
 
 def table_name(dataset: str, prefix: str = "") -> str:
     layer = DATASETS[dataset][0]
-    name = dataset if layer in ("bronze", "state") else f"{layer}_{dataset}"
+    name = f"{layer}_{dataset}" if layer in ("silver", "gold") else dataset
     return f"{prefix}{name}"
 
 
 def register_tables(spark: SparkSession, paths: dict[str, str], prefix: str = "") -> dict[str, str]:
     """Register every written dataset as an external parquet table with a
-    comment and a quality property, so later jobs read it by name."""
+    comment and a quality property, so later jobs read it by name.  A table
+    that exists is switched to the new location; it is never dropped."""
     names = {}
     for dataset, path in paths.items():
         quality, comment = DATASETS[dataset]
         name = table_name(dataset, prefix)
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}' "
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{path}' "
                   f"COMMENT '{comment}' TBLPROPERTIES ('quality' = '{quality}')")
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         if dataset in PARTITIONED:
             spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
         names[dataset] = name
     return names
 
 
+def drop_tables(spark: SparkSession, names: dict[str, str]) -> None:
+    """Remove table names (the files of external tables stay)."""
+    for name in names.values():
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
-    """Overwrite a layer table.  Before a partitioned write the rows are
+    """Write a table version.  Before a partitioned write the rows are
     rebalanced on the partition columns (AQE splits a hot date across tasks
     and merges small ones), avoiding both one-task dates and file floods."""
     if partition_by:
@@ -72,10 +90,46 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] = ()) -> None:
     w.parquet(path)
 
 
+class Runs:
+    """Run records under ``out``: which version of every table is current."""
+
+    def __init__(self, spark: SparkSession, out: str):
+        self.spark, self.root = spark, f"{out}/_runs"
+
+    def _all(self) -> DataFrame | None:
+        jvm = self.spark._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.root)
+        fs = p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf())
+        if not fs.exists(p):
+            return None
+        return self.spark.read.schema("dataset string, path string, run long").parquet(self.root)
+
+    def last(self) -> tuple[int, dict[str, str]]:
+        """(number, dataset → path) of the last finished run; (0, {}) if none."""
+        records = self._all()
+        if records is None:
+            return 0, {}
+        number = records.agg(F.max("run")).first()[0] or 0
+        return number, {r.dataset: r.path for r in records.where(F.col("run") == number).collect()}   # a row per table
+
+    def commit(self, number: int, paths: dict[str, str]) -> None:
+        rows = self.spark.createDataFrame(sorted(paths.items()), "dataset string, path string")
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/run={number}")
+
+
+def split_bad_lines(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good rows without the corrupt column, the bad lines' text)."""
+    bad = F.col(CORRUPT_COLUMN).isNotNull()
+    return bronze.where(~bad).drop(CORRUPT_COLUMN), bronze.where(bad).select(F.col(CORRUPT_COLUMN).alias("line"))
+
+
 def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
                   as_of: datetime = AS_OF, register_prefix: str | None = None) -> dict[str, str]:
-    """Run every stage; returns dataset name → table path.  With
+    """Run every stage; returns dataset name → path of its new version.  With
     ``register_prefix`` the tables are also registered in the catalog."""
+    runs = Runs(spark, out)
+    number, current = runs.last()
+    number += 1
     paths: dict[str, str] = {}
     # The four ingestion streams run concurrently (start all, then await all).
     running = []
@@ -86,25 +140,43 @@ def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
         paths[f"bronze_{name}"] = p
     for q in running:
         q.awaitTermination()
-    b = {name: spark.read.parquet(paths[f"bronze_{name}"]) for name in SOURCES}
-
-    def stage(layer: str, name: str, df: DataFrame, partition_by=()) -> DataFrame:
-        p = f"{out}/{layer}/{name}"
-        write_table(df, p, list(partition_by))
-        paths[name] = p
-        return spark.read.parquet(p)
-
-    clicks = stage("silver", "clickstream_enriched",
-                   silver.clickstream_enriched(b["clickstream"], b["products"]),
-                   PARTITIONED["clickstream_enriched"])
-    stage("silver", "purchase_enriched", silver.purchase_enriched(b["purchases"], b["products"]))
-    c360 = stage("silver", "customer_360",
-                 silver.customer_360(b["customers"], b["purchases"], b["clickstream"], as_of))
-    interest = stage("gold", "category_interest", gold.category_interest(clicks, as_of))
-    segments = stage("gold", "customer_segments", gold.customer_segments(c360, as_of))
-    stage("state", "loyalty_status", state.loyalty_status(segments, as_of))
-    stage("state", "personalized_offers", state.personalized_offers(interest, b["products"], as_of))
-    stage("state", "active_sessions", state.active_sessions(clicks))
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        paths[name] = f"{out}/{DATASETS[name][0]}/{name}/run={number}"
+        write_table(df, paths[name], PARTITIONED.get(name, ()))
+        return spark.read.parquet(paths[name])
+
+    def stored(name: str) -> DataFrame | None:
+        return spark.read.parquet(current[name]) if name in current else None
+
+    b = {}
+    for name in SOURCES:
+        b[name], lines = split_bad_lines(spark.read.parquet(paths[f"bronze_{name}"]))
+        stage(f"quarantine_{name}", lines)
+
+    clicks = stage("clickstream_enriched", silver.clickstream_enriched(b["clickstream"], b["products"]))
+    stage("purchase_enriched", silver.purchase_enriched(b["purchases"], b["products"]))
+    c360 = stage("customer_360", silver.customer_360(b["customers"], b["purchases"], b["clickstream"], as_of))
+    interest = stage("category_interest", gold.category_interest(clicks, as_of))
+    segments = stage("customer_segments", gold.customer_segments(c360, as_of))
+
+    searchable, changes = search.searchable_version(stored("products_searchable"), b["products"])
+    stage("product_changes", changes)
+    stage("products_searchable", searchable)
+
+    # state tables: keyed writes on their last version, defaults filled in
+    fresh = {"loyalty_status": state.loyalty_status(segments, as_of),
+             "personalized_offers": state.personalized_offers(interest, b["products"], as_of),
+             "active_sessions": state.active_sessions(clicks)}
+    for name, rows in fresh.items():
+        spec, old = STATE_TABLES[name], stored(name)
+        rows = with_defaults(rows, name)
+        if old is not None and spec.on_conflict == "update":
+            rows = keyed_upsert(old, rows, list(spec.key), list(spec.update or rows.columns))
+        elif old is not None:
+            rows = insert_if_absent(old, rows, list(spec.key))
+        stage(name, rows)
+    runs.commit(number, paths)
     if register_prefix is not None:
         register_tables(spark, paths, register_prefix)
     return paths

@@ -60,6 +60,15 @@ WIDGETS = {
     "order_status_table": ("order_status_summary", ["status", "order_count", "total_revenue"]),
 }
 
+# Dimensions and status that a dataset needs of the sales fact.
+NEEDS = {
+    "revenue_by_category": (("category",), None),
+    "revenue_by_region": (("region",), None),
+    "monthly_trend": ((), "Completed"),
+    "order_status_summary": ((), None),
+    "kpi_totals": ((), "Completed"),
+}
+
 DATASETS = {
     "revenue_by_category": revenue_by_category,
     "revenue_by_region": revenue_by_region,

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tillroll.functions.text import search_text
+from tillroll.operators.similarity import text_topk, vector_topk
+from tillroll.operators.upsert import apply_changes, one_per_key, snapshot_diff
+
 
 def customer_context(c360: DataFrame, interest: DataFrame, max_rank: int = 3) -> DataFrame:
     """Customer ⟕ interest ON key AND rank ≤ max_rank: the rank predicate is
@@ -17,9 +21,6 @@ def customer_context(c360: DataFrame, interest: DataFrame, max_rank: int = 3) ->
                     "i.category", "i.interest_score")
 
 
-from tillroll.functions.text import search_text  # noqa: E402
-from tillroll.operators.similarity import text_topk, vector_topk  # noqa: E402
-
 SEARCHABLE_COLUMNS = ["product_id", "product_name", "category", "subcategory", "brand", "color",
                       "material", "price", "rating", "description", "tags"]
 
@@ -29,6 +30,19 @@ def products_searchable(products: DataFrame) -> DataFrame:
     return products.select(*SEARCHABLE_COLUMNS, search_text().alias("search_text"))
 
 
+def searchable_version(stored: DataFrame | None, products: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(next version, change feed) of the searchable table.
+
+    The feed is keyed on product_id (insert, update, delete against the stored
+    version, all inserts without one); an index that applies it to its own copy
+    reaches the next version, which is built the same way here."""
+    new = one_per_key(products_searchable(products), ["product_id"])
+    if stored is None:
+        return new, new.select("product_id", F.lit("insert").alias("change"), *[c for c in new.columns if c != "product_id"])
+    changes = snapshot_diff(stored, new, ["product_id"])
+    return apply_changes(stored, changes, ["product_id"]), changes
+
+
 def product_text_search(queries: DataFrame, searchable: DataFrame, k: int = 5,
                         filters: dict | None = None) -> DataFrame:
     """Top-k products per query text: (query_id, rank, score, product columns).

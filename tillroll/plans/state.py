@@ -18,6 +18,9 @@ from tillroll.functions.time import ts_lit
 from tillroll.functions.weights import event_weight
 from tillroll.operators.rank import row_number_in_groups
 
+#: Parts that a category's customers are dealt over when they meet its product count.
+SPREAD = 64
+
 LOYALTY_UPDATE_COLUMNS = [
     "loyalty_tier", "points_balance", "lifetime_value", "total_orders", "next_tier_threshold",
     "tier_progress_pct", "segment", "churn_risk_level", "last_purchase_date",
@@ -70,14 +73,18 @@ def personalized_offers(interest: DataFrame, products: DataFrame,
         "customer_id", F.coalesce(F.col("category"), F.lit(UNKNOWN_OFFER_CATEGORY)).alias("category"),
         F.coalesce(F.col("interest_score"), F.lit(0.0)).alias("relevance_score"),
         F.coalesce(F.col("interest_rank"), F.lit(1)).alias("interest_rank"))
-    counts = products.groupBy("category").agg(F.count(F.lit(1)).alias("_n"))
+    # Few categories carry all rows: the counts (a row per category) are dealt
+    # once to each of SPREAD parts, so a category's customers meet them there.
+    counts = (products.groupBy("category").agg(F.count("*").alias("_n"))
+              .withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))))
     slots = slots if slots is not None else product_slots(products)  # reusable across runs
     key_type = top.schema["customer_id"].dataType
     if isinstance(key_type, NumericType):
         ckey = F.col("customer_id").cast("long")
     else:  # string ids: a stable non-negative number per id
         ckey = F.pmod(F.xxhash64("customer_id"), F.lit(1 << 31))
-    want = (top.join(counts, "category")
+    top = top.withColumn("_part", F.pmod(F.xxhash64("customer_id"), F.lit(SPREAD)).cast("int"))
+    want = (top.join(counts, ["category", "_part"])
             .withColumn("slot", F.pmod(ckey * 31 + F.col("interest_rank"), F.col("_n"))))
     j = want.join(slots, ["category", "slot"])
     now = ts_lit(as_of)
@@ -97,53 +104,54 @@ def personalized_offers(interest: DataFrame, products: DataFrame,
     )
 
 
+SESSION_KEYS = ["session_id", "category", "product_id"]
+
+
 def session_partials(enriched: DataFrame) -> DataFrame:
-    """Mergeable session state per (session_id, category): weight sum, set of
-    products, cart adds/removes, first time, latest (time, event_id, device).
-    Partial-aggregated map-side, so a hot session shrinks before the shuffle."""
-    et = F.col("event_type")
+    """Mergeable session state, one row per (session, category, product): weight
+    sum, cart adds/removes, first time, latest (time, event_id, device).  No
+    row grows with a session's events."""
     latest = F.struct("event_timestamp", "event_id")
-    return enriched.groupBy("session_id", "category").agg(
+    return enriched.groupBy(*SESSION_KEYS).agg(
         F.max("customer_id").alias("customer_id"),
         F.sum(event_weight("event_type")).cast("long").alias("score"),
-        F.collect_set("product_id").alias("products"),
-        F.count_if(et == "add_to_cart").alias("adds"),
-        F.count_if(et == "remove_from_cart").alias("removes"),
+        *[F.count_if(F.col("event_type") == kind).alias(name)
+          for name, kind in (("adds", "add_to_cart"), ("removes", "remove_from_cart"))],
         F.min("event_timestamp").alias("started"),
-        F.max_by(F.struct(latest.alias("k"), F.col("device_type").alias("device")), latest).alias("last"),
+        F.max(F.struct(latest.alias("k"), F.col("device_type").alias("device"))).alias("last"),
     )
 
 
 def merge_session_partials(partials: DataFrame) -> DataFrame:
-    """Combine several partial rows of the same (session, category)."""
-    return partials.groupBy("session_id", "category").agg(
+    """Combine several partial rows of the same (session, category, product)."""
+    return partials.groupBy(*SESSION_KEYS).agg(
         F.max("customer_id").alias("customer_id"),
-        F.sum("score").cast("long").alias("score"),
-        F.array_distinct(F.flatten(F.collect_list("products"))).alias("products"),
-        F.sum("adds").cast("long").alias("adds"),
-        F.sum("removes").cast("long").alias("removes"),
-        F.min("started").alias("started"),
-        F.max_by("last", F.col("last.k")).alias("last"),
-    )
+        *[F.sum(c).cast("long").alias(c) for c in ("score", "adds", "removes")],
+        F.min("started").alias("started"), F.max("last").alias("last"))
 
 
 def sessions_from_partials(partials: DataFrame) -> DataFrame:
     """Session rows: current category / device of the latest event (ties:
     event_id), top category score, distinct products, cart items =
-    max(0, adds − removes), first and last activity."""
-    return partials.groupBy("session_id").agg(
+    max(0, adds − removes), first and last activity.
+
+    The distinct products are counted in two steps on (session, product)."""
+    best = (partials.groupBy("session_id", "category").agg(F.sum("score").alias("score"))
+            .groupBy("session_id").agg(F.max("score").cast("double").alias("top_interest_score")))
+    per = partials.groupBy("session_id").agg(
         F.max("customer_id").alias("customer_id"),
-        F.max_by("category", F.col("last.k")).alias("current_category"),
-        F.max("score").cast("double").alias("top_interest_score"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("products")))).cast("int").alias("products_viewed"),
+        F.max(F.struct(F.col("last.k").alias("k"), F.col("last.device").alias("device"),
+                       F.col("category").alias("category"))).alias("last"),
+        F.count_distinct("product_id").cast("int").alias("products_viewed"),
         F.greatest(F.lit(0), F.sum("adds") - F.sum("removes")).cast("int").alias("cart_items"),
-        F.max_by(F.col("last.device"), F.col("last.k")).alias("device_type"),
-        F.min("started").alias("started_at"),
-        F.max(F.col("last.k.event_timestamp")).alias("last_activity"),
-    )
+        F.min("started").alias("started_at"))
+    return per.join(best, "session_id").select(
+        "session_id", "customer_id", F.col("last.category").alias("current_category"), "top_interest_score",
+        "products_viewed", "cart_items", F.col("last.device").alias("device_type"), "started_at",
+        F.col("last.k.event_timestamp").alias("last_activity"))
 
 
 def active_sessions(enriched: DataFrame) -> DataFrame:
-    """Live session state per session_id: a two-level aggregate (per session
-    and category, then per session), both partial-aggregated map-side."""
+    """Live session state per session_id: an aggregate per (session, category,
+    product), then per session, both partial-aggregated before the shuffle."""
     return sessions_from_partials(session_partials(enriched))

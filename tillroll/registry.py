@@ -1,7 +1,9 @@
 """Registered queries: name → (spark, sf_dir) → DataFrame.
 
-Every query reads the given tables (through the retail adapters) over their
-whole extent; the matching DuckDB SQL lives in ``tillroll.oracle``."""
+Every query reads the whole of the given tables it needs, through the retail
+adapters; snapshot queries hide what lies after their reference time, and the
+vector searches take every fiftieth vector as their query set.  The matching
+DuckDB SQL lives in ``tillroll.oracle``."""
 
 from __future__ import annotations
 
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from tillroll.config import AS_OF
 from tillroll.functions.time import parse_ts
 from tillroll.functions.weights import calendar_recency, event_weight
+from tillroll.session import work_dir
 from tillroll.plans import gold, reports, silver
 from tillroll.sources.adapters import Retail
 
@@ -47,7 +50,7 @@ def interest(r: Retail) -> DataFrame:
 # ---- dashboard --------------------------------------------------------------
 
 for _name, _fn in reports.DATASETS.items():
-    QUERIES[_name] = (lambda f: lambda spark, d: f(Retail(spark, d).sales_orders))(_fn)
+    QUERIES[_name] = (lambda f, need: lambda spark, d: f(Retail(spark, d).sales(*need)))(_fn, reports.NEEDS[_name])
 
 
 @query("dashboard_widgets")
@@ -171,7 +174,7 @@ def q_top_lapsed_browsers(spark, d):
 
 from tillroll.config import PREV_DAY, PREV_WEEK, SEARCH_QUERY  # noqa: E402
 from tillroll.operators import upsert as ups  # noqa: E402
-from tillroll.plans import serving, state  # noqa: E402
+from tillroll.plans import schemas, serving, state  # noqa: E402
 
 
 def loyalty_at(spark, d, as_of) -> DataFrame:
@@ -238,14 +241,13 @@ def q_snapshot_diff(spark, d):
 @query("state_constraints")
 def q_state_constraints(spark, d):
     r = Retail(spark, d)
-    a = ups.state_violations(r.purchases, "purchases", ["transaction_id"],
-                             ["customer_id", "product_id", "purchase_date"])
-    b = ups.state_violations(loyalty_at(spark, d, AS_OF), "loyalty_status", ["customer_id"],
-                             ["loyalty_tier", "points_balance"])
-    c = ups.state_violations(offers_book(spark, d), "personalized_offers", ["offer_id"],
-                             ["customer_id", "offer_code", "relevance_score", "offer_type", "status"])
-    s = ups.state_violations(sessions(spark, d), "active_sessions", ["session_id"], ["customer_id"])
-    return a.unionByName(b).unionByName(c).unionByName(s)
+    found = ups.state_violations(r.purchases, "purchases", ["transaction_id"],
+                                 ["customer_id", "product_id", "purchase_date"])
+    tables = {"loyalty_status": loyalty_at(spark, d, AS_OF), "personalized_offers": offers_book(spark, d),
+              "active_sessions": sessions(spark, d)}
+    for name, rows in tables.items():
+        found = found.unionByName(schemas.audit(schemas.with_defaults(rows, name), name))
+    return found
 
 
 @query("top3_interests")
@@ -306,21 +308,49 @@ def chat_queries(spark, d) -> DataFrame:
     return m.select(F.col("conv_id").alias("query_id"), F.col("user_message").alias("text"))
 
 
+def _older_products(spark, d) -> DataFrame:
+    """The catalog before a price round: other prices on every seventh product,
+    every eleventh not yet listed, and some that are listed no more."""
+    p = Retail(spark, d).products
+    key = F.col("product_id")
+    price = F.when(key % 7 == 0, F.col("price") + 1).otherwise(F.col("price"))
+    gone = p.where(key % 13 == 0).withColumn("product_id", -1 - key)
+    return p.where(key % 11 != 0).withColumn("price", price).unionByName(gone)
+
+
+def _synced(spark, d) -> tuple[str, str]:
+    """(searchable table, change feed) written on top of an older version."""
+    base = work_dir(spark, "searchable")
+    first, _ = search.searchable_version(None, _older_products(spark, d))
+    first.write.parquet(f"{base}/table/v=1")
+    table, feed = search.searchable_version(spark.read.parquet(f"{base}/table/v=1"), Retail(spark, d).products)
+    feed.write.parquet(f"{base}/feed/v=2")
+    table.write.parquet(f"{base}/table/v=2")
+    return f"{base}/table/v=2", f"{base}/feed/v=2"
+
+
 @query("products_searchable")
 def q_products_searchable(spark, d):
-    return searchable(spark, d)
+    """The searchable table as read back after a sync."""
+    return spark.read.parquet(_synced(spark, d)[0])
+
+
+@query("product_index_sync")
+def q_product_index_sync(spark, d):
+    """The change feed of that sync, keyed on product_id."""
+    return spark.read.parquet(_synced(spark, d)[1])
 
 
 @query("vector_topk")
 def q_vector_topk(spark, d):
     v = Retail(spark, d).vectors
-    return search.similar_vectors(v, v, k=SEARCH_RESULTS)
+    return search.similar_vectors(v.where("vec_id % 50 = 0"), v, k=SEARCH_RESULTS)
 
 
 @query("vector_topk_filtered")
 def q_vector_topk_filtered(spark, d):
     v = Retail(spark, d).vectors
-    return search.similar_vectors(v, v, k=SEARCH_RESULTS, same=["label"])
+    return search.similar_vectors(v.where("vec_id % 50 = 0"), v, k=SEARCH_RESULTS, same=["label"])
 
 
 @query("text_topk")
@@ -370,7 +400,6 @@ def q_mask_cards(spark, d):
 
 # ---- CSV landing zone and streams -------------------------------------------
 
-from tillroll.session import work_dir  # noqa: E402
 from tillroll.sources import csv as csvio  # noqa: E402
 from tillroll.sources.schemas import SOURCES  # noqa: E402
 from tillroll.streaming import jobs  # noqa: E402
@@ -397,13 +426,28 @@ def q_csv_roundtrip(spark, d):
     return csvio.read_csv(spark, base, SOURCES["customers"])
 
 
-def _land_clicks_in_two_arrivals(spark, d, landing):
-    """Older events first, the last week later — the second file set must be
-    picked up alone."""
+def _land_clicks_in_two_arrivals(spark, d, landing, newest_first=False):
+    """Older events and the last week's as two sets of files; the second set
+    must be picked up alone."""
     c = Retail(spark, d).clickstream
     cut = F.lit(PREV_WEEK.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
-    yield lambda: csvio.write_csv(c.filter(F.col("event_timestamp") < cut), landing, mode="append")
-    yield lambda: csvio.write_csv(c.filter(F.col("event_timestamp") >= cut), landing, mode="append")
+    parts = [c.filter(F.col("event_timestamp") < cut), c.filter(F.col("event_timestamp") >= cut)]
+    for part in reversed(parts) if newest_first else parts:
+        yield lambda part=part: csvio.write_csv(part, landing, mode="append")
+
+
+def _merged_stream(spark, d, name, job):
+    """Run a merging job on two arrivals, the newer events first, and once more
+    without new files; returns (state root, current version)."""
+    base = work_dir(spark, name)
+    products = Retail(spark, d).products
+    args = (spark, f"{base}/landing", products, f"{base}/state", f"{base}/_ckpt")
+    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing", newest_first=True):
+        land()
+        version = job(*args)
+    if job(*args) != version:
+        raise RuntimeError(f"{name}: a run without new files changed the version")
+    return f"{base}/state", version
 
 
 @query("stream_ingest")
@@ -429,26 +473,18 @@ def q_stream_enrich(spark, d):
 
 @query("stream_recent_interest")
 def q_stream_recent_interest(spark, d):
-    base = work_dir(spark, "stream-interest")
-    products = Retail(spark, d).products
-    last = -1
-    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
-        land()
-        b = jobs.recent_interest(spark, f"{base}/landing", products, f"{base}/state", f"{base}/_ckpt")
-        last = b if b is not None and b >= 0 else last
-    return jobs.interest_at(spark, f"{base}/state", last, AS_OF)
+    return jobs.interest_at(spark, *_merged_stream(spark, d, "stream-interest", jobs.recent_interest), AS_OF)
 
 
 @query("stream_active_sessions")
 def q_stream_active_sessions(spark, d):
-    base = work_dir(spark, "stream-sessions")
-    products = Retail(spark, d).products
-    last = -1
-    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
-        land()
-        b = jobs.active_sessions(spark, f"{base}/landing", products, f"{base}/state", f"{base}/_ckpt")
-        last = b if b is not None and b >= 0 else last
-    return jobs.session_state(spark, f"{base}/state", last)
+    return jobs.session_state(spark, *_merged_stream(spark, d, "stream-sessions", jobs.active_sessions))
+
+
+@query("stream_category_interest")
+def q_stream_category_interest(spark, d):
+    root, version = _merged_stream(spark, d, "stream-cat-interest", jobs.category_interest)
+    return jobs.interest_from_days(jobs.day_state(spark, root).read(version), AS_OF)
 
 
 # ---- whole chain and generator ----------------------------------------------
@@ -456,17 +492,33 @@ def q_stream_active_sessions(spark, d):
 from tillroll.plans import generate, medallion  # noqa: E402
 
 
-@query("medallion_run")
-def q_medallion_run(spark, d):
+def _two_runs(spark, d) -> dict[str, str]:
+    """The whole chain run twice, a week apart: the second run finds the later
+    events and purchases landed and writes its state on the first run's.
+    Returns the paths of the second run's tables."""
     base = work_dir(spark, "medallion")
-    r = Retail(spark, d)
-    landing = {}
-    for name in SOURCES:
-        landing[name] = f"{base}/raw/{name}"
-        csvio.write_csv(getattr(r, name), landing[name])
+    now, then = Retail(spark, d), Retail(spark, d, PREV_WEEK)
+    after = F.lit(PREV_WEEK.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    landing = {name: f"{base}/raw/{name}" for name in SOURCES}
+    first = {"products": now.products, "customers": now.customers, "purchases": then.purchases, "clickstream": then.clickstream}
+    later = {"purchases": now.purchases.where(F.col("purchase_date") > after),
+             "clickstream": now.clickstream.where(F.col("event_timestamp") > after)}
     prefix = "r" + base.rsplit("-", 1)[-1][:8] + "_"
-    medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF, register_prefix=prefix)
-    return spark.table(medallion.table_name("customer_segments", prefix))
+    for frames, as_of in ((first, PREV_WEEK), (later, AS_OF)):
+        for name, df in frames.items():
+            csvio.write_csv(df, landing[name], mode="append")
+        paths = medallion.run_medallion(spark, landing, f"{base}/lake", as_of, register_prefix=prefix)
+    names = {k: medallion.table_name(k, prefix) for k in paths}
+    for dataset in ("customer_segments", "loyalty_status"):        # the names lead to the second run's versions
+        if spark.table(names[dataset]).inputFiles()[0].count("run=2") != 1:
+            raise RuntimeError(f"{names[dataset]} was not switched")
+    medallion.drop_tables(spark, names)
+    return paths
+
+
+for _key, _dataset in (("medallion_run", "customer_segments"), ("medallion_loyalty", "loyalty_status"),
+                       ("medallion_offers", "personalized_offers"), ("medallion_sessions", "active_sessions")):
+    QUERIES[_key] = (lambda name: lambda spark, d: spark.read.parquet(_two_runs(spark, d)[name]))(_dataset)
 
 
 def _gen_products(spark, d):
@@ -505,15 +557,3 @@ def q_index_sync(spark, d):
     old, new = _recent(spark, d, PREV_DAY), _recent(spark, d, AS_OF)
     keys = ["customer_id", "category"]
     return ups.apply_changes(old, ups.snapshot_diff(old, new, keys), keys)
-
-
-@query("stream_category_interest")
-def q_stream_category_interest(spark, d):
-    base = work_dir(spark, "stream-cat-interest")
-    products = Retail(spark, d).products
-    last = -1
-    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
-        land()
-        b = jobs.category_interest(spark, f"{base}/landing", products, f"{base}/state", f"{base}/_ckpt")
-        last = b if b is not None and b >= 0 else last
-    return jobs.interest_from_days(spark.read.parquet(jobs.version_path(f"{base}/state", last)), AS_OF)

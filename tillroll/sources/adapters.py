@@ -6,18 +6,16 @@ written on the stored columns so they reach the parquet scan.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.config import (
-    CLICK_PRODUCTS,
     DEVICE_TYPES,
     ORDER_DATE_SHIFT_DAYS,
     ORDER_STATUS,
     PAYMENT_METHODS,
-    PURCHASE_HISTORY_START,
     REFERRERS,
     SEARCH_TERMS,
     STORE_TYPES,
@@ -85,16 +83,10 @@ def customers(t: Tables) -> DataFrame:
     )
 
 
-def _history_start_orderdate() -> str:
-    start = date.fromisoformat(PURCHASE_HISTORY_START) - timedelta(days=ORDER_DATE_SHIFT_DAYS)
-    return start.isoformat()
-
-
 def purchases(t: Tables, as_of: datetime | None = None) -> DataFrame:
-    # The 12-month window (and the as_of horizon) are written on o_orderdate
-    # itself as constant bounds, so they are pushed into the orders scan and
-    # prune lineitem through the join.
-    o = t.orders.filter(F.col("o_orderdate") >= F.lit(_history_start_orderdate()).cast("timestamp_ntz"))
+    """Every line item; ``as_of`` hides later orders (a bound on o_orderdate
+    itself, so it is pushed into the orders scan)."""
+    o = t.orders
     if as_of is not None:
         horizon = as_of - timedelta(days=ORDER_DATE_SHIFT_DAYS)
         o = o.filter(F.col("o_orderdate") <= ts_lit(horizon))
@@ -129,14 +121,14 @@ def _click_event_type() -> F.Column:
 
 
 def clickstream(t: Tables, as_of: datetime | None = None) -> DataFrame:
-    # Only CLICK_PRODUCTS rows of part are ever referenced (p_partkey is the
-    # key, so this side is proven <= 200 rows): broadcast it.
-    p = (t.part.filter(F.col("p_partkey") < CLICK_PRODUCTS)
-         .select("p_partkey", "p_type", "p_brand"))
+    """Every event; its product is drawn from the whole key range of part."""
+    p = t.part.select("p_partkey", "p_type", "p_brand")
+    first = t.part.select(F.min("p_partkey")).scalar()
+    span = t.part.select(F.max("p_partkey") - F.min("p_partkey") + 1).scalar()
     e = t.events if as_of is None else t.events.filter(F.col("ts") <= ts_lit(as_of))
     e = e.withColumn("event_type", _click_event_type())
-    e = e.withColumn("_pk", F.col("event_id") % CLICK_PRODUCTS)
-    j = e.join(F.broadcast(p), e._pk == p.p_partkey, "left")
+    e = e.withColumn("_pk", first + F.col("event_id") % span)
+    j = e.join(p, F.col("_pk") == F.col("p_partkey"), "left")
     is_search = F.col("event_type") == "search"
     term = _pick(SEARCH_TERMS, F.col("event_id"))
     product_id = F.when(is_search, F.lit(None).cast("long")).otherwise(F.col("_pk"))
@@ -159,26 +151,34 @@ def clickstream(t: Tables, as_of: datetime | None = None) -> DataFrame:
     )
 
 
-def sales_orders(t: Tables) -> DataFrame:
-    li, o, c, n, r, p = t.lineitem, t.orders, t.customer, t.nation, t.region, t.part
-    status = F.col("o_orderstatus")
-    st = None
-    for code, label in ORDER_STATUS.items():
-        st = F.when(status == code, label) if st is None else st.when(status == code, label)
-    # Order-level dimensions first (orders-sized, ~1/4 of lineitem), so at
-    # scale lineitem is shuffled once by orderkey and once by partkey, never
-    # by custkey; nation/region are 25/5 rows and broadcast by size.
-    order_dims = (o.join(c, o.o_custkey == c.c_custkey)
-                  .join(n, c.c_nationkey == n.n_nationkey)
-                  .join(r, n.n_regionkey == r.r_regionkey)
-                  .select("o_orderkey", "o_orderstatus", "o_orderdate", "r_name"))
-    j = (li.select("l_orderkey", "l_partkey", "l_extendedprice", "l_discount", "l_quantity")
-           .join(order_dims, li.l_orderkey == order_dims.o_orderkey)
-           .join(p.select("p_partkey", "p_type"), li.l_partkey == p.p_partkey))
-    return j.select(
-        F.col("p_type").alias("category"),
-        F.col("r_name").alias("region"),
-        st.alias("status"),
+def order_status(code: F.Column) -> F.Column:
+    """Dashboard label of a stored status code."""
+    return F.element_at(F.create_map(*[F.lit(x) for kv in ORDER_STATUS.items() for x in kv]), code)
+
+
+def sales_orders(t: Tables, dims: tuple[str, ...] = ("category", "region"), status: str | None = None) -> DataFrame:
+    """The sales fact: one row per line item with status, revenue, quantity,
+    order date and the dimensions asked for.
+
+    Only the tables of those dimensions are joined.  ``status`` keeps one label
+    and filters on the stored code, so the orders scan is pruned."""
+    o = t.orders
+    if status is not None:
+        o = o.filter(F.col("o_orderstatus").isin(*[c for c, label in ORDER_STATUS.items() if label == status]))
+    # Inner joins: a line without its order, customer or part is no sale.  The
+    # order-level dimensions come first, so lineitem-sized rows move only by
+    # orderkey and partkey; nation and region are small and broadcast by size.
+    if "region" in dims:
+        place = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+            "n_nationkey", F.col("r_name").alias("region"))
+        buyers = t.customer.join(place, F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "region")
+        o = o.join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    lines = t.lineitem.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    if "category" in dims:
+        lines = lines.join(t.part.select("p_partkey", F.col("p_type").alias("category")), F.col("l_partkey") == F.col("p_partkey"))
+    return lines.select(
+        *dims,
+        order_status(F.col("o_orderstatus")).alias("status"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)").alias("revenue"),
         F.col("l_quantity").alias("quantity"),
         F.col("o_orderdate").alias("order_date"),
@@ -237,6 +237,10 @@ class Retail:
     def sales_orders(self):
         return self._get("sales_orders", lambda: sales_orders(self.t), False)
 
+    def sales(self, dims: tuple[str, ...] = (), status: str | None = None):
+        """The sales fact with only the given dimensions (and one status)."""
+        return self._get(f"sales {dims} {status}", lambda: sales_orders(self.t, dims, status), False)
+
     @property
     def vectors(self):
         return self._get("vectors", lambda: vectors(self.t), False)

@@ -11,11 +11,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.config import AS_OF
-from tillroll.functions.weights import recent_interest_weight
-from tillroll.plans import silver, state
+from tillroll.functions.weights import recency_of_day, recent_interest_weight
+from tillroll.plans import gold, silver, state
 from tillroll.sources.csv import ingest, read_csv_stream
 from tillroll.sources.schemas import CLICKSTREAM
-from tillroll.streaming.sinks import read_version, version_path, versioned_upsert
+from tillroll.streaming.sinks import KeyedState, merge_sink
 
 
 def bronze(spark: SparkSession, landing: str, schema, out: str, checkpoint: str,
@@ -47,134 +47,102 @@ def _window_start_offset(spark: SparkSession, as_of: datetime, slide: timedelta)
     return f"{epoch % int(slide.total_seconds())} seconds"
 
 
+def run_merge(spark: SparkSession, landing: str, products: DataFrame, state: KeyedState, partials, checkpoint: str) -> int | None:
+    """Merge all newly landed clicks into a keyed state; returns the current
+    version (the same one as before if nothing had landed, None if nothing ever
+    has)."""
+    clicks = read_csv_stream(spark, landing, CLICKSTREAM)
+    query = (silver.clickstream_enriched(clicks, products).writeStream
+             .option("checkpointLocation", checkpoint).foreachBatch(merge_sink(state, partials))
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return state.latest()
+
+
+# ---- rolling recent interest ------------------------------------------------------
+
+RECENT_KEYS = ["window_start", "window_end", "customer_id", "category"]
+
+
+def recent_state(spark: SparkSession, root: str) -> KeyedState:
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*RECENT_KEYS).agg(*[F.sum(c).cast("long").alias(c) for c in ("recent_interest_score", "events_48h")])
+    return KeyedState(spark, root, ["customer_id"], merge)
+
+
 def recent_interest(spark: SparkSession, landing: str, products: DataFrame, root: str,
                     checkpoint: str, as_of: datetime = AS_OF, hours: int = 48,
-                    slide: timedelta = timedelta(days=1), watermark: str = "1 hour") -> int:
+                    slide: timedelta = timedelta(days=1)) -> int | None:
     """Sliding ``hours``-long windows (one per ``slide``, aligned so one window
     ends at ``as_of``) of the analyst interest score per customer × category.
 
-    Update mode: each micro-batch emits only the windows it changed, and the
-    versioned upsert sink keeps the latest row per (window, customer,
-    category).  Events older than the watermark may be dropped.  Returns the
-    last committed batch id (the version to read)."""
-    clicks = read_csv_stream(spark, landing, CLICKSTREAM)
-    enriched = silver.clickstream_enriched(clicks, products)
-    # Watermarks need an instant type: event time as TIMESTAMP (session
-    # zone), converted back to wall clock for the window bounds.
-    enriched = enriched.withColumn("_event_time", F.col("event_timestamp").cast("timestamp"))
-    win = F.window("_event_time", f"{hours} hours", f"{int(slide.total_seconds())} seconds",
-                   _window_start_offset(spark, as_of, slide))
-    agg = (enriched.withWatermark("_event_time", watermark)
-           .groupBy(win.alias("window"), "customer_id", "category")
-           .agg(F.sum(recent_interest_weight("event_type")).cast("long").alias("recent_interest_score"),
-                F.count(F.lit(1)).alias("events_48h"))
-           .select(F.col("window.start").cast("timestamp_ntz").alias("window_start"),
-                   F.col("window.end").cast("timestamp_ntz").alias("window_end"),
-                   "customer_id", "category", "recent_interest_score", "events_48h"))
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(versioned_upsert(root, ["window_start", "window_end", "customer_id", "category"]))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q.lastProgress["batchId"] if q.lastProgress else -1
-
-
-def interest_at(spark: SparkSession, root: str, batch_id: int, as_of: datetime = AS_OF) -> DataFrame:
-    """The window ending at ``as_of`` from the latest state version."""
-    return (read_version(spark, root, batch_id)
+    Each batch is aggregated per window and merged into the state by key, so an
+    event counts whenever it arrives.  Returns the current version."""
+    offset = _window_start_offset(spark, as_of, slide)
+
+    def partials(batch: DataFrame) -> DataFrame:
+        win = F.window(F.col("event_timestamp").cast("timestamp"), f"{hours} hours", f"{int(slide.total_seconds())} seconds", offset)
+        return (batch.groupBy(win.alias("window"), "customer_id", "category")
+                .agg(F.sum(recent_interest_weight("event_type")).cast("long").alias("recent_interest_score"),
+                     F.count("*").alias("events_48h"))
+                .select(*[F.col(f"window.{e}").cast("timestamp_ntz").alias(f"window_{e}") for e in ("start", "end")],
+                        "customer_id", "category", "recent_interest_score", "events_48h"))
+    return run_merge(spark, landing, products, recent_state(spark, root), partials, checkpoint)
+
+
+def interest_at(spark: SparkSession, root: str, version: int | None = None, as_of: datetime = AS_OF) -> DataFrame:
+    """The window ending at ``as_of`` from a state version (default: latest)."""
+    return (recent_state(spark, root).read(version)
             .filter(F.col("window_end") == F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
             .select("customer_id", "category", "recent_interest_score", "events_48h"))
 
 
-def category_interest(spark: SparkSession, landing: str, products: DataFrame, root: str,
-                      checkpoint: str, watermark: str = "1 hour") -> int:
+# ---- category interest by day ------------------------------------------------------
+
+DAY_KEYS = ["event_day", "customer_id", "category", "product_id"]
+
+
+def day_state(spark: SparkSession, root: str) -> KeyedState:
+    def merge(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*DAY_KEYS).agg(
+            *[F.sum(c).cast("long").alias(c) for c in ("weight", "events")], F.max("last_interaction").alias("last_interaction"))
+    return KeyedState(spark, root, ["customer_id"], merge)
+
+
+def category_interest(spark: SparkSession, landing: str, products: DataFrame, root: str, checkpoint: str) -> int | None:
     """Streaming form of the gold category interest.
 
-    The ×3/×2/×1 multiplier depends only on an event's calendar day relative
-    to ``as_of``, so the state is kept per (customer, category, day): weight
-    sum, event count, last time and product set, in tumbling 1-day windows
-    (watermarked, so closed days leave the state store), upserted per batch
-    into a versioned table.  ``interest_from_days`` applies the multipliers
-    at read time for any ``as_of``.  Returns the last committed batch id."""
-    clicks = read_csv_stream(spark, landing, CLICKSTREAM)
-    enriched = (silver.clickstream_enriched(clicks, products)
-                .withColumn("_event_time", F.col("event_timestamp").cast("timestamp")))
-    day = F.window("_event_time", "1 day", startTime=_window_start_offset(spark, datetime(2000, 1, 1),
-                                                                          timedelta(days=1)))
-    agg = (enriched.withWatermark("_event_time", watermark)
-           .groupBy(day.alias("day"), "customer_id", "category")
-           .agg(F.sum(F.col("event_weight")).cast("long").alias("weight"),
-                F.count(F.lit(1)).alias("events"),
-                F.max("event_timestamp").alias("last_interaction"),
-                F.collect_set("product_id").alias("products"))
-           .select(F.to_date(F.col("day.start").cast("timestamp_ntz")).alias("event_day"),
-                   "customer_id", "category", "weight", "events", "last_interaction", "products"))
-    q = (agg.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
-         .foreachBatch(versioned_upsert(root, ["event_day", "customer_id", "category"]))
-         .trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q.lastProgress["batchId"] if q.lastProgress else -1
+    The recency multiplier depends only on an event's calendar day relative to
+    ``as_of``, so the state holds a row per (day, customer, category, product):
+    weight sum, event count, last time.  ``interest_from_days`` applies the
+    multipliers at read time for any ``as_of``.  Returns the current version."""
+    def partials(batch: DataFrame) -> DataFrame:
+        return batch.withColumn("event_day", F.to_date("event_timestamp")).groupBy(*DAY_KEYS).agg(
+            F.sum("event_weight").cast("long").alias("weight"), F.count("*").alias("events"),
+            F.max("event_timestamp").alias("last_interaction"))
+    return run_merge(spark, landing, products, day_state(spark, root), partials, checkpoint)
 
 
 def interest_from_days(days: DataFrame, as_of: datetime = AS_OF) -> DataFrame:
-    """gold category interest from per-day state: Σ weight × multiplier(day),
-    with the calendar cut-offs of ``calendar_recency`` (day ≥ as_of − 2 → ×3,
-    ≥ as_of − 7 → ×2, else ×1), then ranks per customer."""
-    from pyspark.sql import Window
-    d = F.col("event_day")
-    cut2 = F.date_sub(F.lit(as_of.date().isoformat()).cast("date"), 2)
-    cut7 = F.date_sub(F.lit(as_of.date().isoformat()).cast("date"), 7)
-    mult = F.when(d >= cut2, F.lit(3.0)).when(d >= cut7, F.lit(2.0)).otherwise(F.lit(1.0))
-    agg = days.groupBy("customer_id", "category").agg(
-        F.sum(F.col("weight") * mult).alias("interest_score"),
-        F.sum("events").alias("event_count"),
-        F.max("last_interaction").alias("last_interaction"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("products")))).cast("long").alias("unique_products_viewed"))
-    w = Window.partitionBy("customer_id").orderBy(F.desc("interest_score"), F.asc_nulls_first("category"))
-    return agg.withColumn("interest_rank", F.row_number().over(w))
-
-
-def active_sessions(spark: SparkSession, landing: str, products: DataFrame, root: str,
-                    checkpoint: str) -> int:
-    """Live session state kept as mergeable partials per (session, category).
-
-    Each micro-batch pre-aggregates its events per (session, category)
-    (map-side combine, so a hot session costs a few rows), merges them with
-    the stored partials of the same keys only, and writes state version
-    ``v=batchId`` from ``v=batchId−1`` (idempotent on replay).  No event
-    history is re-read.  Sessions are derived from the partials on read
-    (``session_state``).  Returns the last committed batch id."""
-    clicks = read_csv_stream(spark, landing, CLICKSTREAM)
-    enriched = silver.clickstream_enriched(clicks, products)
-    keys = ["session_id", "category"]
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        fresh = state.session_partials(batch)
-        if batch_id > 0 and batch.isEmpty():
-            new = read_version(s, root, batch_id - 1)
-        elif batch_id > 0:
-            prev = read_version(s, root, batch_id - 1)
-            touched = fresh.select(*keys)
-            on = (prev.session_id == touched.session_id) & prev.category.eqNullSafe(touched.category)
-            kept = prev.join(touched, on, "left_anti")
-            hit = prev.join(touched, on, "left_semi")
-            merged = state.merge_session_partials(hit.unionByName(fresh))
-            new = kept.unionByName(merged)
-        else:
-            new = fresh
-        new.write.mode("overwrite").parquet(version_path(root, batch_id))
-
-    q = (enriched.writeStream.option("checkpointLocation", checkpoint)
-         .foreachBatch(run).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return q.lastProgress["batchId"] if q.lastProgress else -1
-
-
-def session_state(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """Session rows from the partial state of version ``batch_id``."""
-    return state.sessions_from_partials(read_version(spark, root, batch_id))
-
-
-__all__ = ["bronze", "enrich", "recent_interest", "interest_at", "category_interest", "interest_from_days",
-           "active_sessions", "session_state",
-           "version_path"]
+    """Gold category interest from the per-day state, ranked per customer."""
+    points = F.col("weight") * recency_of_day(F.col("event_day"), as_of)
+    return gold.interest_ranked(days.groupBy("customer_id", "category").agg(
+        F.sum(points).alias("interest_score"), F.sum("events").alias("event_count"),
+        F.max("last_interaction").alias("last_interaction"), F.count_distinct("product_id").alias("unique_products_viewed")))
+
+
+# ---- sessions ------------------------------------------------------------------------
+
+def sessions_state(spark: SparkSession, root: str) -> KeyedState:
+    return KeyedState(spark, root, ["session_id"], state.merge_session_partials)
+
+
+def active_sessions(spark: SparkSession, landing: str, products: DataFrame, root: str, checkpoint: str) -> int | None:
+    """Live session state as mergeable rows per (session, category, product);
+    returns the current version.  No event history is read again."""
+    return run_merge(spark, landing, products, sessions_state(spark, root), state.session_partials, checkpoint)
+
+
+def session_state(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """Session rows from a state version (default: latest)."""
+    return state.sessions_from_partials(sessions_state(spark, root).read(version))
