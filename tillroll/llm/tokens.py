@@ -18,6 +18,7 @@ from __future__ import annotations
 import json
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,9 +29,11 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import byte_texts, with_columns
 
-CACHE_CHUNKS = 400_000     # chunks that a worker remembers (frequent ones come first)
-CACHE_BYTES = 64           # longer chunks are not remembered
-STATES = 300_000           # word prefixes that a worker remembers
+CACHE_CHUNKS = 200_000     # chunks that a worker remembers (frequent ones come first)
+CACHE_WORDS = 600_000      # words inside chunks that it remembers
+CACHE_BYTES = 64           # longer pieces are not remembered
+STATES = 300_000           # word prefixes that a worker remembers,
+SHARED = 8                 # up to this length
 PAIRS = 500_000            # token pairs whose stability it remembers
 WORD_END = "</w>"
 
@@ -52,28 +55,19 @@ def _special(path: str) -> list[str]:
         return [t["content"] for t in json.load(f)["added_tokens"]]
 
 
-class _Cache:
-    """Values of chunks, at most ``CACHE_CHUNKS`` kept between batches."""
+class Known(dict):
+    """Values of pieces of text, computed when first asked for; at most
+    ``size`` of them, none of a long piece, are kept."""
 
-    def __init__(self):
-        self.values: dict = {}
-        self.passing: list[bytes] = []      # held for one batch only
+    def __init__(self, compute, size: int):
+        super().__init__()
+        self.compute, self.size = compute, size
 
-    def load(self, lists: list[list[bytes]], compute) -> dict:
-        """The values of all chunks of the lists."""
-        values = self.values
-        for c in self.passing:
-            del values[c]
-        new = list({c for chunks in lists for c in chunks if c not in values})
-        room = max(0, CACHE_CHUNKS - len(values))
-        values.update(zip(new, compute(new) if new else ()))
-        self.passing = [c for k, c in enumerate(new) if k >= room or len(c) > CACHE_BYTES]
-        return values
-
-
-@lru_cache(maxsize=4)
-def _cache(path: str, kind: str) -> _Cache:
-    return _Cache()
+    def __missing__(self, key):
+        value = self.compute(key)
+        if len(self) < self.size and len(key) <= CACHE_BYTES:
+            self[key] = value
+        return value
 
 
 def _chunks(text: bytes) -> list[bytes]:
@@ -84,17 +78,48 @@ def _chunks(text: bytes) -> list[bytes]:
 
 # ---- ids -----------------------------------------------------------------------
 
-def encode(texts: list[bytes], path: str) -> list[bytes]:
-    """Token ids of each text as little-endian unsigned 32-bit integers."""
+#: Chunks of lower-case Latin letters, digits and ASCII punctuation are in normal
+#: form; on them this is the tokenizer's own splitting pattern.
+_PLAIN = re.compile("[!-@\\[-`a-z{-~ß-öø-ÿ]+")
+_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def _byte_symbols() -> dict[int, str]:
+    """The byte-level alphabet: printable Latin-1 bytes stand for themselves,
+    the others for the code points from 256 on."""
+    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = (b for b in range(256) if b not in shown)
+    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_SYMBOLS = "".join(_byte_symbols()[b] for b in range(256))
+
+
+def _mapped(word: str) -> str:
+    return word.encode().decode("latin-1").translate(_SYMBOLS)
+
+
+@lru_cache(maxsize=4)
+def _ids(path: str) -> Known:
+    """Chunk -> its ids as little-endian unsigned 32-bit integers.  The words of
+    plain chunks go to the tokenizer's model, other chunks through all of it."""
     tok = _tokenizer(path)
+    model = tok.model
+    words = Known(lambda w: array("I", [t.id for t in model.tokenize(_mapped(w))]).tobytes(), CACHE_WORDS)
 
-    def compute(chunks):
-        return [np.asarray(e.ids, "<u4").tobytes()
-                for e in tok.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)]
+    def of(chunk: bytes) -> bytes:
+        text = chunk.decode("utf-8", "replace")
+        if _PLAIN.fullmatch(text) and "<|" not in text:
+            return b"".join([words[w] for w in _SPLIT.findall(text)])
+        return array("I", tok.encode(text, add_special_tokens=False).ids).tobytes()
 
-    lists = [_chunks(t) for t in texts]
-    get = _cache(path, "ids").load(lists, compute).__getitem__
-    return [b"".join(map(get, chunks)) for chunks in lists]
+    return Known(of, CACHE_CHUNKS)
+
+
+def encode(texts: list[bytes], path: str) -> list[bytes]:
+    """Token ids of each text as little-endian unsigned 32-bit integers."""
+    get = _ids(path).__getitem__
+    return [b"".join(map(get, _chunks(t))) for t in texts]
 
 
 # ---- prefix dynamic programming ---------------------------------------------------
@@ -116,6 +141,8 @@ class PrefixCounter:
             model = json.load(f)["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.ranks = {tuple(m): k for k, m in enumerate(model["merges"])}
+        #: token -> (rank of the merge that makes it, its left part, its right part)
+        self.made = {a + b: (k, a, b) for (a, b), k in reversed(self.ranks.items())}
         self.longest = max(map(len, self.vocab))
         self.pairs: dict[tuple[str, str], bool] = {}
         #: prefix -> (last token, tokens if the word goes on, tokens if it ends here)
@@ -148,12 +175,31 @@ class PrefixCounter:
         return list(token)
 
     def stable(self, a: str, b: str) -> bool:
-        """Whether the neighbours a, b are the encoding of their own text."""
+        """Whether the neighbours a, b are the encoding of their own text.
+
+        Their merges are undone from the last to the first, a's to its right
+        part and b's to its left part.  The neighbours would have been merged
+        with each other if the rule for the two parts at the border came before
+        the merge just undone, or, for one and the same rule, further left."""
         if len(self.pairs) > PAIRS:
             self.pairs.clear()
-        ok = self.pairs[(a, b)] = self.merged(self.symbols(a) + self.symbols(b)) == ([a, b] if a else [b])
+        self.pairs[(a, b)] = ok = self._stable(a, b)
         return ok
 
+    def _stable(self, a: str, b: str) -> bool:
+        if not a:
+            return self.merged(self.symbols(b)) == [b]
+        ranks, made, before = self.ranks, self.made, len(self.ranks)
+        while ranks.get((a, b), before) >= before:
+            made_a, made_b = made.get(a), made.get(b)
+            if made_a is None and made_b is None:
+                return True
+            if made_b is None or (made_a is not None and made_a[0] > made_b[0]):
+                before, a = made_a[0], made_a[2]
+            else:
+                before, b = made_b[0] + 1, made_b[1]
+        return False
+
     def _step(self, word: str, k: int, end: str, inner: list) -> tuple[str, int]:
         vocab, pairs = self.vocab, self.pairs
         for j in range(max(0, k - self.longest), k):
@@ -167,13 +213,15 @@ class PrefixCounter:
     def counts(self, word: str) -> list[int]:
         """counts[k]: tokens of the word's first k symbols, taken as a whole word."""
         states = self.states
-        inner = [states.get(word[:k]) for k in range(len(word) + 1)]
-        for k, state in enumerate(inner):
+        inner = [states[""]]
+        for k in range(1, len(word) + 1):
+            state = states.get(word[:k]) if k <= SHARED else None
             if state is None:
                 t, n = self._step(word, k, "", inner)
-                inner[k] = state = (t, n, self._step(word, k, WORD_END, inner)[1])
-                if len(states) < STATES:
+                state = (t, n, self._step(word, k, WORD_END, inner)[1])
+                if k <= SHARED and len(states) < STATES:
                     states[word[:k]] = state
+            inner.append(state)
         return [s[2] for s in inner]
 
 
@@ -182,69 +230,80 @@ def _counter(path: str) -> PrefixCounter:
     return PrefixCounter(path)
 
 
-#: Chunks of lower-case Latin letters, digits and ASCII punctuation are in normal
-#: form; on them this is the tokenizer's own splitting pattern.
-_PLAIN = re.compile("[!-@\\[-`a-z{-~ß-öø-ÿ]+")
-_SPLIT = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 _CONTRACTIONS = frozenset(("'s", "'t", "'re", "'ve", "'m", "'ll", "'d"))
 
 
-def _byte_symbols() -> dict[int, str]:
-    """The byte-level alphabet: printable Latin-1 bytes stand for themselves,
-    the others for the code points from 256 on."""
-    shown = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
-    rest = (b for b in range(256) if b not in shown)
-    return {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(rest)}
+def _normal(text: str, path: str) -> str:
+    return text if _PLAIN.fullmatch(text) else _tokenizer(path).normalizer.normalize_str(text)
 
 
-_SYMBOLS = "".join(_byte_symbols()[b] for b in range(256))
+def _pieces(text: str, path: str) -> list[tuple[str, str, int, int]]:
+    """(word, mapped word, begin, end) of the words of a normalized text."""
+    if _PLAIN.fullmatch(text):
+        return [(m[0], _mapped(m[0]), m.start(), m.end()) for m in _SPLIT.finditer(text)]
+    return [(text[a:b], w, a, b) for w, (a, b) in _tokenizer(path).pre_tokenizer.pre_tokenize_str(text)]
 
 
-def _pieces(text: str, path: str) -> list[tuple[str, int, int]]:
-    """(mapped word, begin, end) of the words of a normalized text."""
-    if _PLAIN.fullmatch(text):
-        return [(m[0].encode().decode("latin-1").translate(_SYMBOLS), m.start(), m.end()) for m in _SPLIT.finditer(text)]
-    return [(w, a, b) for w, (a, b) in _tokenizer(path).pre_tokenizer.pre_tokenize_str(text)]
+def _steps(counts: list[int]) -> bytes:
+    """Changes between neighbouring counts as signed bytes (no token is so long
+    that a count could jump further)."""
+    return bytes([(y - x) & 255 for x, y in zip(counts, counts[1:])])
 
 
-def _normal(text: str, path: str) -> str:
-    return text if _PLAIN.fullmatch(text) else _tokenizer(path).normalizer.normalize_str(text)
+def _word_table(word: str, mapped: str, path: str) -> tuple[bytes, int]:
+    """(steps, tokens) of one word of a normalized text."""
+    now = _counter(path).counts(mapped)
+    if word in _CONTRACTIONS:                   # its parts would be split otherwise
+        counts = [0] + [_prefix_total(word[:k], path) for k in range(1, len(word))] + [now[-1]]
+    elif len(mapped) == len(word):              # one byte per character
+        counts = now
+    else:
+        counts, end = [0], 0
+        for ch in word:
+            end += len(ch.encode())
+            counts.append(now[end])
+    return _steps(counts), now[-1]
+
+
+@lru_cache(maxsize=2)
+def _word_tables(path: str) -> Known:
+    return Known(lambda word: _word_table(word, _mapped(word), path), CACHE_WORDS)
 
 
 def _chunk_table(chunk: bytes, path: str) -> tuple[bytes, int]:
     """(steps, tokens): the change of the token count at each character of the
-    normalized chunk as signed bytes, and the count of the whole chunk."""
-    counter = _counter(path)
+    normalized chunk as signed bytes, and the count of the whole chunk.  A word
+    starts from the count that the word before it ends with, so the tables of a
+    chunk's words are strung together."""
     raw = chunk.decode("utf-8", "replace")
-    counts = [0]                                # of each prefix of the chunk
-    total = 0
-    for piece, special in _split_special(raw, _special(path)) if "<|" in raw else ((raw, False),):
+    if _PLAIN.fullmatch(raw) and "<|" not in raw:
+        known = _word_tables(path)
+        tables = [known[w] for w in _SPLIT.findall(raw)]
+        return b"".join([t[0] for t in tables]), sum([t[1] for t in tables])
+    steps, total = b"", 0
+    for piece, special in _split_special(raw, _special(path)):
         if special:                             # one token once complete; its parts before that
-            counts += [total + _prefix_total(piece[:k], path) for k in range(1, len(piece))] + [total + 1]
+            steps += _steps([0] + [_prefix_total(piece[:k], path) for k in range(1, len(piece))] + [1])
             total += 1
             continue
         text = _normal(piece, path)
         at = 0
-        for mapped, a, b in _pieces(text, path):
-            counts += [total] * (a - at)        # white space that the tokenizer drops
-            word, now = text[a:b], counter.counts(mapped)
-            if word in _CONTRACTIONS:           # its parts would be split otherwise
-                counts += [total + _prefix_total(word[:k], path) for k in range(1, len(word))] + [total + now[-1]]
-            elif len(mapped) == len(word):      # one byte per character
-                counts += [total + n for n in now[1:]]
-            else:
-                end = 0
-                for ch in word:
-                    end += len(ch.encode())
-                    counts.append(total + now[end])
-            total += now[-1]
+        for word, mapped, a, b in _pieces(text, path):
+            table, n = _word_table(word, mapped, path)
+            steps += bytes(a - at) + table      # white space that the tokenizer drops
+            total += n
             at = b
-        counts += [total] * (len(text) - at)
-    return bytes([(y - x) & 255 for x, y in zip(counts, counts[1:])]), total
+        steps += bytes(len(text) - at)
+    return steps, total
+
+
+@lru_cache(maxsize=2)
+def _tables(path: str) -> Known:
+    return Known(lambda chunk: _chunk_table(chunk, path), CACHE_CHUNKS)
 
 
 def _prefix_total(text: str, path: str) -> int:
-    return sum(_counter(path).counts(w)[-1] for w, _, _ in _pieces(_normal(text, path), path))
+    return sum(_counter(path).counts(mapped)[-1] for _, mapped, _, _ in _pieces(_normal(text, path), path))
 
 
 def _split_special(text: str, special: list[str]) -> Iterator[tuple[str, bool]]:
@@ -302,14 +361,12 @@ def prefix_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        get = _tables(tokenizer_path).__getitem__
         for batch in batches:
             for k in range(0, batch.num_rows, 500):
                 b = batch.slice(k, 500)
                 texts = byte_texts(b)
-                lists = [_chunks(t) for t in texts]
-                get = _cache(tokenizer_path, "prefix").load(
-                    lists, lambda chunks: [_chunk_table(c, tokenizer_path) for c in chunks]).__getitem__
-                tables = [list(map(get, chunks)) for chunks in lists]
+                tables = [list(map(get, _chunks(t))) for t in texts]
                 steps = [b"\0".join([x[0] for x in t]) for t in tables]
                 totals = [sum([x[1] for x in t]) for t in tables]
                 new = {"n_bytes": pa.array([len(t) for t in texts], pa.int64()),
