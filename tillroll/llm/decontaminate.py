@@ -23,12 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_texts, materialize, text_key
+from tillroll.llm.common import byte_texts, materialize, slices, text_key
 
 WINDOW = 10
 SLOP = 20
 BLOCK_WORDS = 1 << 20      # words of one index block (a longer document is a block of its own)
 QUERY_WORDS = 200_000      # benchmark words that one pass over the index looks for
+GAP = 64                   # position numbers left free between documents; slop is below it
 
 #: Words are runs of [0-9a-z] and of bytes beyond ASCII; the rest separates.
 _TABLE = bytes(ord(chr(c).lower()) if chr(c) in string.ascii_letters else
@@ -41,11 +42,16 @@ def words_of(text: bytes) -> list[bytes]:
 
 # ---- index --------------------------------------------------------------------
 
+def _starts(counts: np.ndarray) -> np.ndarray:
+    """First position of each document of a block."""
+    return np.concatenate(([0], np.cumsum(counts + GAP)[:-1]))
+
+
 def _block(ids: list, keys: list, texts: list[list[bytes]], id_type: pa.DataType) -> pa.RecordBatch:
-    """Postings of some documents.  Positions number the block's words, with one
-    number left free between documents so that no phrase runs across."""
+    """Postings of some documents.  Positions number the block's words; numbers
+    left free between documents keep phrases and neighbourhoods inside one."""
     counts = np.array([len(w) for w in texts], np.int64)
-    starts = np.concatenate(([0], np.cumsum(counts + 1)[:-1]))
+    starts = _starts(counts)
     number: dict[bytes, int] = {}
     codes = np.array([number.setdefault(w, len(number)) for ws in texts for w in ws], np.int32)
     positions = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
@@ -70,7 +76,7 @@ def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, keys, texts, size, kind = [], [], [], 0, None
-        for b in batches:
+        for b in (part for batch in batches for part in slices(batch, 200)):
             kind = b.column("id").type
             for i, k, t in zip(b.column("id").to_pylist(), b.column("key").to_pylist(), byte_texts(b)):
                 w = words_of(t)
@@ -178,7 +184,7 @@ def _search(index: DataFrame, windows: dict[tuple, set], slop: int, item_type: T
         for b in batches:
             for row in b.to_pylist():
                 lists = _lists(row, terms)
-                starts = np.concatenate(([0], np.cumsum(np.array(row["counts"], np.int64) + 1)[:-1]))
+                starts = _starts(np.array(row["counts"], np.int64))
                 spans, items, near = defaultdict(list), defaultdict(set), defaultdict(set)
                 for w, ids in windows.items():
                     at = exact_starts(lists, w, rank)
@@ -219,6 +225,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     or table gives no hits or no rows.  The benchmark is read in groups of at
     most about ``query_words`` words, one pass over the index each.
     """
+    if not 0 <= slop < GAP:
+        raise ValueError(f"slop must be from 0 to {GAP - 1}")
     index = positional_index(docs, id_col, text_col, block_words)
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text"))
     # an upper bound of the words: every word has a character and a separator

@@ -56,7 +56,7 @@ def node_of(url: Column) -> Column:
     rest = F.regexp_extract(url, r"^.*?://([^#]*)", 1)
     host = F.regexp_extract(rest, r"^[^/?]*", 0)
     return F.when((F.instr(url, "://") > 0) & (host != ""),
-                  F.concat(lower_ascii(host), F.expr("''"), F.regexp_extract(rest, r"^[^/?]*(.*)$", 1)))
+                  F.concat(lower_ascii(host), F.regexp_extract(rest, r"^[^/?]*(.*)$", 1)))
 
 
 def _absolute(base: Column, link: Column) -> Column:
@@ -90,14 +90,22 @@ def links(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Dat
     found = (pages.select(F.col(url_col).alias("__url"), F.col(html_col).alias("__html"))
              .where(F.col("__url").isNotNull() & F.rlike("__html", F.lit(r"(?i)canonical|refresh")))
              .select("__url", F.explode(tags).alias("__tag")))
-    canonical = F.rlike("__tag", F.lit("(?i)^<link")) & F.rlike(_value(_attribute(F.col("__tag"), "rel")), F.lit(r"(?i)(^|\s)canonical(\s|$)"))
-    refresh = F.rlike("__tag", F.lit("(?i)^<meta")) & (F.lower(_value(_attribute(F.col("__tag"), "http-equiv"))) == "refresh")
-    content = _value(_attribute(F.col("__tag"), "content"))
-    target = F.when(canonical, _value(_attribute(F.col("__tag"), "href"))).when(
-        refresh, F.regexp_replace(F.regexp_extract(content, r"(?is)url\s*=\s*(.*)$", 1), r"""^["']|["']$""", ""))
-    target = F.regexp_replace(target, "&amp;", "&")
-    return (found.select(node_of(F.col("__url")).alias("a"), node_of(_absolute(F.col("__url"), target)).alias("b"))
-            .where("a is not null and b is not null and a <> b").distinct())
+    def step(df, **columns):
+        """Columns computed once: the generator keeps them from being copied
+        into every expression that follows."""
+        made = F.struct(*[c.alias(n) for n, c in columns.items()])
+        return df.select("__url", F.explode(F.array(made)).alias("x")).select("__url", "x.*")
+
+    tag = F.col("__tag")
+    found = step(found, tag=tag, rel=_value(_attribute(tag, "rel")), href=_value(_attribute(tag, "href")),
+                 equiv=F.lower(_value(_attribute(tag, "http-equiv"))), content=_value(_attribute(tag, "content")))
+    canonical = F.rlike("tag", F.lit("(?i)^<link")) & F.rlike("rel", F.lit(r"(?i)(^|\s)canonical(\s|$)"))
+    refresh = F.rlike("tag", F.lit("(?i)^<meta")) & (F.col("equiv") == "refresh")
+    aim = F.regexp_replace(F.regexp_extract("content", r"(?is)url\s*=\s*(.*)$", 1), r"""^["']|["']$""", "")
+    found = step(found, aim=F.regexp_replace(F.when(canonical, F.col("href")).when(refresh, aim), "&amp;", "&"))
+    found = step(found, full=_absolute(F.col("__url"), F.col("aim")))
+    found = step(found, a=node_of(F.col("__url")), b=node_of(F.col("full")))
+    return found.select("a", "b").where("a is not null and b is not null and a <> b").distinct()
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", rules=RULES) -> DataFrame:
