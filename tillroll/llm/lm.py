@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, id_crc_mod, materialize, with_columns
+from tillroll.llm.common import byte_texts, id_crc_mod, materialize, slices, with_columns
 
 END = b""                  # the end token; words are never empty
 SLOTS = 32                 # tokens of a frequent class
@@ -36,7 +36,7 @@ RARE_CLASSES = 16
 DICTIONARY = 200_000       # most frequent words whose counts every task holds
 DICTIONARY_BYTES = 64      # longer words are never in it
 CODES = 1024               # hashed endings that stand for rare words as context
-PAIR_ROWS = 1 << 14        # hashed rows of the n-gram feature
+PAIR_ROWS = 1 << 14        # hashed rows of the n-gram feature (all rows fit 16 bits)
 IN_ROWS = 1 << 15          # hashed (feature, class) rows of the within-class softmax
 STEP = 4096                # tokens of one gradient step
 RATE = 0.5
@@ -68,18 +68,36 @@ def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(list(n), pa.binary()), pa.array(list(n.values()), pa.int64())],
                                               names=["token", "n"])
         n: Counter = Counter()
-        for b in batches:
-            for t in byte_texts(b):
-                n.update(tokens_of(t))
-                if len(n) > _FLUSH:
-                    yield out(n)
-                    n = Counter()
+        for t in (t for batch in batches for b in slices(batch, 500) for t in byte_texts(b)):
+            n.update(tokens_of(t))
+            if len(n) > _FLUSH:
+                yield out(n)
+                n = Counter()
         yield out(n)
 
     partial = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "token binary, n long")
     return partial.groupBy("token").agg(F.sum("n").alias("c"))
 
 
+def frequent_words(counts: DataFrame) -> list[tuple[bytes, int]]:
+    """The most frequent words with their counts, most frequent first: at most
+    ``DICTIONARY``, none longer than ``DICTIONARY_BYTES``.
+
+    Words are binned by the logarithm of their count; the bins from the top that
+    hold at most so many words are collected, so no task and no sort gathers
+    more than what is returned."""
+    able = counts.where(f"length(token) between 1 and {DICTIONARY_BYTES}").withColumn("bin", F.floor(F.log2("c") * 64))
+    least, room = None, DICTIONARY
+    for r in able.groupBy("bin").count().orderBy(F.desc("bin")).collect():      # at most 64 * 64 bins
+        if r["count"] > room:
+            break
+        least, room = r["bin"], room - r["count"]
+    if least is None:
+        return []
+    found = able.where(F.col("bin") >= least).select("token", "c").collect()
+    return sorted(((bytes(r[0]), r[1]) for r in found), key=lambda x: (-x[1], x[0]))
+
+
 class Lexicon:
     """Frequent words with counts, the classes, and the total counts."""
 
@@ -87,6 +105,7 @@ class Lexicon:
         top = [(END, end_count)] + [x for x in top if x[0] != END]
         self.index = {w: k for k, (w, _) in enumerate(top)}
         self.counts = np.array([c for _, c in top], np.int64)
+        self.logs = np.log10(self.counts + 1.0)
         self.total, self.distinct = total, distinct
         self.frequent = min(FREQUENT, len(top))
         self.classes = -(-self.frequent // SLOTS)
@@ -99,13 +118,13 @@ class Lexicon:
         self.rare_mass = np.array([rare_mass.get(r, 0) + 1 for r in range(RARE_CLASSES)], np.float64)
 
     def context_rows(self, code: np.ndarray) -> np.ndarray:
-        """Feature rows (3 per token) of a code sequence; a start code precedes it."""
+        """Feature rows (3 x tokens) of a code sequence; a start code precedes it."""
         start = FREQUENT + CODES
         one = np.concatenate(([start], code[:-1])) if len(code) else code
         two = np.concatenate(([start], one[:-1])) if len(code) else code
         width = FREQUENT + CODES + 1
         pair = (two * 1000003 ^ one * 7919) % PAIR_ROWS
-        return np.stack([one, width + two, 2 * width + pair], axis=1)
+        return np.stack([one, width + two, 2 * width + pair])
 
     @property
     def class_rows(self) -> int:
@@ -136,49 +155,61 @@ class Weights:
         self.b = np.zeros((IN_ROWS, SLOTS), np.float32)
         slots = np.full(lex.classes * SLOTS, -30.0)          # slots without a token
         slots[:lex.frequent] = np.log(np.maximum(lex.counts[:lex.frequent], 0.5))
-        self.in_bias = slots.reshape(lex.classes, SLOTS).astype(np.float32)
-        mass = np.concatenate([np.exp(self.in_bias.astype(np.float64)).sum(axis=1), lex.rare_mass])
-        self.bias = np.log(mass).astype(np.float32)
+        slots = slots.reshape(lex.classes, SLOTS)
+        mass = np.exp(slots).sum(axis=1)
+        self.in_bias = (slots - np.log(mass)[:, None]).astype(np.float32)
+        mass = np.concatenate([mass, lex.rare_mass])
+        self.bias = np.log(mass / mass.sum()).astype(np.float32)
 
-    def class_logits(self, rows):
-        return self.a[rows[:, 0]] + self.a[rows[:, 1]] + self.a[rows[:, 2]] + self.bias
+    def class_weights(self, rows: np.ndarray) -> np.ndarray:
+        """exp of the class logits: rows of unnormalized probabilities."""
+        return _exp_sum(self.a, rows, self.bias)
 
-    def in_logits(self, rows, cls):
-        return self.b[rows[:, 0]] + self.b[rows[:, 1]] + self.b[rows[:, 2]] + self.in_bias[cls]
+    def in_weights(self, rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
+        """exp of the logits of the tokens of each row's class."""
+        return _exp_sum(self.b, rows, np.take(self.in_bias, cls, axis=0))
+
+
+def _exp_sum(matrix: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """exp(sum of the three feature rows + bias); biases are log shares, and
+    a step moves a weight by less than the rate, so nothing overflows."""
+    z = np.take(matrix, rows[0], axis=0)
+    z += np.take(matrix, rows[1], axis=0)
+    z += np.take(matrix, rows[2], axis=0)
+    z += bias
+    return np.exp(z, out=z)
 
 
 def in_rows(rows: np.ndarray, cls: np.ndarray) -> np.ndarray:
-    return (rows * 31 + cls[:, None] * 1000003) % IN_ROWS
+    return (rows * 31 + cls * 1000003) % IN_ROWS
 
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(axis=1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(axis=1, keepdims=True)
-    return z
+def _row_sums(z: np.ndarray) -> np.ndarray:
+    return z @ np.ones(z.shape[1], z.dtype)
 
 
-def _descend(matrix: np.ndarray, rows: np.ndarray, p: np.ndarray, target: np.ndarray, rate: float, seen: np.ndarray) -> None:
+def _descend(matrix: np.ndarray, rows: np.ndarray, z: np.ndarray, target: np.ndarray, rate: float, seen: np.ndarray) -> None:
     """One gradient step of a softmax whose logits are sums of matrix rows; rows
     that recur move by their mean gradient, slower the more often seen."""
-    p[np.arange(len(p)), target] -= 1
-    flat = rows.ravel()
-    order = np.argsort(flat, kind="stable")
-    s = flat[order]
-    first = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
-    g = np.add.reduceat(p[order // rows.shape[1]], first, axis=0)
-    at = s[first]
-    n = np.diff(np.append(first, len(s)))
-    seen[at] += n
-    matrix[at] -= (rate / np.sqrt(n * seen[at] + 1.0))[:, None].astype(np.float32) * g
+    z /= _row_sums(z)[:, None]
+    z[np.arange(len(z)), target] -= 1
+    columns = np.arange(z.shape[1])
+    for r in rows:
+        at, own, n = np.unique(r.astype(np.uint16), return_inverse=True, return_counts=True)
+        cell = (own[:, None] * len(columns) + columns).ravel()
+        g = np.bincount(cell, weights=z.ravel(), minlength=len(at) * len(columns)).reshape(len(at), -1)
+        seen[at] += n
+        g *= (rate / np.sqrt(n * seen[at] + 1.0))[:, None]
+        matrix[at] -= g.astype(np.float32)
 
 
 def train_step(w: Weights, lex: Lexicon, idx, cls, rows, seen_a, seen_b, rate=RATE) -> None:
-    _descend(w.a, rows, _softmax(w.class_logits(rows)), cls, rate, seen_a)
+    _descend(w.a, rows, w.class_weights(rows), cls, rate, seen_a)
     at = np.flatnonzero((idx >= 0) & (idx < lex.frequent))
     if len(at):
-        r = in_rows(rows[at], cls[at])
-        _descend(w.b, r, _softmax(w.in_logits(r, cls[at])), idx[at] % SLOTS, rate, seen_b)
+        c = cls[at]
+        r = in_rows(rows[:, at], c)
+        _descend(w.b, r, w.in_weights(r, c), idx[at] % SLOTS, rate, seen_b)
 
 
 def train(docs: DataFrame, text_col: str, lex: Lexicon) -> Weights:
@@ -193,19 +224,18 @@ def train(docs: DataFrame, text_col: str, lex: Lexicon) -> Weights:
         held, size, total = [], 0, 0
 
         def step():
-            parts = [np.concatenate([h[k] for h in held]) for k in range(3)]
-            for k in range(0, len(parts[0]), STEP):
-                train_step(w, lex, *(p[k:k + STEP] for p in parts), seen_a, seen_b)
-
-        for b in batches:
-            for t in byte_texts(b):
-                idx, cls, code, _ = read_text(t, lex)
-                held.append((idx, cls, lex.context_rows(code)))
-                size += len(idx)
-                total += len(idx)
-                if size >= 4 * STEP:
-                    step()
-                    held, size = [], 0
+            idx, cls, rows = (np.concatenate([h[k] for h in held], axis=-1) for k in range(3))
+            for k in range(0, len(idx), STEP):
+                train_step(w, lex, idx[k:k + STEP], cls[k:k + STEP], rows[:, k:k + STEP], seen_a, seen_b)
+
+        for t in (t for batch in batches for b in slices(batch, 200) for t in byte_texts(b)):
+            idx, cls, code, _ = read_text(t, lex)
+            held.append((idx, cls, lex.context_rows(code)))
+            size += len(idx)
+            total += len(idx)
+            if size >= 4 * STEP:
+                step()
+                held, size = [], 0
         if held:
             step()
         if not total:
@@ -243,32 +273,38 @@ def train(docs: DataFrame, text_col: str, lex: Lexicon) -> Weights:
     return w
 
 
-def score_text(text: bytes, lex: Lexicon, w: Weights) -> tuple:
-    """(tokens, known, base and model log10 sums over dictionary tokens and
-    classes, words outside the dictionary): the counts of the words outside are
-    added later, their class terms are in the model sum already."""
-    idx, cls, code, words = read_text(text, lex)
-    rows = lex.context_rows(code)
-    model = 0.0
+def score_texts(texts: list[bytes], lex: Lexicon, w: Weights) -> list[tuple]:
+    """Per text (tokens, known, base and model log10 sums over dictionary tokens
+    and classes, words outside the dictionary): the counts of the words outside
+    are added later, their class terms are in the model sum already."""
+    read = [read_text(t, lex) for t in texts]
+    rows = np.concatenate([lex.context_rows(r[2]) for r in read], axis=1)
+    idx, cls = (np.concatenate([r[k] for r in read]) for k in (0, 1))
+    model = np.empty(len(idx))
     for k in range(0, len(idx), 4 * STEP):
         s = slice(k, k + 4 * STEP)
-        i, c, r = idx[s], cls[s], rows[s]
-        z = w.class_logits(r)
-        z -= z.max(axis=1, keepdims=True)
-        model += float((z[np.arange(len(z)), c] - np.log(np.exp(z).sum(axis=1))).sum(dtype=np.float64))
+        i, c, r = idx[s], cls[s], rows[:, s]
+        z = w.class_weights(r)
+        p = z[np.arange(len(z)), c].astype(np.float64) / _row_sums(z)
         at = np.flatnonzero((i >= 0) & (i < lex.frequent))
         if len(at):
-            z = w.in_logits(in_rows(r[at], c[at]), c[at])
-            z -= z.max(axis=1, keepdims=True)
-            model += float((z[np.arange(len(z)), i[at] % SLOTS] - np.log(np.exp(z).sum(axis=1))).sum(dtype=np.float64))
-    model /= np.log(10)
-    inside = idx[idx >= 0]
-    counts = lex.counts[inside]
-    logs = np.log10(counts + 1.0)
+            ca = c[at]
+            z = w.in_weights(in_rows(r[:, at], ca), ca)
+            p[at] *= z[np.arange(len(z)), i[at] % SLOTS] / _row_sums(z)
+        np.log10(np.maximum(p, 1e-300), out=model[s])
     rare = cls >= lex.classes
-    model += float(logs[inside >= lex.frequent].sum()) - float(np.log10(lex.rare_mass[cls[rare] - lex.classes]).sum())
-    base = float(logs.sum()) - len(idx) * float(np.log10(lex.total + 1.0 * (lex.distinct + 1)))
-    return len(idx), int((counts > 0).sum()), base, model, words
+    model[rare] -= np.log10(lex.rare_mass)[cls[rare] - lex.classes]
+    inside = idx >= 0
+    logs = np.zeros(len(idx))
+    logs[inside] = lex.logs[idx[inside]]
+    model += np.where(idx >= lex.frequent, logs, 0.0)
+    known = np.zeros(len(idx), np.int64)
+    known[inside] = lex.counts[idx[inside]] > 0
+    sizes = np.array([len(r[0]) for r in read])
+    starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
+    total = np.log10(lex.total + 1.0 * (lex.distinct + 1))
+    sums = [np.add.reduceat(x, starts) for x in (known, logs, model)]      # every text has a token, its end
+    return [(int(n), int(k), float(b - n * total), float(m), r[3]) for n, k, b, m, r in zip(sizes, *sums, read)]
 
 
 def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -283,8 +319,7 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
     training = docs.where("learned")
     counts = materialize(token_counts(training, "text"), "lm-counts")
     total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    top = [(bytes(r[0]), r[1]) for r in counts.where(f"length(token) <= {DICTIONARY_BYTES}")
-           .orderBy(F.desc("c"), "token").limit(DICTIONARY).collect()]
+    top = frequent_words(counts)
     ends = counts.where("length(token) = 0").first()
     first = {w for w, _ in [(END, 0)] + [x for x in top if x[0] != END][: FREQUENT - 1]}
 
@@ -303,9 +338,8 @@ def score_documents(docs: DataFrame, learn: Column, id_col: str = "doc_id", text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 500):
-                b = batch.slice(k, 500)
-                rows = [score_text(t, lex, weights) for t in byte_texts(b)]
+            for b in slices(batch, 100):
+                rows = score_texts(byte_texts(b), lex, weights)
                 outside = [list(Counter(r[4]).items()) for r in rows]
                 yield with_columns(
                     b, ["id", "learned"], n_tokens=pa.array([r[0] for r in rows], pa.int64()),
