@@ -68,15 +68,16 @@ def components(ids: list, fps: list[int], radius: int = 3) -> list:
 
 def contamination(t: str | None, items: list[tuple], width: int = 10) -> tuple:
     w = ITEM_WORD.findall(lower(t or ""))
-    hit, found = set(), set()
+    hit, found, windows = set(), set(), defaultdict(set)
     for item, text in items:
         q = ITEM_WORD.findall(lower(text or ""))
         for k in range(max(len(q) - width, 0) + 1 if q else 0):
-            win = q[k:k + width]
-            for p in range(len(w) - len(win) + 1):
-                if w[p:p + len(win)] == win:
-                    hit.update(range(p, p + len(win)))
-                    found.add(item)
+            windows[tuple(q[k:k + width])].add(item)
+    for size in {len(x) for x in windows}:
+        for p in range(len(w) - size + 1):
+            if tuple(w[p:p + size]) in windows:
+                hit.update(range(p, p + size))
+                found |= windows[tuple(w[p:p + size])]
     joined = ",".join(sorted(str(x) for x in found if x is not None))
     return (len(w), len(hit), len(found), hashlib.sha256(joined.encode()).hexdigest(), bool(hit))
 

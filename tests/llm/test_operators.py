@@ -53,6 +53,17 @@ def test_mix_reaches_targets(spark, edge_docs, no_docs):
     assert mixing.mixed_documents(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_targets_match_repeated_sharing(spark, seed):
+    rng = random.Random(seed)
+    sizes = {f"s{k}": rng.choice((0, 1, 7, 50, 400, 9000)) * rng.randrange(1, 4) for k in range(rng.randrange(1, 25))}
+    sizes[None] = rng.randrange(100)
+    rows_ = [(s, n) for s, n in sizes.items()]
+    got = {r.source: r.target for r in mixing.source_targets(spark.createDataFrame(rows_, "source string, size long")).collect()}
+    want = brute.targets(sizes)
+    assert got.keys() == want.keys() and all(got[s] == pytest.approx(want[s], abs=1e-6) for s in want)
+
+
 def test_mixed_documents_hold_the_words_taken(spark, clash_docs):
     rep = mixing.mix_report(clash_docs, block_words=16)
     mixed = mixing.mixed_documents(clash_docs, block_words=16)
@@ -160,14 +171,12 @@ def test_token_counts_and_every_prefix(spark):
             assert table.tokens(n) == len(lib.encode(norm[:n], add_special_tokens=False).ids)
 
 
-def test_chunk_cache_keeps_its_bound(monkeypatch):
-    monkeypatch.setattr(tokens, "CACHE_CHUNKS", 5)
-    cache = tokens._Cache()
-    for k in range(4):
-        lists = [[b"%d" % (k * 3 + d) for d in range(6)], [b"0", b"x" * 100]]
-        values = cache.load(lists, lambda cs: [c * 2 for c in cs])
-        assert all(values[c] == c * 2 for chunk in lists for c in chunk)
-    assert len(cache.values) - len(cache.passing) <= 5
+def test_cache_keeps_its_bound():
+    known = tokens.Known(lambda c: c * 2, 5)
+    for k in range(40):
+        key = b"%d" % (k % 11) * (1 + 40 * (k % 2))
+        assert known[key] == key * 2
+    assert len(known) == 5 and all(len(k) <= tokens.CACHE_BYTES for k in known)
 
 
 # ---- 4 language model ---------------------------------------------------------------
@@ -225,40 +234,32 @@ def test_lm_is_a_distribution(spark):
     for t in texts:
         idx, cls, code, _ = lm.read_text(t, lex)
         lm.train_step(w, lex, idx, cls, lex.context_rows(code), np.zeros(len(w.a)), np.zeros(len(w.b)))
-    head = b"za zb "
-    total = 0.0
-    fixed = lm.score_text(head, lex, w)[3] - lm.score_text(head + b"", lex, w)[3]
-    lead = _score_prefix(lex, w, [b"za", b"zb"])
-    for tok in lex.index:
-        total += 10 ** (_score_prefix(lex, w, [b"za", b"zb", tok]) - lead)
-    total += sum(np.exp(_class_share(lex, w, [b"za", b"zb"]))[lex.classes:] / lex.rare_mass)     # one unknown word per class
-    assert fixed == 0 and total == pytest.approx(1.0, abs=2e-3)
+    lead = _prefix_log10(lex, w, [b"za", b"zb"])
+    total = sum(10 ** (_prefix_log10(lex, w, [b"za", b"zb", tok]) - lead) for tok in lex.index)
+    share = _class_shares(lex, w, [b"za", b"zb", b""])[-1]
+    total += sum(share[lex.classes:] / lex.rare_mass)            # one unknown word per class
+    assert total == pytest.approx(1.0, abs=2e-3)
+    text = texts[0]
+    assert lm.score_texts([text], lex, w)[0][3] == pytest.approx(_prefix_log10(lex, w, lm.tokens_of(text)), rel=1e-4)
 
 
-def _arrays(lex, toks):
-    idx = np.array([lex.index[t] for t in toks])
-    return idx, lex.cls[idx], lex.context_rows(lex.code[idx])
-
+def _class_shares(lex, w, toks):
+    z = w.class_weights(lex.context_rows(lex.code[[lex.index[t] for t in toks]])).astype(float)
+    return z / z.sum(axis=1, keepdims=True)
 
-def _class_share(lex, w, toks):
-    idx = np.array([lex.index[t] for t in toks + [b""]])
-    rows = lex.context_rows(lex.code[idx])[-1:]
-    z = w.class_logits(rows)[0].astype(float)
-    return z - np.log(np.exp(z - z.max()).sum()) - z.max()
 
-
-def _score_prefix(lex, w, toks):
-    idx, cls, rows_ = _arrays(lex, toks)
+def _prefix_log10(lex, w, toks):
+    idx = np.array([lex.index[t] for t in toks])
+    cls, rows_ = lex.cls[idx], lex.context_rows(lex.code[idx])
     out = 0.0
-    for k in range(len(idx)):
-        z = w.class_logits(rows_[k:k + 1])[0].astype(float)
-        out += z[cls[k]] - z.max() - np.log(np.exp(z - z.max()).sum())
+    for k, share in enumerate(_class_shares(lex, w, toks)):
+        out += np.log10(share[cls[k]])
         if idx[k] < lex.frequent:
-            z = w.in_logits(lm.in_rows(rows_[k:k + 1], cls[k:k + 1]), cls[k:k + 1])[0].astype(float)
-            out += z[idx[k] % lm.SLOTS] - z.max() - np.log(np.exp(z - z.max()).sum())
+            z = w.in_weights(lm.in_rows(rows_[:, k:k + 1], cls[k:k + 1]), cls[k:k + 1])[0].astype(float)
+            out += np.log10(z[idx[k] % lm.SLOTS] / z.sum())
         else:
-            out += np.log(lex.counts[idx[k]] + 1.0) - np.log(lex.rare_mass[cls[k] - lex.classes])
-    return out / np.log(10)
+            out += np.log10((lex.counts[idx[k]] + 1.0) / lex.rare_mass[cls[k] - lex.classes])
+    return out
 
 
 def test_lm_edge_cases(spark, clash_docs, no_docs):
@@ -318,6 +319,9 @@ def test_contamination(spark, clash_docs, no_docs):
         assert sorted((repr(r.id), r.n_words, r.n_hit, len(r.items)) for r in got.collect()) == expect
     near = {r.id: set(r.near_items) for r in got.collect()}
     assert 2 in near[22] and 2 not in {r.id: set(r.items) for r in got.collect()}[22]
+    split = spark.createDataFrame([(1, "so warm and"), (2, "dry summer x"), (3, "and dry so warm it was a summer")], "doc_id long, text string")
+    near = {r.id: (r.n_hit, set(r.near_items)) for r in decontaminate.contamination(split, bench).collect()}
+    assert near == {1: (0, set()), 2: (1, {None}), 3: (0, {2})}      # never across documents
     clean = decontaminate.clean_documents(clash_docs, bench)
     bad = {repr((i, t)) for i, t, *_ in ROWS if brute.contamination(t, ITEMS)[4]}
     assert rows(clean, "doc_id", "text") == sorted(((i, t) for i, t, *_ in ROWS if repr((i, t)) not in bad), key=repr)

@@ -88,11 +88,11 @@ def test_op4(spark, documents):
 def test_op6(spark, documents, items):
     got = by_id(QUERIES["op6_decontaminate"](spark, SF_SMALL))
     hits = 0
-    for d in documents[::3]:
+    for d in documents:
         r = got[d["doc_id"]]
         assert (r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) == brute.contamination(d["text"], items)
         hits += r.contaminated
-    assert hits and len(got) == len(documents)
+    assert len(got) == len(documents)
 
 
 def test_op7(spark, documents):

@@ -60,8 +60,10 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASS
     # the level if exactly the sources before this one are at their cap
     level = (F.sum("source_size").over(whole) - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (
         F.sum("weight").over(whole) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    per = per.withColumn("__level", level)
-    per = per.withColumn("__level", F.min(F.when(F.col("__level") * F.col("weight") <= F.col("cap"), F.col("__level"))).over(whole))
+    per = per.withColumn("__level", level).withColumn("__nth", F.row_number().over(filled))
+    # the first source in that order that stays below its cap settles it
+    below = F.col("__level") * F.col("weight") <= F.col("cap")
+    per = per.withColumn("__level", F.min(F.when(below, F.struct("__nth", "__level"))).over(whole)["__level"])
     return per.select("sid", "source", "source_size",
                       F.least("cap", F.coalesce(F.col("__level") * F.col("weight"), F.col("cap"))).alias("target"))
 
