@@ -45,6 +45,12 @@ def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_entry_without_the_optional_parts(monkeypatch):
+    import __spark_entry__
+    monkeypatch.setattr(__spark_entry__, "_present", lambda module: False)
+    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql()) == set(QUERIES)
+
+
 def test_mapping_keeps_every_row(spark, con):
     """Row counts straight from the parquet tables, not through the mapping."""
     retail = Retail(spark, SF_SMALL)
