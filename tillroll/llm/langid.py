@@ -83,14 +83,14 @@ def _dense(rows, buckets):
     return x
 
 
-def fit(rows: list[tuple[list[int], list[float], str]], buckets: int = BUCKETS, dim: int = DIM,
+def fit(rows: list[tuple[np.ndarray, np.ndarray, str]], buckets: int = BUCKETS, dim: int = DIM,
         epochs: int = EPOCHS, rate: float = RATE, seed: int = 1) -> Model | None:
     """Model from (buckets, shares, language) rows; None without any row."""
     if not rows:
         return None
     names = sorted({r[2] for r in rows})
     y = np.array([names.index(r[2]) for r in rows])
-    x = [(np.array(r[0]), np.array(r[1], np.float32)) for r in rows]
+    x = [(r[0], r[1]) for r in rows]
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(rows))
     held = order[: len(rows) // 5] if len(rows) >= 50 else order
@@ -135,22 +135,29 @@ def training_rows(docs: DataFrame, learn: Column, id_col: str, text_col: str, la
     """Features of at most ``sample_rows`` labelled texts that have a letter:
     those with the smallest hashes of id and text (NULL labels never count)."""
     able = docs.where(learn & F.col(label_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"), F.col(label_col).cast("string").alias("label"))
-    cut = [r[0] for r in able.select("h").orderBy("h").limit(sample_rows).collect()]
-    if not cut:
+        F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"), F.col(text_col).alias("text"),
+        F.col(label_col).cast("string").alias("label"))
+    least = [r[0] for r in able.select("h").orderBy("h").limit(sample_rows).collect()]
+    if not least:
         return []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows = [(features(t), k) for t, k in zip(byte_texts(b), b.column("label").to_pylist()) if has_letter(t)]
             yield pa.RecordBatch.from_arrays([
-                pa.array([r[0][0] for r in rows], pa.list_(pa.int32())),
-                pa.array([r[0][1] for r in rows], pa.list_(pa.float32())), pa.array([r[1] for r in rows], pa.string())],
-                names=["buckets", "shares", "label"])
-
-    chosen = able.where(F.col("h") <= cut[-1]).select("text", "label").limit(sample_rows)
-    found = chosen.mapInArrow(run, "buckets array<int>, shares array<float>, label string").collect()
-    return sorted((tuple(r) for r in found), key=lambda r: (r[2], len(r[0]), r[0][:8], r[1][:8]))
+                pa.array([np.asarray(r[0][0], "<i4").tobytes() for r in rows], pa.binary()),
+                pa.array([np.asarray(r[0][1], "<f4").tobytes() for r in rows], pa.binary()),
+                pa.array([r[1] for r in rows], pa.string())], names=["buckets", "shares", "label"])
+
+    if len(least) < sample_rows:
+        chosen = able
+    elif least[0] < least[-1]:
+        chosen = able.where(F.col("h") < least[-1])          # fewer than sample_rows, however often a row recurs
+    else:
+        chosen = able.where(F.col("h") == least[-1]).limit(sample_rows)
+    found = chosen.select("text", "label").mapInArrow(run, "buckets binary, shares binary, label string").collect()
+    rows = sorted((r["label"], bytes(r["buckets"]), bytes(r["shares"])) for r in found)
+    return [(np.frombuffer(b, "<i4"), np.frombuffer(v, "<f4"), k) for k, b, v in rows]
 
 
 class _Scorer:
