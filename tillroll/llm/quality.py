@@ -162,7 +162,13 @@ def passes(docs: DataFrame, text_col: str = "text", rules=RULES, sample_rows: in
     NULL and empty texts have no words and go; equal rows share their fate.
     """
     ranked = order(rules, estimate(docs, rules, text_col, sample_rows))
-    return docs.where(first_failure(Text(F.coalesce(F.col(text_col), F.lit(""))), ranked).isNull())
+    t = F.coalesce(F.col(text_col), F.lit(""))
+    by_word = _let(word_array(t), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars")))
+    # most rules are shares of the words: those are counted once, in front of the cascade
+    counted = docs.select("*", F.explode(F.array(by_word)).alias("__words"))
+    known = Text(t, n_words=F.col("__words.n_words"), word_chars=F.col("__words.word_chars"))
+    return counted.where(first_failure(known, ranked).isNull()).drop("__words")
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -218,4 +218,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     chosen = first.select(F.col("first.id").alias("__sim_id"), F.col("first.key").alias("__sim_key"))
     kept = docs.withColumn("__sim_k", text_key(F.col(text_col))).join(
         chosen, F.col(id_col).eqNullSafe(F.col("__sim_id")) & (F.col("__sim_k") == F.col("__sim_key")), "left_semi")
-    return kept.dropDuplicates([id_col, "__sim_k"]).select(*docs.columns)
+    return kept.dropDuplicates([id_col, "__sim_k"]).drop("__sim_k")
