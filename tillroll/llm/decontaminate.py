@@ -47,23 +47,35 @@ def _starts(counts: np.ndarray) -> np.ndarray:
     return np.concatenate(([0], np.cumsum(counts + GAP)[:-1]))
 
 
-def _block(ids: list, keys: list, texts: list[list[bytes]], id_type: pa.DataType) -> pa.RecordBatch:
-    """Postings of some documents.  Positions number the block's words; numbers
-    left free between documents keep phrases and neighbourhoods inside one."""
-    counts = np.array([len(w) for w in texts], np.int64)
-    starts = _starts(counts)
-    number: dict[bytes, int] = {}
-    codes = np.array([number.setdefault(w, len(number)) for ws in texts for w in ws], np.int32)
-    positions = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(counts.sum())
-    by_term = np.argsort(codes, kind="stable")
-    ends = np.cumsum(np.bincount(codes, minlength=len(number)))
-    return pa.RecordBatch.from_arrays([
-        pa.array([ids], pa.list_(id_type)), pa.array([keys], pa.list_(pa.int64())),
-        pa.array([counts.tolist()], pa.list_(pa.int64())),
-        pa.array([b"\n".join(number)], pa.binary()),
-        pa.array([ends.astype("<i8").tobytes()], pa.binary()),
-        pa.array([positions[by_term].astype("<i8" if starts[-1] + counts[-1] >> 31 else "<i4").tobytes()], pa.binary()),
-    ], names=["ids", "keys", "counts", "terms", "ends", "positions"])
+class _Block:
+    """Documents of a block while it grows: term numbers instead of words."""
+
+    def __init__(self):
+        self.ids, self.keys, self.codes, self.size = [], [], [], 0
+        self.number: dict[bytes, int] = {}
+
+    def add(self, ident, key: int, words: list[bytes]) -> None:
+        number = self.number
+        self.ids.append(ident)
+        self.keys.append(key)
+        self.codes.append(np.fromiter((number.setdefault(w, len(number)) for w in words), np.int32, len(words)))
+        self.size += len(words)
+
+    def batch(self, id_type: pa.DataType) -> pa.RecordBatch:
+        """The block's row.  Positions number its words; numbers left free
+        between documents keep phrases and neighbourhoods inside one."""
+        counts = np.array([len(c) for c in self.codes], np.int64)
+        starts = _starts(counts)
+        codes = np.concatenate(self.codes)
+        positions = np.repeat(starts - np.concatenate(([0], np.cumsum(counts)[:-1])), counts) + np.arange(len(codes))
+        positions = positions[np.argsort(codes, kind="stable")]
+        ends = np.cumsum(np.bincount(codes, minlength=len(self.number)))
+        wide = "<i8" if starts[-1] + counts[-1] >> 31 else "<i4"
+        return pa.RecordBatch.from_arrays([
+            pa.array([self.ids], pa.list_(id_type)), pa.array([self.keys], pa.list_(pa.int64())),
+            pa.array([counts.tolist()], pa.list_(pa.int64())), pa.array([b"\n".join(self.number)], pa.binary()),
+            pa.array([ends.astype("<i8").tobytes()], pa.binary()), pa.array([positions.astype(wide).tobytes()], pa.binary()),
+        ], names=["ids", "keys", "counts", "terms", "ends", "positions"])
 
 
 def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -75,20 +87,17 @@ def positional_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     id_sql = src.schema["id"].dataType
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, keys, texts, size, kind = [], [], [], 0, None
+        block, kind = _Block(), None
         for b in (part for batch in batches for part in slices(batch, 200)):
             kind = b.column("id").type
             for i, k, t in zip(b.column("id").to_pylist(), b.column("key").to_pylist(), byte_texts(b)):
-                w = words_of(t)
-                if texts and size + len(w) > block_words:
-                    yield _block(ids, keys, texts, kind)
-                    ids, keys, texts, size = [], [], [], 0
-                ids.append(i)
-                keys.append(k)
-                texts.append(w)
-                size += len(w)
-        if texts:
-            yield _block(ids, keys, texts, kind)
+                words = words_of(t)
+                if block.ids and block.size + len(words) > block_words:
+                    yield block.batch(kind)
+                    block = _Block()
+                block.add(i, k, words)
+        if block.ids:
+            yield block.batch(kind)
 
     schema = T.StructType([
         T.StructField("ids", T.ArrayType(id_sql)), T.StructField("keys", T.ArrayType(T.LongType())),
@@ -110,6 +119,12 @@ def item_windows(items: list[tuple], width: int = WINDOW) -> dict[tuple[bytes, .
     return found
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows one at a time (a block's lists take some megabytes)."""
+    for k in range(batch.num_rows):
+        yield {name: batch.column(name)[k].as_py() for name in batch.schema.names}
+
+
 def _lists(row: dict, wanted: set[bytes]) -> dict[bytes, np.ndarray]:
     ends = np.frombuffer(row["ends"], "<i8")
     wide = "<i8" if len(row["positions"]) == 8 * (ends[-1] if len(ends) else 0) else "<i4"
@@ -166,7 +181,7 @@ def _search(index: DataFrame, windows: dict[tuple, set], slop: int, item_type: T
     def count(batches):
         for b in batches:
             n: dict[bytes, int] = defaultdict(int)
-            for row in b.to_pylist():
+            for row in _rows(b):
                 ends = np.frombuffer(row["ends"], "<i8")
                 size = np.diff(ends, prepend=0)
                 for k, t in enumerate(row["terms"].split(b"\n") if row["terms"] else []):
@@ -182,7 +197,7 @@ def _search(index: DataFrame, windows: dict[tuple, set], slop: int, item_type: T
 
     def run(batches):
         for b in batches:
-            for row in b.to_pylist():
+            for row in _rows(b):
                 lists = _lists(row, terms)
                 starts = _starts(np.array(row["counts"], np.int64))
                 spans, items, near = defaultdict(list), defaultdict(set), defaultdict(set)
