@@ -390,6 +390,29 @@ def test_main_text():
     assert html.main_text(plain) == "T\nFirst one, with words.\nSecond; more words."
 
 
+def test_marks_leave_wrappers_of_the_content():
+    article = "<article><h1>Head</h1><p>One, two. Three.</p></article>"
+    want = "Head\nOne, two. Three."
+    side = '<div class="sidebar">side, text, here.</div>'
+    for start, stop in (('<div style="overflow:hidden">', "</div>"), ('<div style="overflow-x: hidden">', "</div>"),
+                        ('<div class="has-sidebar">', "</div>"), ('<div class="no-sidebar">', "</div>"),
+                        ('<div id="page-menu-open">', "</div>"), ('<form action="/x">', "</form>"),
+                        ('<form><div class="menu-open">', "</div></form>")):
+        page_ = f"<body>{start}{article}{side}{stop}<footer>2024, all of it.</footer></body>"
+        assert html.main_text(page_) == want, start
+        plain = f"<body>{start}<p>{'One, two. ' * 9}</p>{stop}{side}<footer>2024</footer></body>"
+        assert html.main_text(plain) == ("One, two. " * 9).strip(), start
+    for hidden in ("display:none", "color:red; visibility : hidden"):
+        assert html.main_text(f'<body><div style="{hidden}">No, not this.</div>{article}</body>') == want
+    assert html.main_text(f"<html><head><title>t</title><body><p>Yes, this.</p>{side}</body>") == "Yes, this."
+    svg = '<svg width="1" height="2"/>'
+    assert html.main_text(f"<body>{svg}{article}<math/>{side}<svg><text>x</text></svg></body>") == want
+    # what is marked rightly stays outside, also with an article inside or longer than the article
+    comments = '<div class="comments"><article class="comment-body"><p>' + "Nice, and good. " * 40 + "</p></article></div>"
+    related = '<div class="related"><article><p>Read, also.</p></article></div>'
+    assert html.main_text(f"<body>{article}{comments}{related}</body>") == want
+
+
 def test_extract_text(spark):
     data = [(1, "u", "<article><p>" + "a, b. " * 50_000 + "</p></article>"), (2, None, None), (2, None, None), (None, "v", ""),
             (3, "w", "<!-- only a comment"), (4, "w", "<script>never closed <p>x</p>"), (5, "w", "a < b & c > d"), (6, "w", "<p>x<p>y")]

@@ -45,8 +45,15 @@ MARKS = frozenset(
     "navigation breadcrumb breadcrumbs footer header masthead cookie cookies consent notice notices popup modal newsletter "
     "subscribe share sharing social related recommended comment comments respond disqus login signup search pagination "
     "pager toolbar widget contentinfo complementary alert".split())
+#: Those of them that mark reader comments, which may be longer than the article.
+COMMENTS = frozenset("comment comments respond disqus".split())
+#: First words of names that describe a layout.
+LAYOUT = frozenset("has no with without".split())
 #: Containers that name the content themselves.
 MAIN = frozenset("article main".split())
+#: Elements of other languages, which may close themselves.
+FOREIGN = frozenset("svg math".split())
+_HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？、]")
 
 
@@ -54,35 +61,54 @@ def _closes(open_tag: str, new: str) -> bool:
     """Whether a start tag ends an open element that has an optional end tag."""
     if open_tag == "p":
         return new in BLOCK
+    if open_tag == "head":
+        return new == "body"
     return (open_tag, new) in {("li", "li"), ("dt", "dd"), ("dd", "dt"), ("dt", "dt"), ("dd", "dd"), ("tr", "tr"),
                                ("td", "td"), ("td", "th"), ("th", "td"), ("th", "th"), ("td", "tr"), ("th", "tr"),
                                ("option", "option")}
 
 
-def _marked(tag: str, attrs: str, stack: list[tuple]) -> bool:
+def _mark(tag: str, attrs: str, stack: list[tuple]) -> str:
+    """How a start tag is marked as not the article's text: "" (not at all),
+    "loose" (by a word or a form, which also stand on wrappers) or "strict"."""
+    if tag in MAIN or tag in ("html", "body"):
+        return ""
     if tag in OUTSIDE or (tag == "header" and not any(s[0] in MAIN for s in stack)):
-        return True
-    if tag in MAIN or tag in ("html", "body") or "=" not in attrs:
-        return False
-    named = {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
-    if "hidden" in _WORD.findall(named.get("style", "").lower()) or named.get("aria-hidden") == "true":
-        return True
-    words = [w for k in ("class", "id", "role") for w in _WORD.findall(named.get(k, "").lower())]
-    return any(w in MARKS for w in words)
+        return "loose" if tag == "form" else "strict"
+    if "=" not in attrs:
+        return ""
+    named = _attributes(attrs)
+    if _HIDDEN.search(named.get("style", "")) or named.get("aria-hidden") == "true":
+        return "strict"
+    words = _mark_words(named)
+    return "" if not words else "strict" if words & COMMENTS else "loose"
+
+
+def _attributes(attrs: str) -> dict[str, str]:
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in _ATTR.finditer(attrs)}
+
+
+def _mark_words(named: dict[str, str]) -> set[str]:
+    """The marking words of class, id and role; names such as has-sidebar tell
+    the layout of what is around the part, not what it is."""
+    names = (_WORD.findall(name) for k in ("class", "id", "role") for name in named.get(k, "").lower().split())
+    return {w for words in names if words and words[0] not in LAYOUT for w in words if w in MARKS}
 
 
 def text_nodes(page: str) -> list[tuple[tuple, int, str, bool]]:
     """(path, block number, raw text, outside) of each text node in page order;
     outside: in a part that is not the article's text."""
-    nodes: list[tuple[tuple, int, str, bool]] = []
-    stack: list[tuple] = []          # (tag, label, outside)
+    nodes: list[tuple[tuple, int, str, tuple]] = []
+    stack: list[tuple] = []          # (tag, numbers of the marked elements around and at it)
+    marks: list[str] = []            # kind of each marked element
+    holds: set[int] = set()          # marked elements with an article or main element inside
     path: tuple = ()
     block, at, skip_to = 0, 0, 0
     end = len(page)
 
     def text(a: int, b: int) -> None:
         if a < b:
-            nodes.append((path, block, page[a:b], bool(stack) and stack[-1][2]))
+            nodes.append((path, block, page[a:b], stack[-1][1] if stack else ()))
 
     for m in _TOKEN.finditer(page):
         if m.start() < skip_to:
@@ -98,13 +124,14 @@ def text_nodes(page: str) -> list[tuple[tuple, int, str, bool]]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
-                    path = tuple(s[1] for s in stack)
+                    path = tuple(s[0] for s in stack)
                     break
             continue
         if tag in VOID:
             if tag == "br":
-                text_break = (path, block, "\n", bool(stack) and stack[-1][2])
-                nodes.append(text_break)
+                nodes.append((path, block, "\n", stack[-1][1] if stack else ()))
+            continue
+        if tag in FOREIGN and m[3].endswith("/"):
             continue
         if tag in RAW:
             close = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
@@ -119,11 +146,45 @@ def text_nodes(page: str) -> list[tuple[tuple, int, str, bool]]:
                     break
                 if stack[k][0] in BLOCK:
                     break
-        outside = bool(stack) and stack[-1][2] or _marked(tag, m[3], stack)
-        stack.append((tag, tag, outside))
-        path = tuple(s[1] for s in stack)
+        inside = stack[-1][1] if stack else ()
+        kind = _mark(tag, m[3], stack)
+        if kind:
+            inside += (len(marks),)
+            marks.append(kind)
+        elif tag in MAIN and inside and not _mark_words(_attributes(m[3])) & COMMENTS:
+            holds.update(inside)
+        stack.append((tag, inside))
+        path = tuple(s[0] for s in stack)
     text(max(at, skip_to), end)
-    return nodes
+    wrong = _wrong_marks(nodes, marks, holds)
+    return [(path, block, text, any(k not in wrong for k in inside)) for path, block, text, inside in nodes]
+
+
+def _wrong_marks(nodes: list[tuple[tuple, int, str, tuple]], marks: list[str], holds: set[int]) -> set[int]:
+    """Marked elements that are wrappers of the content: those that hold the
+    page's only article or main elements, or ones with most of its text; and, on
+    pages without such an element, loosely marked ones with more than three
+    quarters of the text outside strict marks.  Link text does not count."""
+    if not marks:
+        return set()
+    free, total, named, within, named_within = 0, 0, 0, [0] * len(marks), [0] * len(marks)
+    for path, _, text, inside in nodes:
+        if "a" in path:
+            continue
+        n = len(_SPACE.sub("", text))
+        own = not MAIN.isdisjoint(path)
+        total += n
+        if not any(marks[k] == "strict" for k in inside):
+            free += n
+            for k in inside:
+                within[k] += n
+        named += n if own and not inside else 0
+        for k in inside:
+            named_within[k] += n if own else 0
+    wrong = {k for k in holds if named_within[k] and (not named or 2 * named_within[k] > total)}
+    if not named and not wrong:
+        wrong = {k for k, kind in enumerate(marks) if kind == "loose" and 4 * within[k] > 3 * free}
+    return wrong
 
 
 def _smooth(x: np.ndarray) -> np.ndarray:
