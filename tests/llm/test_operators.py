@@ -413,6 +413,29 @@ def test_marks_leave_wrappers_of_the_content():
     assert html.main_text(f"<body>{article}{comments}{related}</body>") == want
 
 
+def test_blocks_are_chosen_by_their_paths():
+    long = "Words, and more words; a sentence that ends. " * 4
+    p = f"<p>{long}</p>"
+    text = long.strip()
+    links = "<ul>" + '<li><a href="/x">Some other page</a></li>' * 6 + "</ul>"
+    # articles under different tag paths, each with a list at its end
+    two = (f"<body><div><article><h1>A</h1>{p}<ul><li>one</li></ul></article></div>{links}"
+           f"<section><div><article><h1>B</h1><p>Short, but whole.</p></article></div></section></body>")
+    assert html.main_text(two) == f"A\n{text}\none\nB\nShort, but whole."
+    # no article: unmarked link lists and short pieces around the content are below the threshold
+    plain = (f"<body><div>{links}</div><div><h1>T</h1><div>By someone</div>{p}<h2>S</h2><ul><li>one</li><li>two</li></ul>{p}</div>"
+             f"<div><h3>More</h3>{links}</div><div><span>Imprint</span></div></body>")
+    assert html.main_text(plain) == f"T\nBy someone\n{text}\nS\none\ntwo\n{text}"
+    # text above the threshold outside the article, and a link list inside main
+    mixed = f"<body><main><article>{p}</article><div>{links}</div></main><div>{p}</div></body>"
+    assert html.main_text(mixed) == f"{text}\n{text}".replace("\n", "\n" + "Some other page\n" * 0)
+    assert html.main_text("<article><h1>Only a head</h1></article>") == "Only a head"
+    assert html.main_text('<p><a href="/x">Only, a link.</a></p>') == "Only, a link."
+    assert html.main_text(f"<body><div>{p}</div><h3>Foot</h3></body>") == text
+    # one very long block does not push the others below
+    assert html.main_text(f"<body><pre>{long * 500}</pre><div>{p}</div></body>").endswith("\n" + text)
+
+
 def test_extract_text(spark):
     data = [(1, "u", "<article><p>" + "a, b. " * 50_000 + "</p></article>"), (2, None, None), (2, None, None), (None, "v", ""),
             (3, "w", "<!-- only a comment"), (4, "w", "<script>never closed <p>x</p>"), (5, "w", "a < b & c > d"), (6, "w", "<p>x<p>y")]

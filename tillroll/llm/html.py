@@ -1,11 +1,13 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read as text nodes with their root-to-leaf tag path.  Per path the
-text length and the punctuation are summed; their ratios to the number of the
-path's nodes are smoothed over neighbouring paths, fused, and thresholded at
-their standard deviation.  The selected paths name the content's container:
-the nodes under it, without menus, headers, footers, sidebars, notices, adverts,
-forms and reader comments, are the main text, in page order.
+A page is read as blocks of text with the tag path of their block element.  Per
+path the text outside links and its punctuation are summed; their ratios to the
+number of the path's blocks are smoothed over neighbouring paths, fused, and
+thresholded at their standard deviation.  An article or main element around a
+block is one more feature: as much as the threshold for blocks that are not mostly
+links.  The main text is, in page order, the blocks above the threshold, and
+the headings and short blocks between them.  Menus, headers, footers, sidebars,
+notices, adverts, forms and reader comments are left out before.
 """
 
 from __future__ import annotations
@@ -54,6 +56,9 @@ MAIN = frozenset("article main".split())
 #: Elements of other languages, which may close themselves.
 FOREIGN = frozenset("svg math".split())
 _HIDDEN = re.compile(r"(?:^|;)\s*(?:display\s*:\s*none|visibility\s*:\s*hidden)\b", re.I)
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Mean characters and punctuation of a path's blocks from which on they count as full text.
+FULL_TEXT, FULL_POINTS = 200.0, 4.0
 PUNCTUATION = re.compile(r"[.,;:!?…。，！？、]")
 
 
@@ -196,62 +201,98 @@ def _smooth(x: np.ndarray) -> np.ndarray:
     return np.convolve(x, kernel, "full")[1:-1] / total
 
 
-def content_paths(nodes: list[tuple[tuple, int, str, bool]]) -> set[tuple]:
-    """Paths whose fused, smoothed tag-path ratio reaches the threshold."""
-    length: dict[tuple, int] = {}
-    points: dict[tuple, int] = {}
-    count: dict[tuple, int] = {}
-    for path, _, text, outside in nodes:
+class Block:
+    """Text nodes of one block: path of its block element, characters, those of
+    them in links, and punctuation outside links."""
+
+    __slots__ = ("path", "parts", "chars", "linked", "points")
+
+    def __init__(self, path: tuple):
+        self.path, self.parts, self.chars, self.linked, self.points = path, [], 0, 0, 0
+
+    @property
+    def is_heading(self) -> bool:
+        return not HEADINGS.isdisjoint(self.path)
+
+    @property
+    def in_main(self) -> bool:
+        return not MAIN.isdisjoint(self.path)
+
+    @property
+    def is_links(self) -> bool:
+        return 2 * self.linked > self.chars
+
+
+def text_blocks(nodes: list[tuple[tuple, int, str, bool]]) -> list[Block]:
+    """The blocks with text, in page order, of the nodes that are not outside."""
+    blocks: dict[int, Block] = {}
+    for path, number, text, outside in nodes:
+        if outside:
+            continue
+        block = blocks.get(number)
+        if block is None:
+            block = blocks[number] = Block(tuple(t for t in path if t in BLOCK))
+        block.parts.append(text)
         n = len(_SPACE.sub("", text))
-        if n and not outside:
-            length[path] = length.get(path, 0) + n
-            points[path] = points.get(path, 0) + len(PUNCTUATION.findall(text))
-            count[path] = count.get(path, 0) + 1
-    if not length:
-        return set()
-    paths = list(length)
-    texts = np.array([length[p] / count[p] for p in paths], float)
-    marks = np.array([(points[p] + 1) / count[p] for p in paths], float)
-    weight = np.array([length[p] for p in paths], float)
-    fused = _smooth(texts / texts.max()) * _smooth(marks / marks.max()) * (weight / weight.max())
-    return {p for p, v in zip(paths, fused) if v >= min(fused.std(), fused.max())}
-
-
-def _container(paths: set[tuple], nodes) -> tuple:
-    """The element that holds the content: an article or main element on the
-    selected paths, else the selected paths' longest common ancestor."""
-    for p in paths:
-        for k, tag in enumerate(p):
-            if tag in MAIN:
-                return p[:k + 1]
-    first, *rest = sorted(paths)
-    last = rest[-1] if rest else first
-    k = 0
-    while k < min(len(first), len(last)) and first[k] == last[k]:
-        k += 1
-    common = first[:k]
-    while common and common[-1] not in BLOCK:
-        common = common[:-1]
-    # a single paragraph path stands for its siblings
-    return common[:-1] if common and common[-1] in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "blockquote") else common
+        block.chars += n
+        if "a" in path:
+            block.linked += n
+        else:
+            block.points += len(PUNCTUATION.findall(text))
+    return [b for b in blocks.values() if b.chars]
+
+
+def path_scores(blocks: list[Block]) -> dict[tuple, float]:
+    """Fused, smoothed ratios of every path with text; headings have none of
+    their own unless the page has nothing else."""
+    blocks = [b for b in blocks if not b.is_heading] or blocks
+    all_links = all(b.chars == b.linked for b in blocks)
+    sums: dict[tuple, list[int]] = {}
+    for b in blocks:
+        s = sums.setdefault(b.path, [0, 0, 0])
+        s[0] += b.chars if all_links else b.chars - b.linked
+        s[1] += b.points
+        s[2] += 1
+    length, points, count = np.array(list(sums.values()), float).T
+    texts = np.minimum(length / count, FULL_TEXT)
+    marks = np.minimum((points + 1) / count, FULL_POINTS)
+    fused = np.sqrt(_smooth(texts / texts.max()) * _smooth(marks / marks.max()))
+    return dict(zip(sums, fused.tolist()))
+
+
+def content_blocks(blocks: list[Block]) -> list[Block]:
+    """The blocks of the main text."""
+    scores = path_scores(blocks)
+    values = np.array(list(scores.values()))
+    limit = min(values.std(), values.max())
+    kept = [b.in_main and not b.is_links or b.path in scores and scores[b.path] >= limit for b in blocks]
+    at = [k for k, x in enumerate(kept) if x]
+    # a first-level heading before the content begins it
+    titles = [k for k in range(at[0]) if "h1" in blocks[k].path]
+    spans = [(titles[-1], at[0])] if titles else []
+    for i, j in spans + list(zip(at, at[1:])):
+        one, two = blocks[i], blocks[j]
+        common = 0
+        while common < min(len(one.path), len(two.path)) - 1 and one.path[common] == two.path[common]:
+            common += 1
+        around = one.path[:common]
+        for k in range(i + 1, j):
+            b = blocks[k]
+            kept[k] = (not b.is_heading and (one.in_main and two.in_main and b.in_main
+                                             or not b.is_links and b.path[:common] == around))
+    for k in range(len(blocks) - 2, -1, -1):     # a heading belongs to what follows it
+        kept[k] = kept[k] or blocks[k].is_heading and kept[k + 1]
+    return [b for b, x in zip(blocks, kept) if x]
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks, one per line; empty if there is none."""
     if not page:
         return ""
-    nodes = text_nodes(page)
-    inside = [n for n in nodes if not n[3]]
-    named = [n for n in inside if any(t in MAIN for t in n[0])]
-    paths = content_paths(named if any(not n[2].isspace() for n in named) else inside)
-    if not paths:
+    blocks = text_blocks(text_nodes(page))
+    if not blocks:
         return ""
-    top = _container(paths, inside)
-    blocks: dict[int, list[str]] = {}
-    for path, block, text, _ in inside:
-        if path[:len(top)] == top:
-            blocks.setdefault(block, []).append(text)
-    lines = (_SPACE.sub(" ", html.unescape("".join(parts))).strip() for parts in blocks.values())
+    lines = (_SPACE.sub(" ", html.unescape("".join(b.parts))).strip() for b in content_blocks(blocks))
     return "\n".join(x for x in lines if x)
 
 
