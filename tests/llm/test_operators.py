@@ -221,6 +221,16 @@ def test_lm_base_and_model(spark, monkeypatch):
     assert sum(got[k].score for k in held) > sum(got[k].base_score for k in held) + 0.05 * sum(got[k].n_tokens for k in held)
 
 
+def test_lm_does_not_follow_the_layout(spark):
+    rng = random.Random(3)
+    df = spark.createDataFrame([(k, make_text(rng, "xy"[k % 2])) for k in range(700)], "doc_id long, text string")
+    gain = {}
+    for n in (1, 60):
+        got = lm.score_documents(df.repartition(n), ~lm.held_out(F.col("doc_id"))).where("not learned")
+        gain[n] = got.agg((F.sum("score") - F.sum("base_score")) / F.sum("n_tokens")).first()[0]
+    assert gain[1] > 0.1 and gain[60] > 0.8 * gain[1]
+
+
 def test_lm_is_a_distribution(spark):
     rng = random.Random(4)
     texts = [make_text(rng, "z").encode() for _ in range(50)]

@@ -8,10 +8,10 @@ context features: the previous word, the word before it (a skip feature) and
 both (an n-gram).  Inside a class of rare tokens the distribution is the
 smoothed training frequency, the maximum-entropy solution without features.
 
-Token counts cover all training documents and stay a table.  Every partition of
-the training documents runs gradient updates from the common start; the updates
-are summed per block of model rows and averaged over the tokens.  Texts are
-scored in sparse numpy batches; counts of words outside a bounded dictionary of
+Token counts cover all training documents and stay a table.  Training runs in
+rounds over disjoint slices of the training documents: every partition runs
+gradient updates from the weights merged so far, and a row's updates are merged
+over the partitions that saw the row.  Texts are scored in sparse numpy batches; counts of words outside a bounded dictionary of
 frequent words are joined in, never broadcast.
 """
 
@@ -40,6 +40,9 @@ PAIR_ROWS = 1 << 14        # hashed rows of the n-gram feature (all rows fit 16
 IN_ROWS = 1 << 15          # hashed (feature, class) rows of the within-class softmax
 STEP = 4096                # tokens of one gradient step
 RATE = 0.5
+ROUNDS = (5, 25)           # percent of the training texts after which the partitions' updates are merged
+SETTLED = 1000             # sightings of a row from which on more of them only average it
+FARTHEST = 8.0             # most that a round moves a weight
 BLOCK_ROWS = 512           # model rows that travel together
 _FLUSH = 200_000
 
@@ -171,8 +174,9 @@ class Weights:
 
 
 def _exp_sum(matrix: np.ndarray, rows: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """exp(sum of the three feature rows + bias); biases are log shares, and
-    a step moves a weight by less than the rate, so nothing overflows."""
+    """exp(sum of the three feature rows + bias); biases are log shares, a step
+    moves a weight by less than the rate and a round's merge by at most
+    ``FARTHEST``, so nothing overflows."""
     z = np.take(matrix, rows[0], axis=0)
     z += np.take(matrix, rows[1], axis=0)
     z += np.take(matrix, rows[2], axis=0)
@@ -213,64 +217,96 @@ def train_step(w: Weights, lex: Lexicon, idx, cls, rows, seen_a, seen_b, rate=RA
 
 
 def train(docs: DataFrame, text_col: str, lex: Lexicon) -> Weights:
-    """One pass of gradient updates over all partitions, averaged by tokens.
+    """Rounds of gradient updates over disjoint slices of the documents; each
+    round starts in every partition from the weights that the last one merged.
+
+    A slice is dealt by a hash of the text, so it does not follow the layout."""
+    w = Weights(lex)
+    seen = {"a": np.zeros(len(w.a)), "b": np.zeros(len(w.b))}
+    part = F.pmod(F.xxhash64("text"), F.lit(100))
+    texts, parts = docs.select(F.col(text_col).alias("text")), 1
+    for low, high in zip((0, *ROUNDS), (*ROUNDS, 100)):
+        parts = _train_round(texts.where((part >= low) & (part < high)), lex, w, seen, parts)
+    return w
+
+
+def _train_round(docs: DataFrame, lex: Lexicon, w: Weights, seen: dict[str, np.ndarray], parts: int) -> int:
+    """Updates ``w`` and ``seen`` (per row of the model) by one pass over the
+    texts; returns the number of partitions that had any.
+
+    A partition takes its share of what the rows have seen as the measure of its
+    steps and sends the rows that it touched, with their changes weighted by how
+    often it saw them.  Blocks of rows meet by number and are summed in a stream,
+    so a task holds a few blocks and the driver receives one model, whatever the
+    size of the data.  A row's merged change is the mean over what touched it,
+    never over partitions that did not see it.  A sequence of n steps at rates
+    that fall with their square root moves a row sqrt(n / m) times as far as m
+    steps, so rows that the partitions saw seldom move that much further; rows
+    seen ``SETTLED`` times have settled in the partition already."""
+    share = {name: x / parts for name, x in seen.items()}
 
-    Each partition sends blocks of its weight updates times its tokens; blocks
-    meet by number and are summed in a stream, so a task holds a few blocks and
-    the driver receives one model, whatever the size of the data."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = Weights(lex)
-        seen_a, seen_b = np.zeros(len(w.a)), np.zeros(len(w.b))
-        held, size, total = [], 0, 0
+        own = Weights(lex)
+        own.a, own.b = w.a.copy(), w.b.copy()
+        own_seen = {name: x.copy() for name, x in share.items()}
+        held, size = [], 0
 
         def step():
             idx, cls, rows = (np.concatenate([h[k] for h in held], axis=-1) for k in range(3))
             for k in range(0, len(idx), STEP):
-                train_step(w, lex, idx[k:k + STEP], cls[k:k + STEP], rows[:, k:k + STEP], seen_a, seen_b)
+                train_step(own, lex, idx[k:k + STEP], cls[k:k + STEP], rows[:, k:k + STEP], own_seen["a"], own_seen["b"])
 
         for t in (t for batch in batches for b in slices(batch, 200) for t in byte_texts(b)):
             idx, cls, code, _ = read_text(t, lex)
             held.append((idx, cls, lex.context_rows(code)))
             size += len(idx)
-            total += len(idx)
             if size >= 4 * STEP:
                 step()
                 held, size = [], 0
         if held:
             step()
-        if not total:
-            return
-        for name, m in (("a", w.a), ("b", w.b)):
+        for name, m, start in (("a", own.a, w.a), ("b", own.b, w.b)):
+            n = own_seen[name] - share[name]
             for k in range(0, len(m), BLOCK_ROWS):
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([f"{name}{k}"]), pa.array([total], pa.int64()),
-                    pa.array([(m[k:k + BLOCK_ROWS] * np.float32(total)).tobytes()], pa.binary())],
-                    names=["block", "tokens", "data"])
+                at = np.flatnonzero(n[k:k + BLOCK_ROWS] > 0.5)
+                if len(at):
+                    count = n[k + at].astype(np.float32)
+                    change = (m[k + at] - start[k + at]) * count[:, None]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([f"{name}{k}"]), pa.array([1], pa.int64()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()),
+                        pa.array([count.tobytes()], pa.binary()), pa.array([change.tobytes()], pa.binary())], names=names)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, list] = {}
         for b in batches:
-            for name, n, data in zip(*(b.column(c).to_pylist() for c in ("block", "tokens", "data"))):
-                x = np.frombuffer(data, np.float32).astype(np.float64)
-                if name in sums:
-                    sums[name][0] += n
-                    sums[name][1] += x
-                else:
-                    sums[name] = [n, x]
-        for name, (n, x) in sums.items():
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64()),
-                                              pa.array([(x / n).astype(np.float32).tobytes()], pa.binary())],
-                                             names=["block", "tokens", "data"])
-
-    schema = "block string, tokens long, data binary"
+            for name, n, at, count, data in zip(*(b.column(c).to_pylist() for c in names)):
+                at, count = np.frombuffer(at, np.uint16), np.frombuffer(count, np.float32).astype(np.float64)
+                change = np.frombuffer(data, np.float32).reshape(len(at), -1)
+                s = sums.setdefault(name, [0, np.zeros(BLOCK_ROWS), np.zeros(BLOCK_ROWS), np.zeros((BLOCK_ROWS, change.shape[1]))])
+                s[0] += n
+                s[1][at] += count
+                s[2][at] += count * count
+                s[3][at] += change
+        for name, (n, count, squares, change) in sums.items():
+            at = np.flatnonzero(count)
+            count, squares = count[at], squares[at]
+            typical = squares / count                       # times that a partition saw the row
+            further = np.sqrt(np.maximum(np.minimum(count, SETTLED) / typical, 1.0))
+            merged = np.clip(change[at] * (further / count)[:, None], -FARTHEST, FARTHEST)
+            yield pa.RecordBatch.from_arrays([
+                pa.array([name]), pa.array([n], pa.int64()), pa.array([at.astype(np.uint16).tobytes()], pa.binary()),
+                pa.array([count.tobytes()], pa.binary()), pa.array([merged.astype(np.float32).tobytes()], pa.binary())], names=names)
+
+    names = ["block", "parts", "at", "count", "data"]
+    schema = "block string, parts long, at binary, count binary, data binary"
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sums = docs.select(F.col(text_col).alias("text")).mapInArrow(run, schema).repartition(n, "block").mapInArrow(add, schema)
-    w = Weights(lex)
-    for r in sums.collect():                     # one model: bounded by its fixed size
-        m = w.a if r["block"][0] == "a" else w.b
-        k = int(r["block"][1:])
-        m[k:k + BLOCK_ROWS] = np.frombuffer(bytes(r["data"]), np.float32).reshape(-1, m.shape[1])
-    return w
+    sums = docs.mapInArrow(run, schema).repartition(n, "block").mapInArrow(add, schema).collect()   # one model: bounded by its fixed size
+    for r in sums:
+        name, m = r["block"][0], w.a if r["block"][0] == "a" else w.b
+        at = int(r["block"][1:]) + np.frombuffer(bytes(r["at"]), np.uint16).astype(np.int64)
+        m[at] += np.frombuffer(bytes(r["data"]), np.float32).reshape(len(at), -1)
+        seen[name][at] += np.frombuffer(bytes(r["count"]), np.float64)
+    return max((r["parts"] for r in sums), default=parts)
 
 
 def score_texts(texts: list[bytes], lex: Lexicon, w: Weights) -> list[tuple]:
