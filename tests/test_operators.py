@@ -108,6 +108,26 @@ def test_vector_topk_blocked_equals_brute_force(spark):
     assert gf == exp_f
 
 
+def test_cells_stay_bounded_as_both_tables_grow(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "QUERY_ROWS", 50, raising=False)
+    monkeypatch.setattr(similarity, "DOC_ROWS", 20, raising=False)
+    q = spark.range(1000).select(F.col("id").alias("qid"))
+    d = spark.range(600).select(F.col("id").alias("did"))
+
+    def cell(q, d):
+        import pandas as pd
+        return pd.DataFrame({"query_id": q["qid"], "doc_id": len(d), "score": float(len(q))})
+
+    got = similarity.blocked_topk(q, d, 10_000, cell)
+    most = got.agg(F.max("score"), F.max("doc_id"), F.count_distinct("query_id")).first()
+    assert most[0] <= 100 and most[1] <= 50 and most[2] == 1000
+    texts = spark.range(300).select(F.col("id").alias("query_id"), F.concat_ws(
+        " ", F.concat(F.lit("a"), F.col("id") % 7), F.concat(F.lit("b"), F.col("id") % 11)).alias("text"))
+    docs = texts.where("query_id % 3 = 0").withColumnRenamed("query_id", "doc_id")
+    one = similarity.text_topk(texts, docs, 3, query_blocks=1, doc_buckets=1)
+    assert sorted(map(tuple, similarity.text_topk(texts, docs, 3).collect())) == sorted(map(tuple, one.collect()))
+
+
 def test_text_topk_equals_brute_force(spark):
     docs = [(1, "red shoe for running"), (2, "blue shoe"), (3, "red red hat"), (4, None), (5, "green coat")]
     qs = [(10, "Red shoe!"), (11, "coat coat"), (12, "nothing matches"), (13, "")]

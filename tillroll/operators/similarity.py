@@ -1,15 +1,18 @@
 """Exact top-k similarity search as a blocked Spark job.
 
-The queries are a frame of their own: a bounded batch that meets all documents.
-They are hashed into ``query_blocks`` blocks and the documents into
-``doc_buckets`` buckets; each (block, bucket) cell is one cogroup task that
-scores its queries against its documents with numpy and keeps only the k best
-per query.  A final ``row_number() ≤ k`` per query merges the candidates.
-
-* Documents travel ``query_blocks`` times, queries ``doc_buckets`` times; with
-  one block (the default) every document is shipped once.  Both numbers are the
-  caller's: a task holds |queries| / query_blocks queries and |documents| /
-  doc_buckets documents.  They change the cost, never the rows.
+The queries are a frame of their own: they are hashed into ``query_blocks``
+blocks and the documents into ``doc_buckets`` buckets; each (block, bucket) cell
+is one cogroup group that scores its queries against its documents with numpy
+and keeps only the k best per query.  A final ``row_number() ≤ k`` per query
+merges the candidates.
+
+* Documents travel ``query_blocks`` times, queries ``doc_buckets`` times; a cell
+  holds |queries| / query_blocks queries and |documents| / doc_buckets documents.
+  Without given numbers, blocks have about ``QUERY_ROWS`` queries and buckets
+  about ``DOC_ROWS`` documents, counted in the plan itself, so a cell's matrix is
+  bounded however large both tables are, and a query's candidates (k a bucket)
+  do not follow the number of partitions.  The numbers change the cost, never
+  the rows.
 * ``same`` columns (metadata equality filters such as label) become extra
   cogroup keys, so a query only ever meets documents of its own group.
 * Ties are broken by document id, inside the cell and in the merge, so the
@@ -21,13 +24,17 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tillroll.operators.rank import top_k_per_group
 
 SCORE_DECIMALS = 6
+#: Mean queries of a block and documents of a bucket at most: a matrix of 32 MB.
+QUERY_ROWS = 1024
+DOC_ROWS = 4096
+
 
 def _best_k(scores: np.ndarray, qids: np.ndarray, dids: np.ndarray, k: int,
             min_score: float | None, chunk: int = 256) -> pd.DataFrame:
@@ -131,23 +138,33 @@ def _sparse_cell(k: int, vocab_chunk: int = VOCAB_CHUNK):
     return run
 
 
-def cells(queries: DataFrame, docs: DataFrame, query_blocks: int, doc_buckets: int) -> tuple[DataFrame, DataFrame]:
+def cells(queries: DataFrame, docs: DataFrame, query_blocks, doc_buckets) -> tuple[DataFrame, DataFrame]:
     """Both sides with their cell keys (identically typed, so the two halves of
-    a cell hash to the same partition)."""
+    a cell hash to the same partition); the numbers are ints or scalar columns."""
     def place(df, key, own, n, other, m):
-        return df.withColumn(own, F.pmod(F.xxhash64(key), F.lit(n)).cast("int")).withColumn(
-            other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))) if m > 1 else F.lit(0))
+        df = df.withColumn("_m", m if isinstance(m, Column) else F.lit(m)).withColumn("_n", n if isinstance(n, Column) else F.lit(n))
+        return (df.withColumn(own, F.pmod(F.xxhash64(key), F.col("_n")).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_m").cast("int") - 1))).drop("_m", "_n"))
     return (place(queries, "qid", "_blk", query_blocks, "_bkt", doc_buckets),
             place(docs, "did", "_bkt", doc_buckets, "_blk", query_blocks))
 
 
+def parts_of(df: DataFrame, rows: int) -> Column:
+    """Parts of about ``rows`` rows, one at least: a scalar of the plan."""
+    return F.greatest(F.lit(1), F.ceil(df.select(F.count("*")).scalar() / F.lit(rows)).cast("int"))
+
+
 def blocked_topk(queries: DataFrame, docs: DataFrame, k: int, cell, same: list[str] = (),
-                 query_blocks: int = 1, doc_buckets: int | None = None) -> DataFrame:
+                 query_blocks: int | Column | None = None, doc_buckets: int | Column | None = None) -> DataFrame:
     """Generic exact top-k: ``queries`` has ``qid`` + payload, ``docs`` has
     ``did`` + payload (same payload schema); returns (query_id, doc_id,
-    score, rank).  ``doc_buckets`` defaults to spark.sql.shuffle.partitions."""
-    buckets = doc_buckets or int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    q, d = cells(queries, docs, query_blocks, buckets)
+    score, rank).  ``query_blocks`` defaults to blocks of ``QUERY_ROWS``,
+    ``doc_buckets`` to buckets of ``DOC_ROWS``."""
+    if query_blocks is None:
+        query_blocks = parts_of(queries, QUERY_ROWS)
+    if doc_buckets is None:
+        doc_buckets = parts_of(docs, DOC_ROWS)
+    q, d = cells(queries, docs, query_blocks, doc_buckets)
     keys = ["_blk", "_bkt", *same]
     out_schema = StructType([StructField("query_id", queries.schema["qid"].dataType),
                              StructField("doc_id", docs.schema["did"].dataType),
@@ -213,4 +230,10 @@ def text_topk(queries: DataFrame, docs: DataFrame, k: int = 5, *, query_id: str
             F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
             .select(key, F.col("tw.token").alias("tokens"), F.col("tw.w").alias("weights"), "norm"))
 
+    # counted on the tables, not on the token vectors made of them
+    block = {"query_blocks": None, "doc_buckets": None} | block
+    if block["query_blocks"] is None:
+        block["query_blocks"] = parts_of(queries, QUERY_ROWS)
+    if block["doc_buckets"] is None:
+        block["doc_buckets"] = parts_of(d, DOC_ROWS)
     return blocked_topk(vecs(qw, "qid"), vecs(dw, "did"), k, _sparse_cell(k, vocab_chunk), **block)
