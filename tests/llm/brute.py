@@ -118,3 +118,62 @@ def rule(url: str | None) -> tuple:
     host, path = host_path(url)
     fit = [(len(n), n, v) for n, (h, p, v) in RULES.items() if (host == h or host.endswith("." + h)) and path.startswith(p)]
     return max(fit)[1:] if fit else (None, None)
+
+
+def filter_audit(rows: list[tuple], labels: list[tuple]) -> dict:
+    """(part, order, step) -> kept, removed, redundant, good_lost, toxic_lost, unique_fails, shapley; rows: (id, text, part)."""
+    import itertools
+
+    def fails(i, t):
+        t = t or ""
+        w = words(t)
+        return {x for x, bad in zip("ABCDE", (
+            len(w) < 50, 100 * len(set(w)) < 65 * len(w), 100 * sum("A" <= c <= "Z" for c in t) > 5 * len(t),
+            any(c in "#$%&*|" for c in t),
+            i is not None and any(j is not None and j < i and (u or "") == t for j, u, _ in rows))) if bad}
+
+    good = {i for i, q, _ in labels if q == 1 and i is not None}
+    toxic = {i for i, _, x in labels if x == 1 and i is not None}
+    judged = [(i, part or "", fails(i, t)) for i, t, part in rows]
+    out, share = {}, Counter()
+    for part in {p for _, p, _ in judged}:
+        mine = [(i, f) for i, p, f in judged if p == part]
+        for order in map("".join, itertools.permutations("ABCDE")):
+            alive = mine
+            for k, x in enumerate(order, 1):
+                gone = [(i, f) for i, f in alive if x in f]
+                alive = [(i, f) for i, f in alive if x not in f]
+                share[part, x] += len(gone)
+                out[part, order, k] = [len(alive), len(gone), sum(x in f for _, f in mine) - sum(x in f for _, f in gone),
+                                       sum(i in good for i, _ in gone), sum(i in toxic for i, _ in gone),
+                                       sum(f == {x} for _, f in mine)]
+    return {k: (*v, share[k[0], k[1][k[2] - 1]]) for k, v in out.items()}
+
+
+TERM = re.compile(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def source_divergence(rows: list[tuple], top: int = 200) -> list[tuple]:
+    """(lang, source, part, item, value, rank); rows: (text, lang, source)."""
+    docs = [(g or "", s or "", TERM.findall(lower(t or ""))) for t, g, s in rows]
+    out = []
+    for lang in {g for g, _, _ in docs}:
+        mine = [(s, w) for g, s, w in docs if g == lang]
+        seen = Counter(x for _, w in mine for x in set(w))
+        kept = {x for x, n in seen.items() if n >= 3}
+        total = Counter(x for _, w in mine for x in w if x in kept)
+        by = {s: Counter() for s, _ in mine}
+        for s, w in mine:
+            by[s].update(x for x in w if x in kept)
+
+        def scaled(c):
+            return {x: 1 + 10**9 * (c[x] + 1) // (c.total() + len(kept)) for x in kept}
+
+        p, q = {s: scaled(c) for s, c in by.items()}, scaled(total)
+        for s in by:
+            pairs = [(sum((p[s][x] - p[o][x]) ** 2 // p[o][x] for x in kept), o) for o in by if o != s]
+            terms = [((p[s][x] - q[x]) ** 2 // q[x], x) for x in kept if by[s][x] and p[s][x] > q[x]]
+            for part, found in (("pair", pairs), ("term", terms)):
+                found.sort(key=lambda v: (-v[0], v[1].encode()))
+                out += [(lang, s, part, x, v, k) for k, (v, x) in enumerate(found[:top] if part == "term" else found, 1)]
+    return sorted(out)

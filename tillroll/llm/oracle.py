@@ -1,4 +1,4 @@
-"""DuckDB SQL of the queries that SQL can express: op2, op6, op9."""
+"""DuckDB SQL of the queries that SQL can express: op2, op6, op9, op11, op12."""
 
 from __future__ import annotations
 
@@ -118,4 +118,69 @@ SELECT page_id, host, path, {_rule_sql("host", "path", 0)} AS rule,
        CASE WHEN {_rule_sql("host", "path", 0)} IS NOT NULL THEN 'rule' WHEN passed IS NOT NULL THEN 'alias' ELSE 'default' END AS "by"
 FROM own LEFT JOIN alias USING (node)"""
 
-ORACLE_SQL = {"op2_urls": OP2, "op6_decontaminate": OP6, "op9_quality": OP9}
+OP11 = rf"""
+WITH d AS (SELECT doc_id, COALESCE(source, '') AS part, COALESCE(text, '') AS t,
+                  regexp_extract_all(COALESCE(text, ''), '{_WS}') AS ws FROM documents),
+firsts AS (SELECT t, min(doc_id) AS least FROM d GROUP BY t),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, COALESCE(good, false) AS good, COALESCE(toxic, false) AS toxic,
+         CASE WHEN len(ws) < 50 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(ws)) < 65 * len(ws) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 5 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS mask
+  FROM d JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)),
+states AS (SELECT part, mask, good, toxic, COUNT(*) AS n FROM masks GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+           FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+gone AS (SELECT *, list_min(list_transform(string_split(mask, ''), lambda c: instr(filter_order, c))) AS stop
+         FROM states, orders WHERE mask <> ''
+         UNION ALL SELECT *, 6 AS stop FROM states, orders WHERE mask = ''),
+steps AS (SELECT part, filter_order, CAST(step AS INTEGER) AS step, filter_order[step] AS x, mask, n, good, toxic, stop
+          FROM gone, range(1, 6) r(step)),
+counted AS (
+  SELECT part, filter_order, step, x, CAST(SUM(CASE WHEN stop > step THEN n ELSE 0 END) AS BIGINT) AS kept,
+         CAST(SUM(CASE WHEN stop = step THEN n ELSE 0 END) AS BIGINT) AS removed,
+         CAST(SUM(CASE WHEN stop < step AND instr(mask, x) > 0 THEN n ELSE 0 END) AS BIGINT) AS redundant,
+         CAST(SUM(CASE WHEN mask = x THEN n ELSE 0 END) AS BIGINT) AS unique_fails,
+         CAST(SUM(CASE WHEN stop = step AND good THEN n ELSE 0 END) AS BIGINT) AS good_lost,
+         CAST(SUM(CASE WHEN stop = step AND toxic THEN n ELSE 0 END) AS BIGINT) AS toxic_lost
+  FROM steps GROUP BY part, filter_order, step, x)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(SUM(removed) OVER (PARTITION BY part, x) AS BIGINT) AS shapley
+FROM counted"""
+
+_TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+OP12 = rf"""
+WITH d AS (SELECT row_number() OVER () AS k, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+                  regexp_extract_all({_LOW.format("COALESCE(text, '')")}, '{_TERM}') AS ts FROM documents),
+t AS (SELECT k, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, COUNT(*) AS total FROM t GROUP BY lang, term HAVING COUNT(DISTINCT k) >= 3),
+c AS (SELECT lang, source, term, COUNT(*) AS n FROM t JOIN kept USING (lang, term) GROUP BY lang, source, term),
+langs AS (SELECT lang, COUNT(*) AS v, SUM(total) AS n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+mass AS (SELECT lang, source, SUM(n) AS n FROM c GROUP BY lang, source),
+full_rows AS (SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS count,
+                1 + (1000000000::HUGEINT * (COALESCE(c.n, 0) + 1)) // (COALESCE(m.n, 0) + l.v) AS p,
+                1 + (1000000000::HUGEINT * (k.total + 1)) // (l.n + l.v) AS q
+         FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang) LEFT JOIN mass m USING (lang, source)
+         LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+summed AS (SELECT a.lang, a.source, b.source AS item, SUM((a.p - b.p) * (a.p - b.p) // b.p) AS value
+           FROM full_rows a JOIN full_rows b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+           GROUP BY a.lang, a.source, b.source),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, COALESCE(s.value, 0) AS value
+          FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN summed s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value
+          FROM full_rows WHERE count > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS r
+           FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(r AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR r <= 200"""
+
+ORACLE_SQL = {"op2_urls": OP2, "op6_decontaminate": OP6, "op9_quality": OP9, "op11_filter_audit": OP11,
+              "op12_source_divergence": OP12}

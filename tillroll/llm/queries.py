@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
-from tillroll.llm import decontaminate, html, langid, lm, mixing, packing, quality, simhash, tokens, urls
+from tillroll.llm import decontaminate, divergence, filter_audit, html, langid, lm, mixing, packing, quality, simhash, tokens, urls
 from tillroll.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,3 +113,15 @@ def op10_langid(spark, sf_dir):
     found = langid.predict_language(docs, ~held)
     return found.select(F.col("id").alias("doc_id"), langid.held_out(F.col("id")).alias("held_out"),
                         "lang_pred", "score", "rejected")
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    """Outcome of every step of every filter order, per source."""
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op12_source_divergence(spark, sf_dir):
+    """Divergence of every source from the others and from its language."""
+    return divergence.source_divergence(table(spark, sf_dir, "documents"))
