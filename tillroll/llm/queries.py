@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm.oracle import ORACLE_SQL  # noqa: F401  (read by __spark_entry__)
-from tillroll.llm import decontaminate, divergence, filter_audit, html, langid, lm, mixing, packing, quality, simhash, tokens, urls
+from tillroll.llm import decontaminate, divergence, filter_audit, html, langid, lm, mixing, packing, quality, simhash, tokens, toxicity, urls
 from tillroll.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,3 +125,12 @@ def op11_filter_audit(spark, sf_dir):
 def op12_source_divergence(spark, sf_dir):
     """Divergence of every source from the others and from its language."""
     return divergence.source_divergence(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_toxicity(spark, sf_dir):
+    """Toxicity score of every document."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = toxicity.score_toxicity(docs, labels, ~toxicity.held_out(F.col("doc_id")))
+    return found.select(F.col("id").alias("doc_id"), toxicity.held_out(F.col("id")).alias("held_out"), "score", "predicted",
+                        F.size("matches").cast("long").alias("n_matches"))
