@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from tests.llm import brute
@@ -69,9 +70,16 @@ def test_divergence_on_random_tables(spark, monkeypatch, seed):
 
 
 def test_tree_shares_paths():
-    tree = divergence.Tree()
-    entry = lambda s, n: {"source": s, "count": n, "p": n + 1, "zero": 1}
-    tree.insert([entry("a", 1), entry("b", 2)], 5)
-    tree.insert([entry("a", 1), entry("b", 2), entry("c", 1)], 2)
-    tree.insert([entry("a", 1), entry("c", 1)], 1)
-    assert len(tree.parent) == 4 and tree.times == [8, 7, 2, 1]
+    rows = [([(0, 1), (1, 2)], 5), ([(0, 1), (1, 2), (2, 1)], 2), ([(0, 1), (2, 1)], 1), ([(1, 2)], 4), ([(1, 3), (2, 1)], 1)]
+    flat = np.array([e for r, _ in rows for e in r])
+    tree = divergence.Tree(np.cumsum([len(r) for r, _ in rows]), np.array([n for _, n in rows]),
+                           flat[:, 0], flat[:, 1], flat[:, 1] + 1, np.ones(len(flat), np.int64))
+    assert list(zip(tree.parent.tolist(), tree.source.tolist(), tree.p.tolist(), tree.times.tolist())) == [
+        (-1, 0, 2, 8), (-1, 1, 3, 4), (-1, 1, 4, 1), (0, 1, 3, 7), (0, 2, 2, 1), (2, 2, 2, 1), (3, 2, 2, 2)]
+
+
+def test_sums_beyond_64_bits_are_exact():
+    big = np.array([10**18, 10**18, -5])
+    assert sum(divergence._exact(big, np.array([10**6, 10**6, 1]))) == 2 * 10**24 - 5
+    keys = np.array([0, 0, 1])
+    assert dict(divergence._reduced(keys, divergence._exact(big, np.array([9, 9, 1])), 2)) == {0: 18 * 10**18, 1: -5}

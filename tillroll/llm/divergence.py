@@ -24,6 +24,7 @@ from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ MIN_DOCS = 3               # documents of a language that a kept term is in, at
 TOP_TERMS = 200
 TREE_ROWS = 50_000         # distinct term rows of one tree
 CHUNK = 512                # sources, and counts of counts, that one cell compares at once
+SPREAD = 16                # tasks that a language's cells are dealt to, at least
 _FLUSH = 300_000           # term counts that a task holds before it passes them on
 
 #: Terms are runs of letters and of bytes beyond ASCII; A-Z becomes a-z.
@@ -51,11 +53,15 @@ def term_rows(docs: DataFrame) -> DataFrame:
     a count, in order.  Counts are summed inside the tasks, shuffled once by
     (lang, term), and written under the shared checkpoint folder."""
     def out(found: dict) -> pa.RecordBatch:
-        keys = [(g, t) for g, (n, _) in found.items() for t in n]
-        return pa.RecordBatch.from_arrays([
-            pa.array([g[0] for g, _ in keys], pa.string()), pa.array([g[1] for g, _ in keys], pa.string()),
-            pa.array([t.decode() for _, t in keys], pa.string()), pa.array([found[g][0][t] for g, t in keys], pa.int64()),
-            pa.array([found[g][1][t] for g, t in keys], pa.int64())], names=["lang", "source", "term", "n", "docs"])
+        columns: list[list] = [[] for _ in range(5)]
+        for (lang, source), (n, n_docs) in found.items():
+            terms = list(n)
+            for held, part in zip(columns, (
+                    pa.repeat(pa.scalar(lang, pa.string()), len(n)), pa.repeat(pa.scalar(source, pa.string()), len(n)),
+                    pa.array(terms, pa.binary()).cast(pa.string()), pa.array(n.values(), pa.int64()),
+                    pa.array(map(n_docs.__getitem__, terms), pa.int64()))):
+                held.append(part)
+        return pa.RecordBatch.from_arrays([pa.concat_arrays(c) for c in columns], names=["lang", "source", "term", "n", "docs"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict = defaultdict(lambda: (Counter(), Counter()))
@@ -63,15 +69,16 @@ def term_rows(docs: DataFrame) -> DataFrame:
         for b in (part for batch in batches for part in slices(batch, 200)):
             for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), byte_texts(b)):
                 n, n_docs = found[lang, source]
-                before, words = len(n), Counter(terms_of(text))
-                n.update(words)
-                n_docs.update(words.keys())
+                before, terms = len(n), terms_of(text)
+                n.update(terms)
+                n_docs.update(set(terms))
                 held += len(n) - before
             if held > _FLUSH:
                 yield out(found)
                 found.clear()
                 held = 0
-        yield out(found)
+        if found:
+            yield out(found)
 
     partial = docs.mapInArrow(run, "lang string, source string, term string, n long, docs long")
     # one shuffle serves the sums per source and the row of the term
@@ -95,60 +102,77 @@ def divergence(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     return (p - q) * (p - q) // q
 
 
-def _reduced(keys: np.ndarray, values: np.ndarray) -> Iterator[tuple[int, int]]:
-    """(key, exact sum of the values of the key)."""
-    order = np.argsort(keys, kind="stable")
-    found, starts = np.unique(keys[order], return_index=True)
-    if len(found):
-        yield from zip(found.tolist(), np.add.reduceat(values[order].astype(object), starts).tolist())
+def _exact(values: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Products of which sums over all rows stay exact: 64 bits where they suffice."""
+    most = max(int(values.max(initial=0)), -int(values.min(initial=0))) * max(int(times.max(initial=0)), 1) * max(values.size, 1)
+    return values * times if most < 1 << 62 else values.astype(object) * times.astype(object)
+
+
+def _reduced(keys: np.ndarray, values: np.ndarray, size: int) -> Iterator[tuple[int, int]]:
+    """(key, sum of the values of the key) for keys below ``size``."""
+    if values.dtype != object and size <= 1 << 20:
+        sums = np.zeros(size, np.int64)
+        np.add.at(sums, keys, values)
+        found = np.flatnonzero(sums)
+        yield from zip(found.tolist(), sums[found].tolist())
+    elif len(keys):
+        order = np.argsort(keys, kind="stable")
+        found, starts = np.unique(keys[order], return_index=True)
+        yield from zip(found.tolist(), np.add.reduceat(values[order], starts).tolist())
 
 
 class Tree:
-    """Term rows of one language as paths of (source, count) nodes.
+    """Sorted term rows of one language as paths of (source, count) nodes.
 
     A node knows its parent, its source, its probability as counted and as if
-    the source had no such term, and the multiplicity of the rows through it."""
-
-    def __init__(self):
-        self.children: dict[tuple, int] = {}
-        self.number: dict[str, int] = {}          # source -> code
-        self.parent, self.source, self.p, self.zero, self.times = [], [], [], [], []
-        self.rows = 0
-
-    def insert(self, entries: list[dict], times: int) -> None:
-        at = -1
-        for e in entries:
-            key = (at, e["source"], e["count"])
-            node = self.children.get(key)
-            if node is None:
-                node = self.children[key] = len(self.parent)
-                self.parent.append(at)
-                self.source.append(self.number.setdefault(e["source"], len(self.number)))
-                self.p.append(e["p"])
-                self.zero.append(e["zero"])
-                self.times.append(0)
-            self.times[node] += times
-            at = node
-        self.rows += 1
-
-    def corrections(self) -> Counter:
+    the source had no such term, and the multiplicity of the rows through it.
+    Rows that begin alike are neighbours, so a level is built at once: a row
+    shares its node with the row before if all entries up to there are equal."""
+
+    def __init__(self, ends: np.ndarray, times: np.ndarray, source: np.ndarray, count: np.ndarray, p: np.ndarray, zero: np.ndarray):
+        starts = np.concatenate(([0], ends[:-1]))
+        size = ends - starts
+        rows, shared = np.arange(len(ends)), np.zeros(len(ends), bool)
+        shared[1:] = True
+        above = np.full(len(ends), -1)
+        parts: dict[str, list] = {"parent": [], "source": [], "p": [], "zero": [], "times": []}
+        nodes = depth = 0
+        while len(rows := rows[size[rows] > depth]):
+            at = starts[rows] + depth
+            same = shared[rows] & (size[rows - 1] > depth)
+            before = np.where(same, starts[rows - 1] + depth, at)
+            same &= (source[at] == source[before]) & (count[at] == count[before])
+            shared[:] = False
+            shared[rows] = same
+            new = np.flatnonzero(~same)
+            node = nodes + np.cumsum(~same) - 1
+            parts["parent"].append(above[rows[new]])
+            for name, of in (("source", source), ("p", p), ("zero", zero)):
+                parts[name].append(of[at[new]])
+            parts["times"].append(np.add.reduceat(times[rows], new))
+            above[rows] = node
+            nodes += len(new)
+            depth += 1
+        self.parent, self.source, self.p, self.zero, self.times = (
+            np.concatenate(v) if v else np.empty(0, np.int64) for v in parts.values())
+
+    def corrections(self, names: list[str]) -> Counter:
         """(source, other source) -> sum of the corrections of node and ancestor,
         one step up at a time for all nodes together."""
         found: Counter = Counter()
-        names = list(self.number)
-        parent, source = np.array(self.parent, np.int64), np.array(self.source, np.int64)
-        p, zero, times = np.array(self.p, np.int64), np.array(self.zero, np.int64), np.array(self.times, np.int64)
-        node, above = np.arange(len(parent)), parent
+        source, p, zero, k = self.source, self.p, self.zero, len(names)
+        node, above = np.arange(len(self.parent)), self.parent
         while True:
             keep = above >= 0
             node, above = node[keep], above[keep]
             if not len(node):
                 return found
-            for s, o in ((node, above), (above, node)):
-                left = divergence(p[s], p[o]) - divergence(p[s], zero[o]) - divergence(zero[s], p[o]) + divergence(zero[s], zero[o])
-                for key, value in _reduced(source[s] * len(names) + source[o], left.astype(object) * times[node]):
-                    found[names[key // len(names)], names[key % len(names)]] += value
-            above = parent[above]
+            base = divergence(zero[node], zero[above]), divergence(zero[above], zero[node])
+            for s, o, none in ((node, above, base[0]), (above, node, base[1])):
+                left = divergence(p[s], p[o]) - divergence(p[s], zero[o]) - divergence(zero[s], p[o]) + none
+                for key, value in _reduced(source[s] * k + source[o], _exact(left, self.times[node]), k * k):
+                    found[names[key // k], names[key % k]] += value
+            above = self.parent[above]
 
 
 _PAIRS = "lang string, source string, item string, value decimal(38,0)"
@@ -163,27 +187,32 @@ def _pair_batch(found: dict[tuple, int]) -> pa.RecordBatch:
 
 def tree_corrections(rows: DataFrame) -> DataFrame:
     """Partial corrections per (lang, source, other source) from rows (lang,
-    entries, times).  Rows are sorted, so neighbours share long paths."""
+    entries, times).  Rows are sorted, so neighbours share long paths; a tree has
+    at most ``TREE_ROWS`` of them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, lang, found = Tree(), None, Counter()
-
-        def close():
-            for (s, o), v in tree.corrections().items():
-                found[lang, s, o] += v
-
-        for b in (part for batch in batches for part in slices(batch, 1000)):
-            for name, entries, times in zip(*(b.column(c).to_pylist() for c in ("lang", "entries", "times"))):
-                if name != lang or tree.rows >= TREE_ROWS:
-                    close()
-                    tree, lang = Tree(), name
-                tree.insert(entries, times)
+        found: Counter = Counter()
+        for b in (part for batch in batches for part in slices(batch, TREE_ROWS)):
+            langs = b.column("lang").dictionary_encode()
+            entries, times = b.column("entries"), b.column("times").to_numpy()
+            flat = entries.flatten()
+            coded = flat.field("source").dictionary_encode()
+            fields = [np.asarray(coded.indices, np.int64), *(flat.field(c).to_numpy() for c in ("count", "p", "zero"))]
+            ends = np.cumsum(pc.list_value_length(entries).to_numpy())
+            names = coded.dictionary.to_pylist()
+            cuts = np.flatnonzero(np.diff(np.asarray(langs.indices), prepend=-1, append=-1))
+            for x, y in zip(cuts[:-1], cuts[1:]):            # rows are sorted by language
+                first = ends[x - 1] if x else 0
+                tree = Tree(ends[x:y] - first, times[x:y], *(f[first:ends[y - 1]] for f in fields))
+                for (s, o), v in tree.corrections(names).items():
+                    found[langs.dictionary[int(langs.indices[x])].as_py(), s, o] += v
             if len(found) > _FLUSH:
                 yield _pair_batch(found)
                 found.clear()
-        close()
         yield _pair_batch(found)
 
-    ordered = rows.repartitionByRange("lang", "entries").sortWithinPartitions("lang", "entries")
+    # ranges of the first entries and a hash: what the driver samples stays small
+    start = F.transform(F.slice("entries", 1, 3), lambda e: F.struct(e["source"].alias("source"), e["count"].alias("count")))
+    ordered = rows.repartitionByRange("lang", start, F.xxhash64("entries")).sortWithinPartitions("lang", "entries")
     return ordered.mapInArrow(run, _PAIRS)
 
 
@@ -192,14 +221,17 @@ def single_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
 
     ``counts``: (lang, source, count, p, zero, times), counts of counts with the
     zero count included; ``groups``: (lang, source, zero).  Both are packed in
-    chunks of about ``CHUNK``, and chunks of a language meet in cells."""
+    chunks of at most about ``CHUNK``, and chunks of a language meet in cells;
+    the sources' chunks go to ``SPREAD`` places, so a language is not one task."""
     def packed(df: DataFrame, name: str, *cols: str) -> DataFrame:
-        parts = df.groupBy("lang").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-        return (df.join(parts, "lang").groupBy("lang", F.pmod(F.xxhash64(*cols), "chunks").alias("chunk"))
+        chunks = -(-df.count() // CHUNK) or 1
+        return (df.groupBy("lang", F.pmod(F.xxhash64(*cols), F.lit(chunks)).alias("chunk"))
                 .agg(F.collect_list(F.struct(*cols)).alias(name)))
 
-    cells = (packed(counts, "counts", "source", "count", "p", "zero", "times").drop("chunk")
-             .join(packed(groups, "heads", "source", "zero").drop("chunk"), "lang"))
+    heads = packed(groups, "heads", "source", "zero").select(
+        "lang", "heads", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).alias("place"))
+    cells = (packed(counts, "counts", "source", "count", "p", "zero", "times")
+             .select("lang", "counts", F.pmod("chunk", F.lit(SPREAD)).alias("place")).join(heads, ["lang", "place"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in (part for batch in batches for part in slices(batch, 1)):
@@ -209,17 +241,16 @@ def single_sums(counts: DataFrame, groups: DataFrame) -> DataFrame:
             q = np.array([h["zero"] for h in row["heads"]], np.int64)[None, :]
             p, zero, times, count = (np.array([e[c] for e in mine], np.int64)[:, None] for c in ("p", "zero", "times", "count"))
             names, starts = np.unique(np.array([e["source"] for e in mine], object), return_index=True)
-            times = times.astype(object)
-            forward = np.add.reduceat(divergence(p, q).astype(object) * times, starts, axis=0)
+            forward = np.add.reduceat(_exact(divergence(p, q), times), starts, axis=0)
             # the other way round only the terms that the source has change anything
             gain = np.where(count > 0, divergence(q, p) - divergence(q, zero), 0)
-            backward = np.add.reduceat(gain.astype(object) * times, starts, axis=0)
+            backward = np.add.reduceat(_exact(gain, times), starts, axis=0)
             found: Counter = Counter()
             for k, s in enumerate(names):
                 for j, o in enumerate(heads):
                     if s != o:
-                        found[row["lang"], s, o] += forward[k, j]
-                        found[row["lang"], o, s] += backward[k, j]
+                        found[row["lang"], s, o] += int(forward[k, j])
+                        found[row["lang"], o, s] += int(backward[k, j])
             yield _pair_batch(found)
 
     return cells.mapInArrow(run, _PAIRS)
@@ -256,7 +287,7 @@ def source_divergence(docs: DataFrame, text_col: str = "text", lang_col: str = "
     counts = known.groupBy("lang", "source", "count", "p", "zero").agg(F.count("*").alias("times"))
     unseen = groups.select("lang", "source", F.lit(0).cast("long").alias("count"), F.col("zero").alias("p"), "zero",
                            (F.col("v") - F.col("seen")).alias("times"))
-    pairs = (single_sums(counts.union(unseen), groups.select("lang", "source", "zero"))
+    pairs = (single_sums(materialize(counts.union(unseen), "counts-of-counts"), groups.select("lang", "source", "zero"))
              .union(tree_corrections(paths.where(F.size("entries") > 1)))
              .groupBy("lang", "source", "item").agg(F.sum("value").cast("long").alias("value"))
              .select("lang", "source", F.lit("pair").alias("part"), "item", "value"))
