@@ -399,6 +399,32 @@ register("medallion_run", "SELECT * FROM customer_segments")
 for _key, _same in (("medallion_loyalty", "upsert_loyalty"), ("medallion_offers", "insert_if_absent"),
                     ("medallion_sessions", "active_sessions")):
     register(_key, BODIES[_same])
+
+
+def changed_views(s: str = "_chg") -> str:
+    """The retail views after the second delivery: changed rows take their last values."""
+    text = views(AS_OF, s)
+    for name, following, values in (
+            ("products", "customers", "CASE WHEN {0} THEN product_name || ' II' ELSE product_name END AS product_name, "
+                                      "CASE WHEN {0} THEN price + 10 ELSE price END AS price".format("product_id % 5 = 2")),
+            ("customers", "purchases", "CASE WHEN {0} THEN 'Platinum' ELSE loyalty_tier END AS loyalty_tier, "
+                                       "CAST(CASE WHEN {0} THEN loyalty_points + 500 ELSE loyalty_points END AS INTEGER) AS loyalty_points, "
+                                       "CASE WHEN {0} THEN 'MOVED' ELSE city END AS city".format("customer_id % 7 = 3")),
+            ("purchases", "click_raw", "CASE WHEN customer_id % 13 = 5 THEN total_amount + 1 ELSE total_amount END AS total_amount"),
+            ("clickstream", "sales_orders", "CASE WHEN {0} THEN 'add_to_wishlist' ELSE event_type END AS event_type, "
+                                            "CAST(CASE WHEN {0} THEN 1 ELSE duration_seconds END AS INTEGER) AS duration_seconds"
+                                            .format("event_id % 11 = 4"))):
+        text = text.replace(f"\n{name}{s} AS (", f"\n{name}_was AS (", 1)
+        text = text.replace(f"\n{following}{s} AS (", f"\n{name}{s} AS (SELECT * REPLACE ({values}) FROM {name}_was),\n{following}{s} AS (", 1)
+    return text
+
+
+for _key, _result in (("medallion_changes", "customer_segments_chg"), ("refresh_segments", "customer_segments_chg"),
+                      ("medallion_changed_clicks", "clickstream_enriched_chg"), ("refresh_clicks", "clickstream_enriched_chg"),
+                      ("refresh_interest", "category_interest_chg")):
+    register(_key, "," + changed_views() + f"\nSELECT * FROM {_result}")
+register("refresh_sessions", "," + changed_views() + ","
+         + SESSIONS_CTE.replace("clickstream_enriched", "clickstream_enriched_chg") + "\nSELECT * FROM sessions")
 register("index_sync", recent_scores("clickstream_enriched", ASOF_TS))
 register("stream_category_interest", "SELECT * FROM category_interest")
 

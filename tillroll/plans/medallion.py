@@ -1,8 +1,10 @@
 """The whole chain as one job: raw CSV → bronze → silver → gold → state.
 
-Bronze ingestion is incremental (stream checkpoints); lines that do not parse
-go to quarantine tables, never further.  Silver and gold are computed from the
-good lines, state tables by keyed writes on their last version.  Every run
+Bronze ingestion is incremental (stream checkpoints) and append-only; lines that
+do not parse or have no key go to quarantine tables, never further.  A key that
+arrives again counts once, with the values that arrived last.  Silver and gold
+are computed from these current rows, state tables by keyed writes on their last
+version.  Every run
 writes new versions of its tables and then one run record that names them;
 names in the catalog are switched to the new location.  A run that fails half
 way leaves the last record, and so all tables, as they were.
@@ -10,6 +12,7 @@ way leaves the last record, and so all tables, as they were.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,7 +22,7 @@ from tillroll.config import AS_OF
 from tillroll.operators.upsert import insert_if_absent, keyed_upsert
 from tillroll.plans import gold, search, silver, state
 from tillroll.plans.schemas import STATE_TABLES, with_defaults
-from tillroll.sources.csv import CORRUPT_COLUMN, ingest, read_csv_stream
+from tillroll.sources.arrivals import ARRIVAL, KEYS, current, land, read_arrivals, read_bronze, split_lines
 from tillroll.sources.schemas import SOURCES
 
 # dataset → (quality layer, description) used when registering the tables
@@ -28,10 +31,11 @@ DATASETS = {
     "bronze_customers": ("bronze", "Customer profiles as landed, one row per CSV line"),
     "bronze_purchases": ("bronze", "Purchase history as landed, one row per CSV line"),
     "bronze_clickstream": ("bronze", "Click events as landed, one row per CSV line"),
-    "quarantine_products": ("quarantine", "Product lines that did not parse"),
-    "quarantine_customers": ("quarantine", "Customer lines that did not parse"),
-    "quarantine_purchases": ("quarantine", "Purchase lines that did not parse"),
-    "quarantine_clickstream": ("quarantine", "Click event lines that did not parse"),
+    "quarantine_products": ("quarantine", "Product lines that did not parse or have no key"),
+    "quarantine_customers": ("quarantine", "Customer lines that did not parse or have no key"),
+    "quarantine_purchases": ("quarantine", "Purchase lines that did not parse or have no key"),
+    "quarantine_clickstream": ("quarantine", "Click event lines that did not parse or have no key"),
+    "current_products": ("silver", "One row per product, as it arrived last"),
     "clickstream_enriched": ("silver", "Click events with product details, event weight, date and hour"),
     "purchase_enriched": ("silver", "Purchases with product details and purchase month"),
     "customer_360": ("silver", "One row per customer: profile, purchase and click aggregates, recency"),
@@ -45,7 +49,7 @@ DATASETS = {
 }
 
 # datasets written partitioned (column list)
-PARTITIONED = {"clickstream_enriched": ["event_date"]}
+PARTITIONED = {"clickstream_enriched": ["event_date"]} | {f"bronze_{name}": ["batch"] for name in KEYS}
 
 
 def table_name(dataset: str, prefix: str = "") -> str:
@@ -117,27 +121,20 @@ class Runs:
         rows.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/run={number}")
 
 
-def split_bad_lines(bronze: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows without the corrupt column, the bad lines' text)."""
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return bronze.where(~bad).drop(CORRUPT_COLUMN), bronze.where(bad).select(F.col(CORRUPT_COLUMN).alias("line"))
-
-
 def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
                   as_of: datetime = AS_OF, register_prefix: str | None = None) -> dict[str, str]:
     """Run every stage; returns dataset name → path of its new version.  With
     ``register_prefix`` the tables are also registered in the catalog."""
     runs = Runs(spark, out)
-    number, current = runs.last()
+    number, before = runs.last()
     number += 1
     paths: dict[str, str] = {}
     # The four ingestion streams run concurrently (start all, then await all).
     running = []
     for name in SOURCES:
-        p = f"{out}/bronze/{name}"
-        running.append(ingest(read_csv_stream(spark, landing[name], SOURCES[name], keep_corrupt=True), p,
-                              f"{out}/_checkpoints/{name}", wait=False))
-        paths[f"bronze_{name}"] = p
+        paths[f"bronze_{name}"] = f"{out}/bronze/{name}"
+        running.append(land(read_arrivals(spark, landing[name], SOURCES[name]), paths[f"bronze_{name}"],
+                            f"{out}/_checkpoints/{name}", wait=False))
     for q in running:
         q.awaitTermination()
 
@@ -147,27 +144,36 @@ def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
         return spark.read.parquet(paths[name])
 
     def stored(name: str) -> DataFrame | None:
-        return spark.read.parquet(current[name]) if name in current else None
+        return spark.read.parquet(before[name]) if name in before else None
 
-    b = {}
-    for name in SOURCES:
-        b[name], lines = split_bad_lines(spark.read.parquet(paths[f"bronze_{name}"]))
-        stage(f"quarantine_{name}", lines)
+    def together(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        """Tables that do not need each other are written at the same time."""
+        with ThreadPoolExecutor(len(frames)) as pool:
+            return dict(zip(frames, pool.map(stage, frames, frames.values())))
 
-    clicks = stage("clickstream_enriched", silver.clickstream_enriched(b["clickstream"], b["products"]))
-    stage("purchase_enriched", silver.purchase_enriched(b["purchases"], b["products"]))
-    c360 = stage("customer_360", silver.customer_360(b["customers"], b["purchases"], b["clickstream"], as_of))
-    interest = stage("category_interest", gold.category_interest(clicks, as_of))
-    segments = stage("customer_segments", gold.customer_segments(c360, as_of))
-
-    searchable, changes = search.searchable_version(stored("products_searchable"), b["products"])
-    stage("product_changes", changes)
-    stage("products_searchable", searchable)
+    good, rejected = {}, {}
+    for name in SOURCES:
+        rows, rejected[f"quarantine_{name}"] = split_lines(read_bronze(spark, paths[f"bronze_{name}"], SOURCES[name]), KEYS[name])
+        good[name] = current(rows, KEYS[name]).drop(ARRIVAL)
+    products = together({"current_products": good["products"], **rejected})["current_products"]
+
+    searchable, changes = search.searchable_version(stored("products_searchable"), products)
+    silver_tables = together({
+        "clickstream_enriched": silver.clickstream_enriched(good["clickstream"], products),
+        "purchase_enriched": silver.purchase_enriched(good["purchases"], products),
+        "product_changes": changes, "products_searchable": searchable})
+    # the enriched rows hold every event and purchase once, with the columns that the aggregates read
+    clicks, purchases = silver_tables["clickstream_enriched"], silver_tables["purchase_enriched"]
+    gold_tables = together({
+        "customer_360": silver.customer_360(good["customers"], purchases, clicks, as_of),
+        "category_interest": gold.category_interest(clicks, as_of)})
+    segments = gold.customer_segments(gold_tables["customer_360"], as_of)
 
     # state tables: keyed writes on their last version, defaults filled in
     fresh = {"loyalty_status": state.loyalty_status(segments, as_of),
-             "personalized_offers": state.personalized_offers(interest, b["products"], as_of),
+             "personalized_offers": state.personalized_offers(gold_tables["category_interest"], products, as_of),
              "active_sessions": state.active_sessions(clicks)}
+    written = {"customer_segments": segments}
     for name, rows in fresh.items():
         spec, old = STATE_TABLES[name], stored(name)
         rows = with_defaults(rows, name)
@@ -175,7 +181,8 @@ def run_medallion(spark: SparkSession, landing: dict[str, str], out: str,
             rows = keyed_upsert(old, rows, list(spec.key), list(spec.update or rows.columns))
         elif old is not None:
             rows = insert_if_absent(old, rows, list(spec.key))
-        stage(name, rows)
+        written[name] = rows
+    together(written)
     runs.commit(number, paths)
     if register_prefix is not None:
         register_tables(spark, paths, register_prefix)

@@ -489,7 +489,7 @@ def q_stream_category_interest(spark, d):
 
 # ---- whole chain and generator ----------------------------------------------
 
-from tillroll.plans import generate, medallion  # noqa: E402
+from tillroll.plans import generate, medallion, refresh  # noqa: E402
 
 
 def _two_runs(spark, d) -> dict[str, str]:
@@ -521,6 +521,53 @@ for _key, _dataset in (("medallion_run", "customer_segments"), ("medallion_loyal
     QUERIES[_key] = (lambda name: lambda spark, d: spark.read.parquet(_two_runs(spark, d)[name]))(_dataset)
 
 
+def _first_and_changed(spark, d) -> tuple[dict, dict, dict]:
+    """Deliveries of two runs: everything up to a week ago, then the later rows,
+    and after them changed rows of known keys: customers, products, events and
+    purchases that arrive a second time."""
+    now, then = Retail(spark, d), Retail(spark, d, PREV_WEEK)
+    after = F.lit(PREV_WEEK.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    first = {"products": now.products, "customers": now.customers, "purchases": then.purchases, "clickstream": then.clickstream}
+    later = {"purchases": now.purchases.where(F.col("purchase_date") > after),
+             "clickstream": now.clickstream.where(F.col("event_timestamp") > after)}
+    changed = {
+        "customers": now.customers.where("customer_id % 7 = 3").withColumns(
+            {"loyalty_tier": F.lit("Platinum"), "loyalty_points": F.col("loyalty_points") + 500, "city": F.lit("MOVED")}),
+        "products": now.products.where("product_id % 5 = 2").withColumns(
+            {"product_name": F.concat("product_name", F.lit(" II")), "price": F.col("price") + 10}),
+        "purchases": now.purchases.where("customer_id % 13 = 5").withColumn("total_amount", F.col("total_amount") + 1),
+        "clickstream": now.clickstream.where("event_id % 11 = 4").withColumns(
+            {"event_type": F.lit("add_to_wishlist"), "duration_seconds": F.lit(1)})}
+    return first, later, changed
+
+
+def _changed_chain(spark, d, run):
+    """Both deliveries through a chain; the result of the second run."""
+    base = work_dir(spark, "changes")
+    landing = {name: f"{base}/raw/{name}" for name in SOURCES}
+    first, later, changed = _first_and_changed(spark, d)
+    for deliveries in ((first,), (later, changed)):
+        for frames in deliveries:
+            for name, df in frames.items():
+                csvio.write_csv(df, landing[name], mode="append")
+        result = run(spark, landing, f"{base}/lake", AS_OF)
+    return result
+
+
+for _key, _dataset in (("medallion_changes", "customer_segments"), ("medallion_changed_clicks", "clickstream_enriched")):
+    QUERIES[_key] = (lambda name: lambda spark, d: spark.read.parquet(_changed_chain(spark, d, medallion.run_medallion)[name]))(_dataset)
+
+
+def _refreshed(spark, d, name: str):
+    paths = _changed_chain(spark, d, refresh.refresh).paths
+    return spark.read.parquet(paths[name]).drop("bucket")
+
+
+for _key, _dataset in (("refresh_segments", "customer_segments"), ("refresh_interest", "category_interest"),
+                       ("refresh_clicks", "clickstream_enriched"), ("refresh_sessions", "active_sessions")):
+    QUERIES[_key] = (lambda name: lambda spark, d: _refreshed(spark, d, name))(_dataset)
+
+
 def _gen_products(spark, d):
     return generate.generate_products(Retail(spark, d).t.part.select(F.col("p_partkey").alias("id")))
 
