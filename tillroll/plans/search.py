@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import search_text
-from tillroll.operators.similarity import text_topk, vector_topk
+from tillroll.operators.similarity import vector_topk
+from tillroll.operators.text_index import build_text_index
+from tillroll.operators.text_index import search as search_index
 from tillroll.operators.upsert import apply_changes, one_per_key, snapshot_diff
 
 
@@ -46,9 +48,15 @@ def searchable_version(stored: DataFrame | None, products: DataFrame) -> tuple[D
 def product_text_search(queries: DataFrame, searchable: DataFrame, k: int = 5,
                         filters: dict | None = None) -> DataFrame:
     """Top-k products per query text: (query_id, rank, score, product columns).
-    ``queries`` has (query_id, text)."""
-    hits = text_topk(queries, searchable, k, query_id="query_id", query_text="text",
-                     doc_id="product_id", doc_text="search_text", filters=filters)
+    ``queries`` has (query_id, text); ``filters`` = {column: value or list}.
+
+    The products (those that pass the filters) are indexed first; see
+    ``operators.text_index``.  ``operators.similarity.text_topk`` gives the same
+    rows by scoring every pair."""
+    docs = searchable
+    for col, val in (filters or {}).items():
+        docs = docs.where(F.col(col).isin(*val) if isinstance(val, (list, tuple, set)) else F.col(col) == val)
+    hits = search_index(queries, build_text_index(docs, "product_id", "search_text"), k)
     return (hits.join(searchable.withColumnRenamed("product_id", "doc_id"), "doc_id")
             .withColumnRenamed("doc_id", "product_id"))
 
