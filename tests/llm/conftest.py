@@ -25,7 +25,8 @@ def clash_docs(spark, edge_docs):
     """Extra columns named like the operators' results and inner columns."""
     from pyspark.sql import functions as F
     names = ("id key fp root size start target taken source_size n_words n_hit kept base_failed n_tokens n_bytes score block "
-             "component_id fingerprint sid pass_no words items held_out n row").split()
+             "component_id fingerprint sid pass_no words items held_out n row __words __n __runs __key __id __size __row __dec_k __dec_key "
+             "__dec_id __sim_k __sim_id __sim_key __own __html ___x").split()
     return edge_docs.withColumns({n: F.lit("clash") for n in names})
 
 

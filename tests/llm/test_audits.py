@@ -7,7 +7,9 @@ import pytest
 
 from tests.llm import brute
 from tests.llm.conftest import ROWS
-from tillroll.llm import divergence, filter_audit
+from pyspark.sql import functions as F
+
+from tillroll.llm import decontaminate, divergence, filter_audit, mixing, quality, simhash
 
 LABELS = [(1, 1, 0), (2, 0, 1), (2, 1, None), (3, None, 1), (7, 1, 1), (None, 1, 1), (99, 1, 1), (13, 1, 0)]
 AUDIT = ["kept", "removed", "redundant", "good_lost", "toxic_lost", "unique_fails", "shapley"]
@@ -83,3 +85,48 @@ def test_sums_beyond_64_bits_are_exact():
     assert sum(divergence._exact(big, np.array([10**6, 10**6, 1]))) == 2 * 10**24 - 5
     keys = np.array([0, 0, 1])
     assert dict(divergence._reduced(keys, divergence._exact(big, np.array([9, 9, 1])), 2)) == {0: 18 * 10**18, 1: -5}
+
+
+# ---- mix as blocks, extra columns of the stages -------------------------------------
+
+def test_mix_blocks_hold_what_the_report_counts(spark, edge_docs, no_docs):
+    from collections import Counter
+    got = mixing.mix_blocks(edge_docs, block_words=16, slots_per_shard=8).collect()
+    report = mixing.mix_report(edge_docs, block_words=16, slots_per_shard=8).collect()
+    assert sum(len(r.words) for r in got) == sum(r.taken for r in report)
+    assert len({(r.source, r.slot) for r in got}) == len(got) and len({r.shard for r in got}) > 1
+    by_source = Counter()
+    for r in got:
+        assert 1 <= len(r.words) <= 16
+        by_source[r.source] += len(r.words)
+    texts = {s: Counter(w for _, t, _, x, _ in ROWS if x == s for w in brute.words(t)) for s in by_source}
+    for r in got:
+        assert not Counter(r.words) - Counter({w: 16 * n for w, n in texts[r.source].items()})
+    passes = Counter()
+    for r in got:
+        passes[r.source, r.pass_no, r.block] += 1
+    assert set(passes.values()) == {1}                       # a pass reads a block once
+    assert mixing.mix_blocks(no_docs).count() == 0
+
+
+def test_slots_of_one_source_are_made_by_many_tasks(spark):
+    sizes = spark.createDataFrame([("one", 120_000)], "source string, size long")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        slots = mixing.draw_slots(mixing.source_targets(sizes), block_words=8, slots_per_shard=64)
+        per_task = [r["count"] for r in slots.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(per_task) >= 6 and max(per_task) < 0.4 * sum(per_task) and sum(per_task) == 15_000
+    assert sorted(r.slot for r in slots.select("slot").collect()) == list(range(15_000))
+
+
+def test_stages_return_clashing_columns_unchanged(spark, edge_docs, clash_docs):
+    benchmark = spark.createDataFrame([(1, "the quick brown fox went over the hill and came back")], "item_id long, text string")
+    for stage in (quality.passes, simhash.keep_one, lambda d: decontaminate.clean_documents(d, benchmark), mixing.mixed_documents):
+        plain, extra = stage(edge_docs), stage(clash_docs)
+        assert extra.columns == clash_docs.columns
+        if stage is not mixing.mixed_documents:      # there all columns decide where a row is packed
+            assert sorted(map(repr, extra.select(*edge_docs.columns).collect())) == sorted(map(repr, plain.collect()))
+        added = [c for c in clash_docs.columns if c not in edge_docs.columns]
+        assert {tuple(r) for r in extra.select(*added).distinct().collect()} <= {("clash",) * len(added)}

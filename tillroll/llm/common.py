@@ -36,6 +36,14 @@ def text_key(c: Column) -> Column:
     return F.xxhash64(F.coalesce(c, F.lit("")), c.isNull())
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A beginning that no column of ``df`` has, for inner columns beside them."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once under the shared checkpoint folder and read it back:
     cuts the lineage, survives lost executors, and is column-pruned on read."""

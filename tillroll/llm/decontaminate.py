@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.llm.common import byte_texts, materialize, slices, text_key
+from tillroll.llm.common import byte_texts, free_prefix, materialize, slices, text_key
 
 WINDOW = 10
 SLOP = 20
@@ -280,9 +280,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
-    """The documents without any hit word, all columns unchanged (equal rows share their fate)."""
+    """The documents without any hit word, all columns unchanged (equal rows share
+    their fate).  NULL and empty texts have no words and stay; texts of any length
+    are searched whole; an empty table or benchmark removes nothing."""
+    inner = free_prefix(docs)
+    own, ident, key = inner + "own", inner + "id", inner + "key"
     bad = contamination(docs, benchmark, id_col, text_col, **({"slop": 0} | kw)).where("n_hit > 0").select(
-        F.col("id").alias("__dec_id"), F.col("key").alias("__dec_key")).distinct()
-    return (docs.withColumn("__dec_k", text_key(F.col(text_col)))
-            .join(bad, F.col(id_col).eqNullSafe(F.col("__dec_id")) & (F.col("__dec_k") == F.col("__dec_key")), "left_anti")
-            .drop("__dec_k"))
+        F.col("id").alias(ident), F.col("key").alias(key)).distinct()
+    return (docs.withColumn(own, text_key(F.col(text_col)))
+            .join(bad, F.col(id_col).eqNullSafe(F.col(ident)) & (F.col(own) == F.col(key)), "left_anti")
+            .drop(own))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACE, count_words, materialize
+from tillroll.llm.common import SPACE, count_words, free_prefix, materialize
 
 BLOCK_WORDS = 512
 SLOTS_PER_SHARD = 1024
@@ -27,6 +27,7 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 SEED = 7
 ROUNDS = 24
+_RANGE = 4096              # shards that are numbered together
 _SPAN = 1 << 16        # slots drawn from one generated row
 
 
@@ -68,6 +69,11 @@ def source_targets(sized: DataFrame, weights=WEIGHTS, max_passes: int = MAX_PASS
                       F.least("cap", F.coalesce(F.col("__level") * F.col("weight"), F.col("cap"))).alias("target"))
 
 
+def word_array(text: Column) -> Column:
+    """The words of a text, in order."""
+    return F.filter(F.split(text, f"[{SPACE}]+", -1), lambda w: w != "")
+
+
 def row_key(docs: DataFrame) -> Column:
     """64-bit key of all columns that Spark can hash; equal rows share it."""
     return F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"])
@@ -111,10 +117,15 @@ def draw_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, slots_per_sha
     drawn = spans.select("sid", F.explode(F.sequence(
         F.col("span") * _SPAN, F.least((F.col("span") + 1) * _SPAN, F.col("slots")) - 1)).alias("n")).select(
         "sid", F.pmod(F.xxhash64(F.lit(seed), "sid", "n"), F.lit(shards)).alias("shard"))
-    counts = drawn.groupBy("sid", "shard").agg(F.count("*").alias("c"))
-    first = counts.withColumn("first", F.coalesce(F.sum("c").over(
-        W.partitionBy("sid").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    slot = first.select("sid", "shard", F.explode(F.expr("sequence(first, first + c - 1)")).alias("slot"))
+    counts = drawn.groupBy("sid", "shard").agg(F.count("*").alias("c")).withColumn("range", F.floor(F.col("shard") / _RANGE))
+    # slots are numbered through the shards: within ranges of shards, and over the ranges' totals
+    before = F.coalesce(F.sum("in_range").over(W.partitionBy("sid").orderBy("range").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    ranges = counts.groupBy("sid", "range").agg(F.sum("c").alias("in_range")).select("sid", "range", before.alias("base"))
+    local = F.coalesce(F.sum("c").over(W.partitionBy("sid", "range").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    first = counts.withColumn("local", local).join(ranges, ["sid", "range"]).withColumn("first", F.col("local") + F.col("base"))
+    # a shard's slots are made where the shard is dealt to, not where its source was numbered
+    slot = first.select("sid", "shard", "first", "c").repartition("sid", "shard").select(
+        "sid", "shard", F.explode(F.expr("sequence(first, first + c - 1)")).alias("slot"))
     placed = slot.join(t.select("sid", "source_size", "blocks", "full", "words"), "sid").withColumns({
         "pass_no": F.floor(F.col("slot") / F.col("blocks")), "j": F.col("slot") % F.col("blocks")})
     # the short last block closes every pass, so a pass is cut at j * block_words
@@ -142,7 +153,7 @@ def _mix(docs, id_col, source_col, text_col, weights, max_passes, block_words, s
     placed = materialize(placed.join(named, F.col("source").eqNullSafe(F.col("s2"))).drop("s2", "source"), "mix-placed")
     slots = draw_slots(targets, block_words, slots_per_shard, seed)
     taken = _pieces(placed, block_words).join(slots, ["sid", "block"]).select(
-        "sid", "start", "shard", "slot", "pass_no",
+        "sid", "start", "shard", "slot", "pass_no", "block",
         (F.col("block") * block_words + F.col("begin") - F.col("start")).alias("from_word"),
         (F.least("end", "words") - F.col("begin")).alias("n")).where("n > 0")
     return placed, taken
@@ -156,7 +167,8 @@ def mix_report(docs: DataFrame, id_col: str = "doc_id", source_col: str = "sourc
 
     NULL and empty texts have size 0 and take nothing; NULL is a source of its
     own; equal rows are packed one after the other; an empty table gives no
-    rows.  Reruns on equal data agree.
+    rows.  Reruns on equal data agree.  Texts of any length are cut at block
+    borders; other columns are ignored.
     """
     docs = docs.select(*dict.fromkeys([id_col, source_col, text_col]))
     placed, taken = _mix(docs, id_col, source_col, text_col, weights, max_passes, block_words, slots_per_shard, seed)
@@ -173,18 +185,44 @@ def mixed_documents(docs: DataFrame, id_col: str = "doc_id", source_col: str = "
                     slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> DataFrame:
     """The mix as documents: per document and pass one row with the words that
     the pass takes (the unchanged text if it takes all), other columns kept.
-    Documents that no pass reads, and those without words, are not in the mix."""
+    Documents that no pass reads, and those without words, are not in the mix.
+    Columns of any name are returned as they are; see ``mix_report`` for the rest."""
     placed, taken = _mix(docs, id_col, source_col, text_col, weights, max_passes, block_words, slots_per_shard, seed)
+    inner = free_prefix(docs)
+    n, runs_, key, ident, size, row = (inner + x for x in ("n", "runs", "key", "id", "size", "row"))
     runs = taken.groupBy("sid", "start", "pass_no").agg(
-        F.sum("n").alias("__n"), F.sort_array(F.collect_list(F.struct("from_word", "n"))).alias("__runs"))
+        F.sum("n").alias(n), F.sort_array(F.collect_list(F.struct("from_word", "n"))).alias(runs_))
     runs = placed.where("size > 0").join(runs, ["sid", "start"]).select(
-        F.col("id").alias("__id"), F.col("key").alias("__key"), F.col("size").alias("__size"), "__n", "__runs")
+        F.col("id").alias(ident), F.col("key").alias(key), F.col("size").alias(size), n, runs_)
     # the texts travel once; equal rows share one text and have a run each
-    body = docs.withColumn("__row", row_key(docs)).dropDuplicates([id_col, "__row"])
-    joined = body.join(runs, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__row") == F.col("__key")))
+    body = docs.withColumn(row, row_key(docs)).dropDuplicates([id_col, row])
+    joined = body.join(runs, F.col(id_col).eqNullSafe(F.col(ident)) & (F.col(row) == F.col(key)))
     part = F.transform(
-        F.array(F.filter(F.split(F.col(text_col), f"[{SPACE}]+", -1), lambda w: w != "")),
+        F.array(word_array(F.col(text_col))),
         lambda w: F.array_join(F.flatten(F.transform(
-            "__runs", lambda r: F.slice(w, (r["from_word"] + 1).cast("int"), r["n"].cast("int")))), " "))[0]
-    text = F.when(F.col("__n") == F.col("__size"), F.col(text_col)).otherwise(part)
+            runs_, lambda r: F.slice(w, (r["from_word"] + 1).cast("int"), r["n"].cast("int")))), " "))[0]
+    text = F.when(F.col(n) == F.col(size), F.col(text_col)).otherwise(part)
     return joined.select(*[(text if c == text_col else F.col(c)).alias(c) for c in docs.columns])
+
+
+def mix_blocks(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
+               weights=WEIGHTS, max_passes: int = MAX_PASSES, block_words: int = BLOCK_WORDS,
+               slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> DataFrame:
+    """The mix itself, one row per slot: shard, slot (number in its source),
+    source, pass_no, block, words (the slot's words, ``block_words`` of them, fewer
+    in a source's short last block and in its last slot).
+
+    Edge cases as in ``mix_report``, which counts the same slots per document.
+    """
+    docs = docs.select(*dict.fromkeys([id_col, source_col, text_col]))
+    placed, taken = _mix(docs, id_col, source_col, text_col, weights, max_passes, block_words, slots_per_shard, seed)
+    rows = docs.select(F.col(id_col).alias("id"), row_key(docs).alias("key"), F.col(source_col).alias("source"),
+                       word_array(F.col(text_col)).alias("w")).dropDuplicates(["id", "key"])
+    named = placed.where("size > 0").select("id", "key", "sid", "start").join(taken, ["sid", "start"]).alias("t")
+    pieces = named.join(rows.alias("r"), F.col("t.id").eqNullSafe(F.col("r.id")) & (F.col("t.key") == F.col("r.key"))).select(
+        "sid", "source", "shard", "slot", "pass_no", "block", (F.col("start") + F.col("from_word")).alias("at"),
+        F.slice("w", (F.col("from_word") + 1).cast("int"), F.col("n").cast("int")).alias("w"))
+    return pieces.groupBy("sid", "slot").agg(
+        *[F.first(c).alias(c) for c in ("shard", "source", "pass_no", "block")],
+        F.sort_array(F.collect_list(F.struct("at", "w"))).alias("parts")).select(
+        "shard", "slot", "source", "pass_no", "block", F.flatten("parts.w").alias("words"))

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACE, count_words
+from tillroll.llm.common import SPACE, count_words, free_prefix
 
 SAMPLE_ROWS = 500      # texts that costs and rejections are estimated on, at most
 SYMBOLS = "#*$%&|<>"
@@ -159,16 +159,19 @@ def first_failure(m: Text, rules) -> Column:
 def passes(docs: DataFrame, text_col: str = "text", rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The documents that no rule rejects, all columns unchanged.
 
-    NULL and empty texts have no words and go; equal rows share their fate.
+    NULL and empty texts have no words and go; equal rows share their fate.  Texts
+    of any length are read whole; an empty table gives no rows; columns of any
+    name are returned as they are.
     """
     ranked = order(rules, estimate(docs, rules, text_col, sample_rows))
     t = F.coalesce(F.col(text_col), F.lit(""))
     by_word = _let(word_array(t), lambda w: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.array_join(w, "")).cast("long").alias("word_chars")))
     # most rules are shares of the words: those are counted once, in front of the cascade
-    counted = docs.select("*", F.explode(F.array(by_word)).alias("__words"))
-    known = Text(t, n_words=F.col("__words.n_words"), word_chars=F.col("__words.word_chars"))
-    return counted.where(first_failure(known, ranked).isNull()).drop("__words")
+    name = free_prefix(docs) + "words"
+    counted = docs.select("*", F.explode(F.array(by_word)).alias(name))
+    known = Text(t, n_words=F.col(f"{name}.n_words"), word_chars=F.col(f"{name}.word_chars"))
+    return counted.where(first_failure(known, ranked).isNull()).drop(name)
 
 
 def quality_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import byte_texts, materialize, text_key, with_columns
+from tillroll.llm.common import byte_texts, free_prefix, materialize, text_key, with_columns
 from tillroll.llm.components import connected_components
 
 SEED = 42
@@ -211,11 +211,16 @@ def fingerprint_hex(c: Column) -> Column:
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """The documents without near-duplicates: of each component the row with
-    the smallest id stays (NULL ids last; ties by text key, equal rows once)."""
+    the smallest id stays (NULL ids last; ties by text key, equal rows once).
+
+    NULL, empty and very long texts are compared like any other; an empty table
+    gives no rows; columns of any name are returned as they are."""
     found = near_duplicates(docs, id_col, text_col, **kw)
     first = found.groupBy("root").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
-    chosen = first.select(F.col("first.id").alias("__sim_id"), F.col("first.key").alias("__sim_key"))
-    kept = docs.withColumn("__sim_k", text_key(F.col(text_col))).join(
-        chosen, F.col(id_col).eqNullSafe(F.col("__sim_id")) & (F.col("__sim_k") == F.col("__sim_key")), "left_semi")
-    return kept.dropDuplicates([id_col, "__sim_k"]).drop("__sim_k")
+    inner = free_prefix(docs)
+    own, ident, key = inner + "own", inner + "id", inner + "key"
+    chosen = first.select(F.col("first.id").alias(ident), F.col("first.key").alias(key))
+    kept = docs.withColumn(own, text_key(F.col(text_col))).join(
+        chosen, F.col(id_col).eqNullSafe(F.col(ident)) & (F.col(own) == F.col(key)), "left_semi")
+    return kept.dropDuplicates([id_col, own]).drop(own)
