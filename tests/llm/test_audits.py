@@ -109,14 +109,11 @@ def test_mix_blocks_hold_what_the_report_counts(spark, edge_docs, no_docs):
     assert mixing.mix_blocks(no_docs).count() == 0
 
 
-def test_slots_of_one_source_are_made_by_many_tasks(spark):
+def test_slots_of_one_source_are_made_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "_TASK_SLOTS", 1500)
     sizes = spark.createDataFrame([("one", 120_000)], "source string, size long")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    try:
-        slots = mixing.draw_slots(mixing.source_targets(sizes), block_words=8, slots_per_shard=64)
-        per_task = [r["count"] for r in slots.groupBy(F.spark_partition_id().alias("p")).count().collect()]
-    finally:
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    slots = mixing.draw_slots(mixing.source_targets(sizes), block_words=8, slots_per_shard=64)
+    per_task = [r["count"] for r in slots.groupBy(F.spark_partition_id().alias("p")).count().collect()]
     assert len(per_task) >= 6 and max(per_task) < 0.4 * sum(per_task) and sum(per_task) == 15_000
     assert sorted(r.slot for r in slots.select("slot").collect()) == list(range(15_000))
 

@@ -27,6 +27,7 @@ WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 SEED = 7
 ROUNDS = 24
+_TASK_SLOTS = 1 << 15   # slots that a task makes, about
 _RANGE = 4096              # shards that are numbered together
 _SPAN = 1 << 16        # slots drawn from one generated row
 
@@ -123,8 +124,10 @@ def draw_slots(targets: DataFrame, block_words: int = BLOCK_WORDS, slots_per_sha
     ranges = counts.groupBy("sid", "range").agg(F.sum("c").alias("in_range")).select("sid", "range", before.alias("base"))
     local = F.coalesce(F.sum("c").over(W.partitionBy("sid", "range").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     first = counts.withColumn("local", local).join(ranges, ["sid", "range"]).withColumn("first", F.col("local") + F.col("base"))
-    # a shard's slots are made where the shard is dealt to, not where its source was numbered
-    slot = first.select("sid", "shard", "first", "c").repartition("sid", "shard").select(
+    # a shard's slots are made where the shard is dealt to, not where its source was numbered;
+    # the number of tasks follows the slots that come out, not the few bytes that go in
+    tasks = max(1, -(-int(total) // _TASK_SLOTS))
+    slot = first.select("sid", "shard", "first", "c").repartition(tasks, "sid", "shard").select(
         "sid", "shard", F.explode(F.expr("sequence(first, first + c - 1)")).alias("slot"))
     placed = slot.join(t.select("sid", "source_size", "blocks", "full", "words"), "sid").withColumns({
         "pass_no": F.floor(F.col("slot") / F.col("blocks")), "j": F.col("slot") % F.col("blocks")})
