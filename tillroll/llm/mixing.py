@@ -86,15 +86,17 @@ def place(docs: DataFrame, id_col: str, source_col: str, text_col: str) -> DataF
     The running sum is taken in about sqrt(rows) pseudorandom buckets per
     source and then over the bucket totals, so no source is ordered in one task.
     """
-    sized = docs.select(F.col(id_col).alias("id"), row_key(docs).alias("key"), F.col(source_col).alias("source"),
+    # the place follows id, source and text alone; other columns only tell equal ones apart
+    at = F.xxhash64(*dict.fromkeys([id_col, source_col, text_col]))
+    sized = docs.select(F.col(id_col).alias("id"), row_key(docs).alias("key"), at.alias("at"), F.col(source_col).alias("source"),
                         count_words(F.col(text_col)).alias("size"))
     sized = materialize(sized, "mix-sized")
     buckets = max(1, int(sized.count() ** 0.5))
-    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("id", "key"), F.lit(buckets)))
+    sized = sized.withColumn("bucket", F.pmod(F.xxhash64("id", "at"), F.lit(buckets)))
     per = sized.groupBy("source", "bucket").agg(F.sum("size").alias("in_bucket"))
     base = per.select(F.col("source").alias("s2"), F.col("bucket").alias("b2"), F.coalesce(F.sum("in_bucket").over(
         W.partitionBy("source").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("base"))
-    inner = W.partitionBy("source", "bucket").orderBy("id", "key").rowsBetween(W.unboundedPreceding, -1)
+    inner = W.partitionBy("source", "bucket").orderBy("id", "at", "key").rowsBetween(W.unboundedPreceding, -1)
     local = sized.withColumn("local", F.coalesce(F.sum("size").over(inner), F.lit(0)))
     return local.join(base, F.col("source").eqNullSafe(F.col("s2")) & (F.col("bucket") == F.col("b2"))).select(
         "id", "key", "source", "size", (F.col("local") + F.col("base")).alias("start"))
