@@ -7,7 +7,7 @@ import pytest
 from tests.conftest import SF_SMALL
 from tillroll.registry import QUERIES
 
-BATCH = sorted(k for k in QUERIES if not k.startswith(("stream_", "bronze_", "medallion", "csv_")))
+BATCH = sorted(k for k in QUERIES if not k.startswith(("stream_", "bronze_", "medallion", "refresh_", "csv_")))
 
 
 def _plan(spark, name, broadcast=True):
