@@ -11,6 +11,8 @@ from tillroll.registry import QUERIES
 from tillroll.sources.adapters import Retail
 from tillroll.sources.tables import TABLES
 
+#: Approximate by nature: its recall is measured in test_vector_index.py.
+NO_SQL = {"vector_index_topk"}
 ORACLE = {k: v for k, v in oracle_sql().items() if k in QUERIES}
 
 
@@ -42,13 +44,13 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) == set(ORACLE) | NO_SQL
 
 
 def test_entry_without_the_optional_parts(monkeypatch):
     import __spark_entry__
     monkeypatch.setattr(__spark_entry__, "_present", lambda module: False)
-    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql()) == set(QUERIES)
+    assert set(__spark_entry__.queries()) == set(__spark_entry__.oracle_sql()) | NO_SQL == set(QUERIES)
 
 
 def test_mapping_keeps_every_row(spark, con):

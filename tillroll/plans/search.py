@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.text import search_text
+from tillroll.operators import vector_index
 from tillroll.operators.similarity import vector_topk
 from tillroll.operators.text_index import build_text_index
 from tillroll.operators.text_index import search as search_index
@@ -62,9 +63,15 @@ def product_text_search(queries: DataFrame, searchable: DataFrame, k: int = 5,
 
 
 def similar_vectors(queries: DataFrame, vectors: DataFrame, k: int = 5, filters: dict | None = None,
-                    same: list[str] = ()) -> DataFrame:
-    """Top-k vectors per query vector with the neighbour's metadata."""
-    hits = vector_topk(queries, vectors, k, filters=filters, same=same)
+                    same: list[str] = (), index: vector_index.VectorIndex | None = None) -> DataFrame:
+    """Top-k vectors per query vector with the neighbour's metadata: exact over
+    every pair, or from an ``index`` of the (filtered) vectors."""
+    if index is None:
+        hits = vector_topk(queries, vectors, k, filters=filters, same=same)
+    elif filters:
+        raise ValueError("index the filtered vectors")
+    else:
+        hits = vector_index.search(queries, index, k, same=same)
     meta = vectors.select(F.col("vec_id").alias("doc_id"), "label")
     return hits.join(meta, "doc_id").select(
         F.col("query_id"), F.col("rank"), F.col("doc_id").alias("vec_id"), "label", "score")

@@ -296,6 +296,7 @@ def q_dashboard_stats(spark, d):
 # ---- search, conversations, assistant --------------------------------------
 
 from tillroll.config import ASSISTANT_RESULTS, SEARCH_RESULTS  # noqa: E402
+from tillroll.operators import vector_index  # noqa: E402
 from tillroll.plans import assistant, search  # noqa: E402
 
 
@@ -353,6 +354,13 @@ def q_vector_topk_filtered(spark, d):
     return search.similar_vectors(v.where("vec_id % 50 = 0"), v, k=SEARCH_RESULTS, same=["label"])
 
 
+@query("vector_index_topk")
+def q_vector_index_topk(spark, d):
+    """The same search from an index: approximate, so it has no SQL form."""
+    v = Retail(spark, d).vectors
+    return search.similar_vectors(v.where("vec_id % 50 = 0"), v, k=SEARCH_RESULTS, index=vector_index.build(v))
+
+
 @query("text_topk")
 def q_text_topk(spark, d):
     hits = search.product_text_search(chat_queries(spark, d), searchable(spark, d), SEARCH_RESULTS)
