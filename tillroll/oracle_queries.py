@@ -395,6 +395,12 @@ register("stream_ingest", "SELECT *, CAST(NULL AS VARCHAR) AS _corrupt_record FR
 register("stream_enrich", "SELECT * FROM clickstream_enriched")
 register("stream_recent_interest", recent_scores("clickstream_enriched", ASOF_TS, f"AND event_timestamp < {ASOF_TS}"))
 register("stream_active_sessions", "," + SESSIONS_CTE + "\nSELECT * FROM sessions")
+register("stream_interest_windows", f"""
+, ends AS (SELECT *, date_trunc('day', event_timestamp - INTERVAL 12 HOUR) + INTERVAL 36 HOUR AS first_end FROM clickstream_enriched)
+, windows AS (SELECT *, unnest([first_end, first_end + INTERVAL 1 DAY]) AS window_end FROM ends)
+SELECT window_end, customer_id, category, CAST(SUM({RECENT_WEIGHT_SQL}) AS BIGINT) AS recent_interest_score, COUNT(*) AS events
+FROM windows GROUP BY window_end, customer_id, category""")
+register("stream_live_sessions", "," + SESSIONS_CTE + "\nSELECT *, FALSE AS closed FROM sessions")
 register("medallion_run", "SELECT * FROM customer_segments")
 for _key, _same in (("medallion_loyalty", "upsert_loyalty"), ("medallion_offers", "insert_if_absent"),
                     ("medallion_sessions", "active_sessions")):

@@ -8,6 +8,7 @@ DuckDB SQL lives in ``tillroll.oracle``."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -410,7 +411,7 @@ def q_mask_cards(spark, d):
 
 from tillroll.sources import csv as csvio  # noqa: E402
 from tillroll.sources.schemas import SOURCES  # noqa: E402
-from tillroll.streaming import jobs  # noqa: E402
+from tillroll.streaming import jobs, stateful  # noqa: E402
 
 
 def _bronze(name):
@@ -495,6 +496,33 @@ def q_stream_category_interest(spark, d):
     return jobs.interest_from_days(jobs.day_state(spark, root).read(version), AS_OF)
 
 
+def _live_stream(spark, d, name, job, table, **kw):
+    """Two arrivals in the order of their events, and a run without new files."""
+    base = work_dir(spark, name)
+    args = (spark, f"{base}/landing", Retail(spark, d).products, f"{base}/table", f"{base}/_ckpt")
+    for land in _land_clicks_in_two_arrivals(spark, d, f"{base}/landing"):
+        land()
+        if sum(b.late for b in job(*args, **kw)):
+            raise RuntimeError(f"{name}: rows of an ordered arrival were late")
+    job(*args, **kw)
+    out = table(spark, f"{base}/table")
+    return out.read().drop(out.by)
+
+
+@query("stream_interest_windows")
+def q_stream_interest_windows(spark, d):
+    """All sliding windows, from Spark's own state behind a watermark."""
+    return _live_stream(spark, d, "stream-windows", stateful.interest_windows, stateful.window_table)
+
+
+@query("stream_live_sessions")
+def q_stream_live_sessions(spark, d):
+    """Sessions with a state and a timer each; the given ones last for weeks, so
+    the idle time is longer than the whole table."""
+    s = _live_stream(spark, d, "stream-live", stateful.live_sessions, stateful.session_table, idle=timedelta(days=400))
+    return s.drop("opened")
+
+
 # ---- whole chain and generator ----------------------------------------------
 
 from tillroll.plans import generate, medallion, refresh  # noqa: E402
