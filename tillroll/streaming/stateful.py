@@ -144,15 +144,16 @@ class SessionState(StatefulProcessor):
         self.scores = handle.getMapState("scores", "category string, known boolean", "score long")
         self.products = handle.getMapState("products", "product string", "seen boolean")
 
-    def _row(self, key, h, closed: bool) -> pd.DataFrame:
-        top = max(v[0] for _, v in self.scores.iterator())
+    def _row(self, key, h, closed: bool, scores: list[int]) -> pd.DataFrame:
+        top = max(scores)
         return pd.DataFrame({
             "session_id": [key[0]], "customer": [h["customer"]], "opened": [h["opened"]], "current_category": [h["category"]],
             "top_interest_score": [float(top)], "products_viewed": [h["products"]], "cart_items": [max(0, h["adds"] - h["removes"])],
             "device_type": [h["device"]], "started": [h["started"]], "last": [h["last"]], "closed": [closed]})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        h = dict(zip(HEAD, self.head.get())) if self.head.exists() else None
+        stored = self.head.get()                       # every call below is a round trip: a new session asks for nothing
+        h = dict(zip(HEAD, stored)) if stored else None
         gained: dict[tuple, int] = {}
         seen: set[str] = set()
         for part in rows:
@@ -173,11 +174,12 @@ class SessionState(StatefulProcessor):
                 gained[slot] = gained.get(slot, 0) + int(r.weight)
                 if _text(r.product) is not None:
                     seen.add(r.product)
+        for slot in gained if stored else ():
+            gained[slot] += (self.scores.getValue(slot) or (0,))[0]
         for slot, score in gained.items():
-            before = self.scores.getValue(slot)[0] if self.scores.containsKey(slot) else 0
-            self.scores.updateValue(slot, (before + score,))
+            self.scores.updateValue(slot, (score,))
         for product in seen:
-            if not self.products.containsKey((product,)):
+            if not stored or not self.products.containsKey((product,)):
                 self.products.updateValue((product,), (True,))
                 h["products"] += 1
         timer = h["last"] // 1000 + self.idle_ms
@@ -187,11 +189,11 @@ class SessionState(StatefulProcessor):
             self.handle.registerTimer(timer)
             h["timer"] = timer
         self.head.update(tuple(h[n] for n in HEAD))
-        yield self._row(key, h, False)
+        yield self._row(key, h, False, [v[0] for _, v in self.scores.iterator()] if stored else list(gained.values()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         h = dict(zip(HEAD, self.head.get()))
-        yield self._row(key, h, True)
+        yield self._row(key, h, True, [v[0] for _, v in self.scores.iterator()])
         for state in (self.head, self.scores, self.products):
             state.clear()
 
