@@ -49,3 +49,27 @@ def test_scored_pairs_follow_rare_tokens(spark):
     assert hits(text_index.search(queries, index, 5)) == hits(text_topk(queries, docs, 5))
     empty = text_index.build_text_index(docs.limit(0))
     assert text_index.search(queries, empty, 5).count() == 0 and text_index.search(queries.limit(0), index, 5).count() == 0
+
+
+def test_common_tokens_together_read_few_pairs(spark):
+    """Two tokens of every document: the floor is what their best documents reach with both."""
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(k, "made of " + " ".join(f"n{rng.randrange(40)}" for _ in range(rng.randrange(1, 9)))) for k in range(2000)],
+                                 "doc_id long, text string")
+    queries = spark.createDataFrame([(k, "made " * (k % 5 + 1) + "of " * (k // 5 + 1)) for k in range(25)], "query_id long, text string")
+    index = text_index.build_text_index(docs)
+    asked = text_index.signatures(queries, index, "query_id", "text").groupBy("sig").agg({"terms": "first"}).toDF("sig", "terms")
+    pairs, _ = text_index.candidates(asked, index, 5)
+    assert pairs.count() < 0.1 * 25 * 2000
+    assert hits(text_index.search(queries, index, 5)) == hits(text_topk(queries, docs, 5))
+
+
+def test_nothing_that_grows_is_broadcast(spark, tmp_path):
+    """The planner takes exploded tokens for as small as the file of their texts."""
+    words = [f"a{k % 7} b{k % 11} c{k % 13}" for k in range(500)]
+    spark.createDataFrame([*enumerate(words)], "doc_id long, text string").write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    index = text_index.build_text_index(docs)
+    found = text_index.search(docs.withColumnRenamed("doc_id", "query_id").where("query_id < 40"), index, 3)
+    assert "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.count() == 120
