@@ -29,7 +29,7 @@ def product_context(hits: DataFrame, queries: DataFrame, key: str = "query_id")
     lines = hits.groupBy(key).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("rank", product_line().alias("line")))),
                                  lambda s: s["line"]), "\n").alias("_ctx"))
-    return (queries.select(key).join(lines, key, "left")
+    return (queries.select(key).join(lines.hint("merge"), key, "left")
             .select(key, F.coalesce("_ctx", F.lit(NO_PRODUCTS_TEXT)).alias("product_context")))
 
 
@@ -45,5 +45,5 @@ def assistant_prompts(conversations: DataFrame, searchable: DataFrame,
     q = msgs.select(F.col("conv_id").alias("query_id"), F.col("user_message").alias("text"))
     hits = product_text_search(q, searchable, k)
     ctx = product_context(hits, q)
-    return (msgs.join(ctx.withColumnRenamed("query_id", "conv_id"), "conv_id")
+    return (msgs.join(ctx.withColumnRenamed("query_id", "conv_id").hint("merge"), "conv_id")
             .withColumn("system_prompt", render_prompt()))
