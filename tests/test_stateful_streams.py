@@ -97,3 +97,23 @@ def test_idle_sessions_close(spark):
     assert sum(x.late for x in done) == 1
     assert table() == {("a", 8): (True, 1, 8), ("a", 12): (False, 0, 12), ("b", 8): (True, 1, 8)}
     assert done[-1].state < 8
+
+
+def test_sessions_share_states_but_close_apart(spark, monkeypatch):
+    """Many sessions in one bucket: few states, every session with its own end."""
+    monkeypatch.setattr(stateful, "SESSION_BUCKETS", 2)
+    base = work_dir(spark, "t-buckets")
+    r = Retail(spark, SF_SMALL)
+    edges = ["2000-01-01", "2024-01-10", "2024-01-20", "2030-01-01"]
+    states = []
+    for a, b in zip(edges, edges[1:]):
+        csvio.write_csv(cut(r.clickstream, a, b), f"{base}/land", mode="append")
+        done = stateful.live_sessions(spark, f"{base}/land", r.products, f"{base}/s", f"{base}/ck", idle=timedelta(days=2))
+        states += [x.state for x in done]
+    got = stateful.session_table(spark, f"{base}/s").read()
+    sessions = rows(state.active_sessions(silver.clickstream_enriched(r.clickstream, r.products)))
+    assert max(states) == 2 and len(sessions) > 100
+    assert rows(got.drop("opened", "opened_day", "closed")) == sessions
+    last = r.clickstream.agg(F.max("event_timestamp")).first()[0]
+    for x in got.collect():                                            # lateness and idle time, two days each
+        assert x.closed == (x.last_activity + timedelta(days=4) < last)
