@@ -1,10 +1,12 @@
 """What the chains shuffle and write: no more than once by a key, and compressed."""
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from tests.test_refresh import files, rows
 from tillroll.operators.partitioned import PartitionedTable
-from tillroll.plans import medallion
+from tillroll.plans import medallion, state
 from tillroll.plans.refresh import _Touched
 from tillroll.session import work_dir
 from tillroll.sources import csv as csvio
@@ -12,6 +14,23 @@ from tillroll.sources.arrivals import ARRIVAL, KEYS, current, land, read_arrival
 from tillroll.sources.schemas import SOURCES
 
 
+def test_partial_rows_of_sessions_travel_once(spark):
+    t = lambda minute: datetime(2024, 1, 5, 10, minute)                                        # noqa: E731
+    part = lambda s, c, p, cust, score, adds, removes, m, e: (                                 # noqa: E731
+        s, c, p, cust, score, adds, removes, t(m), ((t(m), e), f"d{e}"))
+    partials = spark.createDataFrame([
+        part("a", "X", 1, 7, 3, 2, 0, 1, 10), part("a", "X", 2, 7, 3, 0, 1, 2, 11), part("a", "Y", 2, 8, 5, 0, 0, 3, 12),
+        part("a", None, None, 7, 4, 0, 0, 4, 13), part("a", "X", 1, None, 1, 0, 0, 0, 9), part("a", None, 3, 7, 4, 0, 0, 4, 14),
+        part("b", "Y", None, None, 2, 0, 3, 5, 1), part(None, "X", 1, 1, 99, 9, 0, 5, 2)],
+        "session_id string, category string, product_id long, customer_id long, score long, adds long, removes long, started timestamp_ntz, "
+        "last struct<k: struct<event_timestamp: timestamp_ntz, event_id: long>, device: string>")
+    got = state.sessions_from_partials(partials)
+    assert {tuple(r) for r in got.collect()} == {
+        ("a", 8, None, 8.0, 3, 1, "d14", t(0), t(4)), ("b", None, "Y", 2.0, 0, 0, "d1", t(5), t(5))}
+    plan = state.sessions_from_partials(partials)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
 def test_touched_combinations_are_not_shuffled(spark):
     touched = _Touched(spark, work_dir(spark, "t-touched"))
     facts = spark.createDataFrame([("2024-01", 1), ("2024-01", 1), (None, None), ("2024-02", 1)], "m string, c long")
