@@ -133,3 +133,63 @@ def test_the_feed_is_built_once(spark):
     second, feed = search.searchable_version(first, changed, keep)
     assert rows(second) == rows(search.products_searchable(changed)) and [x.change for x in feed.collect()] == ["update"]
     assert len(kept) == 2 and f"{base}/1" in first.inputFiles()[0]
+
+
+@pytest.mark.parametrize("few", [4, 16])
+def test_more_numbers_than_few_still_leave_rows_alone(spark, monkeypatch, few):
+    """A map of bits stands for the numbers: rows that have one are all found, most others stay where they are."""
+    for module in (arrivals, medallion):
+        monkeypatch.setattr(module, "FEW", few)
+    path = work_dir(spark, "t-bits")
+    lines = landed(spark, [*[(k, float(k % 3)) for k in [*range(400), *range(20)]], (None, None), (None, None)])
+    sent = repeated_numbers(lines, ["k", "m"], path, send=arrivals.sent_numbers)
+    assert "_row" in sent.columns and 1 <= sent.count() <= few
+    found, others = (arrivals.with_numbers(lines, ["k", "m"], sent, how) for how in ("left_semi", "left_anti"))
+    assert found.count() + others.count() == 422 and 40 <= found.count() < 200
+    assert {r.k for r in found.collect()} >= {*range(20)} and not {r.k for r in found.collect()} & {r.k for r in others.collect()}
+    assert rows(latest(lines, ["k", "m"], sent).drop(ARRIVAL)) == rows(current(lines, ["k", "m"]).drop(ARRIVAL))
+    more = lines.unionByName(landed(spark, [(k, float(k % 3)) for k in range(390, 420)]))
+    fresh = landed(spark, [(k, float(k % 3)) for k in range(390, 420)])
+    known = spark.read.schema("_number long").parquet(path)
+    repeated_numbers(more, ["k", "m"], f"{path}/2", fresh, known, send=arrivals.sent_numbers)
+    repeated_numbers(more, ["k", "m"], f"{path}/3", send=arrivals.sent_numbers)
+    assert rows(spark.read.parquet(f"{path}/2")) == rows(spark.read.parquet(f"{path}/3"))
+
+
+def test_a_delivery_of_many_changes_does_not_move_all_rows(spark, monkeypatch):
+    for module in (arrivals, medallion):
+        monkeypatch.setattr(module, "FEW", 8)
+    prods, custs = generate.generate_products(spark.range(60)), generate.generate_customers(spark.range(60))
+    bought = generate.generate_purchases(spark.range(600), custs, prods)
+    frames = {"products": prods, "customers": custs, "purchases": bought, "clickstream": generate.generate_clickstream(spark.range(300), custs, prods)}
+    pool = {name: [r.asDict() for r in df.select(*SOURCES[name].names).collect()] for name, df in frames.items()}
+    base = work_dir(spark, "t-many")
+    landing = {name: f"{base}/raw/{name}" for name in SOURCES}
+    deliver(spark, landing, pool)
+    medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF)
+    enriched, summed = [], []
+    whole, agg = silver.purchase_enriched, silver.purchase_agg
+    monkeypatch.setattr(silver, "purchase_enriched", lambda p, products: enriched.append(p.count()) or whole(p, products))
+    monkeypatch.setattr(silver, "purchase_agg", lambda p: summed.append(p.count()) or agg(p))
+    deliver(spark, landing, {"purchases": [dict(r, total_amount=3.5) for r in pool["purchases"][:30]],
+                             "products": [dict(r, product_name="new") for r in pool["products"][:10]]})
+    second = medallion.run_medallion(spark, landing, f"{base}/lake", AS_OF)
+    assert 30 <= enriched[0] < 300 and 30 <= summed[0] < 550, (enriched, summed)
+    full = medallion.run_medallion(spark, landing, f"{base}/fresh", AS_OF)
+    for name in COMPARED:
+        assert rows(spark.read.parquet(second[name])) == rows(spark.read.parquet(full[name])), name
+
+
+def test_purchases_of_some_customers_by_their_orders(spark, monkeypatch):
+    r = Retail(spark, SF_SMALL)
+    want = rows(r.purchases.where("customer_id % 13 = 5"))
+    assert want and rows(r.purchases_of(lambda c: c % 13 == 5)) == want
+    for module in (arrivals, adapters):
+        monkeypatch.setattr(module, "FEW", 10)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        some = r.purchases_of(lambda c: c % 13 == 5)
+        plan = some._jdf.queryExecution().executedPlan().toString()
+        assert rows(some) == want and "BroadcastHashJoin" in plan and "SortMergeJoin" in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
