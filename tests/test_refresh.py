@@ -14,6 +14,7 @@ from tillroll.plans import generate, gold, medallion, refresh, search, silver, s
 from tillroll.session import work_dir
 from tillroll.sources import csv as csvio
 from tillroll.sources.adapters import Retail
+from tillroll.sources import arrivals
 from tillroll.sources.arrivals import KEYS
 from tillroll.sources.schemas import SOURCES
 
@@ -205,3 +206,38 @@ def test_a_refresh_touches_only_what_changed_and_survives_a_failure(spark, monke
         assert second.written[name].rows == 0 and files(second.paths[name]) == stored[name], name
     assert second.written["clickstream_enriched"].partitions <= 2
     assert len(files(second.paths["clickstream_enriched"]).keys() - stored["clickstream_enriched"].keys()) <= 4
+
+
+def test_a_refresh_of_many_changes_leaves_the_other_rows_where_they_are(spark, monkeypatch):
+    for module in (arrivals, medallion):
+        monkeypatch.setattr(module, "FEW", 8)
+    prods, custs = generate.generate_products(spark.range(40)), generate.generate_customers(spark.range(40))
+    source = {"products": prods, "customers": custs, "purchases": generate.generate_purchases(spark.range(400), custs, prods),
+              "clickstream": generate.generate_clickstream(spark.range(300), custs, prods)}
+    pool = {name: [r.asDict() for r in df.select(*SOURCES[name].names).collect()] for name, df in source.items()}
+    base = work_dir(spark, "t-many")
+    landing = {name: f"{base}/raw/{name}" for name in SOURCES}
+    now = {name: {key_of(name, r): r for r in some} for name, some in pool.items()}
+    deliver(spark, landing, pool | {"clickstream": [*pool["clickstream"], *pool["clickstream"][:20]]})
+    refresh.refresh(spark, landing, f"{base}/lake", AS_OF)
+    again = {"purchases": [dict(r, total_amount=3.5, purchase_date=r["purchase_date"] - timedelta(days=31)) for r in pool["purchases"][::16]],
+             "clickstream": [dict(r, event_type="add_to_cart", event_timestamp=None) for r in pool["clickstream"][::20]],
+             "products": [dict(r, product_name="new") for r in pool["products"][:9]]}
+    for name, some in again.items():
+        now[name] |= {key_of(name, r): r for r in some}
+    deliver(spark, landing, again)
+    moved = {"purchase_enriched": [], "clickstream_enriched": []}
+    with monkeypatch.context() as m:
+        for name, counts in moved.items():
+            whole = getattr(silver, name)
+            m.setattr(silver, name, lambda df, p, whole=whole, counts=counts: counts.append(df.count()) or whole(df, p))
+        second = refresh.refresh(spark, landing, f"{base}/lake", AS_OF)
+    assert 25 <= moved["purchase_enriched"][0] < 250 and 15 <= moved["clickstream_enriched"][0] < 220, moved
+    compare(spark, second, now, AS_OF)
+
+
+def test_partial_aggregates_are_shuffled_once(spark):
+    r = Retail(spark, SF_SMALL)
+    for name, partials in (("purchases", refresh.purchase_partials), ("clickstream", refresh.click_partials)):
+        plan = partials(refresh.with_period(name, getattr(r, name).localCheckpoint()))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1, plan
